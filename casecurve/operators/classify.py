@@ -100,20 +100,27 @@ def _preprocessing(rows: DataFrame, numeric: Sequence[str], categorical: Sequenc
     return SQLTransformer(statement=f"SELECT *, {selected} FROM __THIS__"), names
 
 
-def _fourier(rows: DataFrame, names: Sequence[str], seed: int) -> tuple[SQLTransformer, list[str]]:
-    """Random Fourier features approximating an RBF kernel with gamma = 1 / (features * variance)."""
+def _fourier(rows: DataFrame, names: Sequence[str], seed: int) -> tuple[list[SQLTransformer], list[str]]:
+    """Random Fourier features approximating an RBF kernel with gamma = 1 / (features * variance).
+
+    All waves come from one array expression: 64 separate formulas would outgrow generated code.
+    """
     variance = rows.select(F.explode(F.array(*names)).alias("x")).agg(F.var_pop("x")).first()[0] or 1.0
     gamma = 1.0 / (len(names) * variance)
     rng = np.random.RandomState(seed)
     weights = rng.normal(scale=np.sqrt(2 * gamma), size=(FOURIER_FEATURES, len(names)))
     shifts = rng.uniform(0, 2 * np.pi, size=FOURIER_FEATURES)
-    scale = np.sqrt(2.0 / FOURIER_FEATURES)
-    waves = [f"_r{i}" for i in range(FOURIER_FEATURES)]
-    terms = [
-        f"{_number(scale)} * COS({' + '.join(f'{_number(w)} * {n}' for w, n in zip(row, names))} + {_number(b)}) AS {out}"
-        for row, b, out in zip(weights, shifts, waves)
+    scale = float(np.sqrt(2.0 / FOURIER_FEATURES))
+    lines = [
+        f"named_struct('w', array({', '.join(_number(w) for w in row)}), 'b', {_number(b)})" for row, b in zip(weights, shifts)
     ]
-    return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__"), waves
+    product = f"aggregate(zip_with(l.w, array({', '.join(names)}), (a, x) -> a * x), l.b, (total, term) -> total + term)"
+    waves = SQLTransformer(
+        statement=f"SELECT *, transform(array({', '.join(lines)}), l -> {_number(scale)} * cos({product})) AS _waves FROM __THIS__"
+    )
+    columns = [f"_r{i}" for i in range(FOURIER_FEATURES)]
+    spread = SQLTransformer(statement=f"SELECT *, {', '.join(f'_waves[{i}] AS {c}' for i, c in enumerate(columns))} FROM __THIS__")
+    return [waves, spread], columns
 
 
 def _estimator(kind: str, n_rows: int, seed: int):
@@ -134,7 +141,7 @@ def _estimator(kind: str, n_rows: int, seed: int):
         return NaiveBayes(modelType="gaussian", **common)
     if kind in ("svm", "svm_multiclass"):
         svm = LinearSVC(regParam=1.0 / max(1, n_rows), standardization=False, tol=SVM_TOLERANCE, **weighted)
-        return svm if kind == "svm" else OneVsRest(classifier=svm, **weighted)
+        return svm if kind == "svm" else OneVsRest(classifier=svm, parallelism=4, **weighted)
     raise ValueError(f"unknown classifier {kind}")
 
 
@@ -156,10 +163,10 @@ def train_classifier(
     number, weight = (F.create_map(*[F.lit(v) for c in classes for v in (c, by_class[c][j])]) for j in (0, 1))
     rows = rows.withColumns({"_y": number[F.col(label)], "weight": weight[F.col(label)]})
     projection, names = _preprocessing(rows, numeric, categorical)
-    stages = [projection]
+    stages: list = [projection]
     if kind.startswith("svm"):
         waves, names = _fourier(projection.transform(rows), names, seed)
-        stages.append(waves)
+        stages += waves
     estimator = _estimator(kind, n, seed)
     stages += [VectorAssembler(inputCols=names, outputCol="_features"), estimator]
     return Classifier(Pipeline(stages=stages).fit(rows), classes, list(numeric), list(categorical), kind, positive)
