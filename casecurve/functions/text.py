@@ -66,7 +66,8 @@ def skin_flag(col: Column, kind: str = "text", words: list[str] | None = None) -
 
 
 def percent_text(share: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", share * 100.0)
+    """A share as percent text; ties round to even, which the formatter alone would not do."""
+    return F.format_string(f"%.{digits}f%%", F.bround(share * 100.0, digits))
 
 
 def alert_message(series: Column, ds: Column, cases: Column, z: Column, style: str = "summary") -> Column:
@@ -78,7 +79,7 @@ def alert_message(series: Column, ds: Column, cases: Column, z: Column, style: s
         "forecast": "%s outbreak alert for %s: %d projected cases (Z=%.2f).",
         "terminal": "%s outbreak warning for %s: %d cases predicted (Z=%.2f).",
     }
-    return F.format_string(formats[style], series, day, cases, z)
+    return F.format_string(formats[style], series, day, cases, F.bround(z, 2))
 
 
 def screening_message(disease: Column, confidence: Column, risk: Column, z: Column) -> Column:
@@ -86,7 +87,7 @@ def screening_message(disease: Column, confidence: Column, risk: Column, z: Colu
     return F.format_string(
         "Diagnosed %s with %.1f%% confidence. "
         "Community %s surveillance status is currently '%s' (Z=%s).",
-        disease, confidence * 100.0, disease, risk, z.cast("string"),
+        disease, F.bround(confidence * 100.0, 1), disease, risk, z.cast("string"),
     )
 
 

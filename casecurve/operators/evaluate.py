@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from casecurve.operators import arima, forecast
 from casecurve.operators.series import KEYS, ORIGINS, holdout_split, rolling_folds
+from casecurve.session import saved_table
 
 Model = Callable[[DataFrame, int, Sequence[str]], DataFrame]
 
@@ -51,6 +52,8 @@ def error_metrics(compared: DataFrame, keys: Sequence[str] = KEYS, digits: int |
 
 
 def _evaluate(split: DataFrame, model: str, horizon: int, keys: Sequence[str]) -> DataFrame:
+    # Read twice, for fitting and for testing.
+    split = saved_table(split, "split")
     predicted = MODELS[model](split.where("part = 'train'").drop("part"), horizon, keys)
     return compare(split.where("part = 'test'"), predicted, keys)
 

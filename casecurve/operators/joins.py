@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casecurve.operators.running import numbered
+from casecurve.session import saved_table
 
 
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -19,17 +20,21 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
 
 
 def prefer_first(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows of ``first`` and those rows of ``second`` whose key it does not have."""
+    """All rows of ``first`` and those rows of ``second`` whose key it does not have.
+
+    ``first`` is read twice and should be a table or cheap to compute.
+    """
     return first.unionByName(second.join(first.select(*keys), list(keys), "left_anti"))
 
 
 def assign_round_robin(rows: DataFrame, targets: DataFrame, position: str, target_key: str, output: str) -> DataFrame:
     """Gives row number i the (i mod n)-th of the n targets, by a numeric row position and key.
 
-    Positions and target ranks are numbered in parallel, so neither side is sorted in one task.
+    The targets are numbered in parallel and saved, so that their size decides the join.
     """
-    ranked = numbered(targets.select(target_key), target_key).select(F.col(target_key).alias(output), F.col("position").alias("_slot"))
-    n = targets.agg(F.count(F.lit(1))).scalar()
+    ranked = numbered(saved_table(targets.select(target_key), "targets"), target_key)
+    ranked = saved_table(ranked.select(F.col(target_key).alias(output), F.col("position").alias("_slot")), "targets")
+    n = ranked.agg(F.count(F.lit(1))).scalar()
     return rows.withColumn("_slot", F.pmod(F.col(position), n)).join(ranked, "_slot", "left").drop("_slot")
 
 

@@ -1,9 +1,9 @@
 """Exact k-nearest-neighbour search and vote, without forming all pairs.
 
 A training side of checked size travels to every task. A larger one is cut into cells around pivot
-rows; the triangle inequality gives each query the only cells that can hold a neighbour, and those
-are joined by cell, with large cells split into blocks on both sides. Either way each task keeps
-only its k best per query, and the results are the same.
+rows: a query's nearest cells bound its k-th distance, geometry then leaves only the cells that can
+still hold a neighbour, and those are joined by cell, with large cells and popular ones split into
+blocks. Either way each task keeps only its k best per query, and the results are the same.
 """
 
 from __future__ import annotations
@@ -64,59 +64,44 @@ def _against_all(queries: DataFrame, train: DataFrame, k: int) -> DataFrame:
     return queries.mapInPandas(search, "_query long, " + _FOUND)
 
 
-def _by_cells(queries: DataFrame, train: DataFrame, n: int, k: int, block_rows: int) -> DataFrame:
-    n_pivots = int(min(1024, max(1, round(n**0.5))))
-    pivots = _matrix(train.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(n_pivots).toPandas()["_vector"])
-
-    def to_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                distance = _distances(_matrix(batch["_vector"]), pivots)
-                yield batch.assign(_cell=distance.argmin(axis=1).astype("int32"), _reach=distance.min(axis=1))
-
-    celled = saved_table(train.mapInPandas(to_cell, train.schema.simpleString()[7:-1] + ", _cell int, _reach double"), "cells")
-    # At most one row per pivot.
-    stats = celled.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_reach").alias("radius")).orderBy("_cell").toPandas()
-    cells, sizes, radii = stats["_cell"].to_numpy(), stats["n"].to_numpy(), stats["radius"].to_numpy()
+def _search_cells(routed: DataFrame, celled: DataFrame, sizes: dict[int, int], k: int, block_rows: int) -> DataFrame:
+    """The k best rows of every routed (query, cell), cells and their queries both cut into blocks.
 
-    def to_candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            distance = _distances(_matrix(batch["_vector"]), pivots[cells])
-            farthest = distance + radii
-            order = np.argsort(farthest, axis=1)
-            enough = (np.cumsum(sizes[order], axis=1) >= min(k, n)).argmax(axis=1)
-            bound = np.take_along_axis(farthest, order[np.arange(len(batch)), enough][:, None], axis=1)
-            # The slack covers rounding in the distances.
-            possible = distance - radii <= bound * (1 + 1e-9) + 1e-9
-            yield batch.assign(_cells=[cells[p].tolist() for p in possible])
-
-    routed = queries.mapInPandas(to_candidates, "_query long, _vector array<double>, _cells array<int>")
-    routed = saved_table(routed.select("_query", "_vector", F.explode("_cells").alias("_cell")), "routes")
-    # Again at most one row per pivot: how many blocks each side of a cell is split into.
+    A cell of any size becomes work items of about ``block_rows`` rows against as many queries.
+    """
+    routed = saved_table(routed, "routes")
+    # At most one row per cell: how many queries ask for it.
     asked = {r["_cell"]: r["n"] for r in routed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = F.create_map(*[F.lit(int(v)) for c, s in zip(cells, sizes) for v in (c, -(-s // block_rows))])
-    salts = F.create_map(*[F.lit(int(v)) for c in cells for v in (c, -(-asked.get(c, 1) // block_rows))])
+    ways = F.create_map(
+        *[
+            v
+            for cell, size in sizes.items()
+            for v in (
+                F.lit(int(cell)),
+                F.struct(
+                    F.lit(-(-size // block_rows)).alias("blocks"),
+                    F.lit(-(-asked.get(cell, 1) // block_rows)).alias("salts"),
+                ),
+            )
+        ]
+    )
 
-    def spread(column: str, ways: str):
-        return F.pmod(F.xxhash64(column), F.col(ways)).cast("int")
+    def spread(column: str, part: str):
+        return F.pmod(F.xxhash64(column), F.col(f"_ways.{part}")).cast("int")
 
-    def every(ways: str):
-        return F.explode(F.sequence(F.lit(0), F.col(ways).cast("int") - 1))
+    def every(part: str):
+        return F.explode(F.sequence(F.lit(0), F.col(f"_ways.{part}") - 1))
 
     left = (
-        routed.withColumn("_blocks", blocks[F.col("_cell")])
-        .withColumn("_salts", salts[F.col("_cell")])
-        .withColumn("_salt", spread("_query", "_salts"))
-        .withColumn("_block", every("_blocks"))
+        routed.withColumn("_ways", ways[F.col("_cell")])
+        .withColumn("_salt", spread("_query", "salts"))
+        .withColumn("_block", every("blocks"))
         .select("_cell", "_block", "_salt", "_query", "_vector")
     )
     right = (
-        celled.withColumn("_blocks", blocks[F.col("_cell")])
-        .withColumn("_salts", salts[F.col("_cell")])
-        .withColumn("_block", spread("_id", "_blocks"))
-        .withColumn("_salt", every("_salts"))
+        celled.withColumn("_ways", ways[F.col("_cell")])
+        .withColumn("_block", spread("_id", "blocks"))
+        .withColumn("_salt", every("salts"))
         .select("_cell", "_block", "_salt", "_id", "_label", "_vector")
     )
 
@@ -129,6 +114,78 @@ def _by_cells(queries: DataFrame, train: DataFrame, n: int, k: int, block_rows:
     return left.groupBy(*work).cogroup(right.groupBy(*work)).applyInPandas(search, "_query long, " + _FOUND)
 
 
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("_query").orderBy("distance", "neighbour_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _by_cells(queries: DataFrame, train: DataFrame, n: int, k: int, block_rows: int) -> DataFrame:
+    """Two rounds: the nearest cells that hold k rows give each query a bound on its k-th distance,
+    and only cells that the bound cannot rule out are searched after that."""
+    n_pivots = int(min(1024, max(1, round(n**0.5))))
+    pivots = _matrix(train.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(n_pivots).toPandas()["_vector"])
+
+    def to_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                distance = _distances(_matrix(batch["_vector"]), pivots)
+                yield batch.assign(_cell=distance.argmin(axis=1).astype("int32"), _reach=distance.min(axis=1))
+
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in train.schema)
+    celled = saved_table(train.mapInPandas(to_cell, columns + ", _cell int, _reach double"), "cells")
+    # At most one row per pivot.
+    stats = celled.groupBy("_cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_reach").alias("inner"), F.max("_reach").alias("outer")
+    ).orderBy("_cell").toPandas()
+    cells, counts = stats["_cell"].to_numpy(), stats["n"].to_numpy()
+    inner, outer = stats["inner"].to_numpy(), stats["outer"].to_numpy()
+    centres = pivots[cells]
+    between = _distances(centres, centres)
+    sizes = {int(c): int(s) for c, s in zip(cells, counts)}
+
+    def home(distance: np.ndarray) -> list[np.ndarray]:
+        """Positions of the nearest cells that together hold k rows."""
+        order = np.argsort(distance, axis=1)
+        enough = (np.cumsum(counts[order], axis=1) >= min(k, n)).argmax(axis=1)
+        return [row[: e + 1] for row, e in zip(order, enough)]
+
+    def route_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                chosen = home(_distances(_matrix(batch["_vector"]), centres))
+                yield batch.assign(_cells=[cells[c].tolist() for c in chosen])
+
+    def route_rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            distance = _distances(_matrix(batch["_vector"]), centres)
+            nearest = distance.argmin(axis=1)
+            # A row lies in its cell's ring, and nearer to its own pivot than to the query's.
+            ring = np.maximum(distance - outer, inner - distance)
+            apart = between[nearest]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                half = (distance**2 - distance.min(axis=1, keepdims=True) ** 2) / (2 * apart)
+            least = np.maximum(ring, np.where(apart > 0, half, 0.0))
+            bound = batch["_bound"].to_numpy()[:, None]
+            # The slack covers rounding in the distances.
+            possible = least <= bound * (1 + 1e-9) + 1e-9
+            for row, done in zip(possible, home(distance)):
+                row[done] = False
+            yield batch.drop(columns="_bound").assign(_cells=[cells[p].tolist() for p in possible])
+
+    routes = "_query long, _vector array<double>, _cells array<int>"
+
+    def exploded(routed: DataFrame) -> DataFrame:
+        return routed.select("_query", "_vector", F.explode("_cells").alias("_cell"))
+
+    first = saved_table(_ranked(_search_cells(exploded(queries.mapInPandas(route_home, routes)), celled, sizes, k, block_rows), k), "found")
+    bounds = first.groupBy("_query").agg(F.max("distance").alias("_bound"))
+    bounded = queries.join(bounds, "_query").select("_query", "_vector", "_bound")
+    rest = _search_cells(exploded(bounded.mapInPandas(route_rest, routes)), celled, sizes, k, block_rows)
+    return first.drop("rank").unionByName(rest)
+
+
 def nearest_neighbours(
     queries: DataFrame,
     train: DataFrame,
@@ -148,8 +205,7 @@ def nearest_neighbours(
         found = _against_all(asking, held, k)
     else:
         found = _by_cells(asking, held, n, k, block_rows)
-    rank = F.row_number().over(Window.partitionBy("_query").orderBy("distance", "neighbour_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select(
+    return _ranked(found, k).select(
         F.col("_query").alias("query_id"), "rank", "neighbour_id", "distance", "neighbour_label"
     )
 

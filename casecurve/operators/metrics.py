@@ -99,7 +99,7 @@ def class_report(df: DataFrame, label: str = "label", prediction: str = "predict
 
 def _score_counts(df: DataFrame, score: str, positive: Column) -> DataFrame:
     """Distinct scores with their positives and negatives, saved once for the passes that follow."""
-    counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
+    counts = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
     return saved_table(counts, "scores")

@@ -6,14 +6,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from casecurve.functions.text import repaired_gender, skin_flag, terminal_gender
-from casecurve.operators import bayes, classify, intake, joins, knn, splits
+from casecurve.functions import dates, numbers
+from casecurve.functions.text import percent_text, repaired_gender, risk_label, skin_flag, terminal_gender, yes_no_flag
+from casecurve.operators import arima, bayes, classify, intake, joins, knn, metrics, splits
 from casecurve.operators.baseline import global_baseline
 from casecurve.operators.series import case_series
 from casecurve.plans import screening, surveillance
-from casecurve.plans.queries_series import orders_monthly
+from casecurve.plans.queries_series import ALERT_SOURCE, ASSESSED, SEASONAL_FORECAST, orders_monthly, peak_alerts
 from casecurve.plans.registry import ORDERS, query, seasonal_cte, series_ctes
-from casecurve.plans.queries_series import ASSESSED, SEASONAL_FORECAST
+from casecurve.plans.retrain import retrain
 from casecurve.session import saved_table, shared_folder
 from casecurve.sources import stores
 from casecurve.sources.tables import (
@@ -344,3 +345,126 @@ def stream_screening(spark, folder):
     status = saved_table(_disease_status(spark, folder), "status")
     start_screening(intakes_of(event_stream(spark, folder)), fitted, status, out, checkpoint, available_now=True).awaitTermination()
     return spark.read.parquet(out)
+
+
+# -- further composites ---------------------------------------------------------------------------
+
+
+@query("""WITH s AS (SELECT o_totalprice AS score, o_orderstatus = 'F' AS pos FROM orders),
+c AS (SELECT score, count(*) FILTER (pos) AS p, count(*) FILTER (NOT pos) AS n FROM s GROUP BY 1),
+u AS (SELECT score, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM c WINDOW w AS (ORDER BY score DESC)),
+f AS (SELECT score, tp / (tp + fp) AS pr, tp / (SELECT sum(p) FROM c) AS rc FROM u),
+t AS (SELECT score AS threshold FROM f ORDER BY 2 * pr * rc / (pr + rc + 1e-10::double) DESC, score LIMIT 1)
+SELECT o_orderkey, CASE WHEN o_totalprice >= threshold THEN 'F' ELSE 'other' END AS prediction FROM orders, t""")
+def threshold_decision(spark, folder):
+    """Rows decided by the threshold with the best F1 on them."""
+    rows = table(spark, folder, "orders")
+    threshold = metrics.best_threshold(rows, "o_totalprice", F.col("o_orderstatus") == "F").select("threshold").scalar()
+    return rows.select("o_orderkey", F.when(F.col("o_totalprice") >= threshold, "F").otherwise("other").alias("prediction"))
+
+
+@query()
+def submission(spark, folder):
+    """A multiclass model trained on one part predicts the other; the result is a CSV file."""
+    rows = table(spark, folder, "embeddings").select(
+        "vec_id", F.col("label").cast("string").alias("label"), *[c.alias(f"e{i}") for i, c in enumerate(_dims(16))]
+    )
+    split = splits.hash_split(rows, "vec_id")
+    fitted = classify.train_classifier(
+        split.where("part = 'train'"), "label", [f"e{i}" for i in range(16)], [], "forest_climate"
+    )
+    path = _scratch(spark, "submission")
+    stores.write_csv(classify.scored(split.where("part = 'test'"), fitted).select("vec_id", "prediction"), path)
+    return stores.read_csv(spark, path, "vec_id bigint, prediction string")
+
+
+@query()
+def forest_study(spark, folder):
+    """The larger, nearly unbounded forest on the records with laboratory values."""
+    fitted = classify.train_classifier(
+        _records(spark, folder), "disease", [*NUMERIC, "platelet_count", "wbc"], CATEGORICAL, "forest_study", "Dengue"
+    )
+    scored = classify.scored(_records(spark, folder), fitted)
+    return metrics.confusion_matrix(scored, ["Dengue", "Typhoid"], "disease")
+
+
+@query(f"""WITH {ORDERS}, {seasonal_cte()}, {ALERT_SOURCE}, {ASSESSED}
+SELECT series_id AS disease, 'National Surveillance' AS region, risk_level, z_score,
+  printf('%s outbreak alert for %s: %d projected cases (Z=%.2f).', series_id, strftime(ds, '%Y-%m-%d'), predicted_cases, z_score) AS alert_message,
+  false AS is_resolved
+FROM assessed WHERE is_anomaly ORDER BY alert_message LIMIT 50""")
+def stored_alerts(spark, folder):
+    path = _scratch(spark, "outbreak_alerts")
+    alerts = surveillance.alert_rows(peak_alerts(spark, folder), "National Surveillance", "forecast")
+    stores.append(alerts, path, stores.ALERTS_SCHEMA)
+    return stores.latest(stores.read_store(spark, path, stores.ALERTS_SCHEMA), 50, "created_at", "alert_message").drop("created_at")
+
+
+@query("""SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, n_name AS city, r_name AS district,
+  23.4::double + n_nationkey * 0.5::double AS latitude, 60.5::double + n_nationkey * 0.7::double AS longitude
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def stored_centers(spark, folder):
+    path = _scratch(spark, "healthcare_centers")
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    centers = (
+        table(spark, folder, "supplier")
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("n_name").alias("city"),
+            F.col("r_name").alias("district"), (23.4 + F.col("n_nationkey") * 0.5).alias("latitude"),
+            (60.5 + F.col("n_nationkey") * 0.7).alias("longitude"),
+        )
+    )
+    stores.append(centers, path, stores.CENTERS_SCHEMA)
+    return stores.read_store(spark, path, stores.CENTERS_SCHEMA)
+
+
+@query()
+def sarima_parameters(spark, folder):
+    fitted = arima.fit_sarima(orders_monthly(spark, folder))
+    return fitted.select("series_id", *[F.bround(c, 3).alias(c) for c in ("ar", "sar", "ma", "sma", "sse", "aic")])
+
+
+@query()
+def retrain_all(spark, folder):
+    """Hold-out scores of both forecast models after a full retraining run."""
+    out = retrain(
+        orders_monthly(spark, folder), _records(spark, folder), _scratch(spark, "models"), "record_id", "disease", "Dengue",
+        NUMERIC, CATEGORICAL,
+    )
+    return out.holdout
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_custkey % 50 AS DOUBLE) END AS number,
+  CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(c_custkey % 300 AS INTEGER) END AS day,
+  CASE c_custkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 1 END AS flag, CAST((c_custkey % 50) * 1000 AS DOUBLE) AS scaled,
+  CAST(c_custkey % 50 > 20 AS INTEGER) AS above, CAST(round_even(greatest(c_acctbal / 100, 0.0::double), 0) AS BIGINT) AS whole,
+  CASE c_custkey % 5 WHEN 3 THEN 'critical' WHEN 4 THEN 'alert' ELSE 'normal' END AS risk,
+  strftime(DATE '2024-01-01' + CAST(c_custkey % 300 AS INTEGER), '%Y-%m-%d') AS day_text,
+  printf('%.1f%%', (c_custkey % 50) / 64.0::double * 100) AS percent FROM customer""")
+def lenient_cleaning(spark, folder):
+    """Cells of mixed quality through every scalar cleaning expression."""
+    key = F.col("c_custkey")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (key % 300).cast("int"))
+    raw = table(spark, folder, "customer").select(
+        "c_custkey",
+        F.when(key % 3 == 0, "n/a").otherwise((key % 50).cast("string")).alias("n"),
+        (key % 50).cast("string").alias("clean"),
+        F.when(key % 4 == 0, "not a day").otherwise(day.cast("string")).alias("d"),
+        nth_text("c_custkey", ["Yes", "no ", " YES", "CRITICAL", "Alert"]).alias("t"),
+        "c_acctbal",
+        day.alias("day"),
+    )
+    return raw.select(
+        "c_custkey",
+        numbers.lenient_double(F.col("n")).alias("number"),
+        dates.parsed_time(F.col("d"), strict=False).cast("date").alias("day"),
+        yes_no_flag(F.col("t")).alias("flag"),
+        numbers.per_thousand_to_count(F.col("clean")).alias("scaled"),
+        numbers.positive_flag(numbers.lenient_double(F.col("clean")) - 20).alias("above"),
+        numbers.whole_cases(F.col("c_acctbal") / 100).alias("whole"),
+        risk_label(F.col("t")).alias("risk"),
+        dates.day_text(F.col("day")).alias("day_text"),
+        percent_text(numbers.lenient_double(F.col("clean")) / 64.0).alias("percent"),
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from casecurve.operators import features, impute, joins, metrics, profile, splits
 from casecurve.operators.running import numbered
 from casecurve.plans.registry import query
+from casecurve.session import saved_table
 from casecurve.sources.tables import clinical, table
 
 CLINICAL = """
@@ -174,7 +175,7 @@ def impute_mode(spark, folder):
          count(*) OVER (PARTITION BY label) AS n FROM clinical)
 SELECT doc_id, label, CASE WHEN p <= (n * 20 + 99) // 100 THEN 'test' ELSE 'train' END AS part FROM r""")
 def stratified_split(spark, folder):
-    return splits.stratified_split(clinical(spark, folder).select("doc_id", "label"), "doc_id", "label")
+    return splits.stratified_split(saved_table(clinical(spark, folder).select("doc_id", "label"), "labels"), "doc_id", "label")
 
 
 @query("""WITH r AS (
@@ -191,7 +192,7 @@ def stratified_split_orders(spark, folder):
          count(*) OVER (PARTITION BY label) AS n FROM clinical)
 SELECT doc_id, label, CAST((p * 5) // n AS INTEGER) AS fold FROM r""")
 def kfold_stratified(spark, folder):
-    return splits.assign_folds(clinical(spark, folder).select("doc_id", "label"), "doc_id", "label", k=5)
+    return splits.assign_folds(saved_table(clinical(spark, folder).select("doc_id", "label"), "labels"), "doc_id", "label", k=5)
 
 
 @query("""WITH r AS (

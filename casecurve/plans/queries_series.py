@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from casecurve.operators import baseline, evaluate, forecast, risk, series
 from casecurve.plans import surveillance
 from casecurve.plans.registry import GLOBAL, GRADE, LINEITEM, ORDERS, query, scan_cte, seasonal_cte, series_ctes
+from casecurve.session import saved_table
 from casecurve.sources.tables import event_cases, lineitem_cases, order_cases
 
 
@@ -14,6 +15,11 @@ def orders_monthly(spark, folder):
     return series.case_series(order_cases(spark, folder), word="f")
 
 
+def orders_saved(spark, folder):
+    """The order series as a table, for queries that read it more than once."""
+    return saved_table(orders_monthly(spark, folder), "series")
+
+
 def lineitem_monthly(spark, folder):
     return series.case_series(lineitem_cases(spark, folder), word="f")
 
@@ -42,7 +48,7 @@ def monthly_cases_complete(spark, folder):
 @query(f"""WITH {ORDERS}, {GLOBAL}
 SELECT o.*, s.lo AS first_ds FROM overall o JOIN span s USING (series_id)""")
 def global_baseline(spark, folder):
-    monthly = orders_monthly(spark, folder)
+    monthly = orders_saved(spark, folder)
     span = series.series_span(monthly).select("series_id", "first_ds")
     return baseline.global_baseline(monthly).join(span, "series_id")
 
@@ -142,21 +148,21 @@ def surveillance_summary(spark, folder):
          round_even((s.y - o.mean) / o.std, 2) AS z_score FROM series s JOIN overall o USING (series_id))
 SELECT *, {GRADE.format(z='z_score')} AS risk_level, coalesce(z_score >= 2, false) AS is_anomaly FROM z""")
 def assess_forecast_global(spark, folder):
-    monthly = orders_monthly(spark, folder)
+    monthly = orders_saved(spark, folder)
     as_forecast = monthly.withColumnRenamed("y", "predicted_cases")
     return risk.assess_forecast(as_forecast, baseline.global_baseline(monthly))
 
 
-# The naive forecast repeats the last count, which the month-of-year levels then grade.
+# Every future month at the series' highest count, which the month-of-year levels then grade.
 ALERT_SOURCE = f"""{FUTURE},
     predicted AS (
       SELECT f.series_id, f.ds, f.step, CAST(g.top AS BIGINT) AS predicted_cases
       FROM future f JOIN (SELECT series_id, max(y) AS top FROM series GROUP BY 1) g USING (series_id))"""
 
 
-def _peak_alerts(spark, folder):
+def peak_alerts(spark, folder):
     """Every future month at the series' highest count: a forecast that does raise alerts."""
-    monthly = orders_monthly(spark, folder)
+    monthly = orders_saved(spark, folder)
     top = monthly.groupBy("series_id").agg(F.max("y").alias("predicted_cases"), F.max("ds").alias("last_ds"))
     peak = series.future_periods(top, 6).select("series_id", "ds", "step", "predicted_cases")
     return risk.assess_forecast(peak, baseline.global_baseline(monthly), baseline.seasonal_baseline(monthly))
@@ -164,7 +170,7 @@ def _peak_alerts(spark, folder):
 
 @query(f"WITH {ORDERS}, {seasonal_cte()}, {ALERT_SOURCE}, {ASSESSED} SELECT * FROM assessed")
 def assess_forecast_seasonal(spark, folder):
-    return _peak_alerts(spark, folder)
+    return peak_alerts(spark, folder)
 
 
 @query(f"""WITH {ORDERS}, {seasonal_cte()}, {ALERT_SOURCE}, {ASSESSED}
@@ -173,14 +179,14 @@ SELECT series_id AS disease, 'Surveillance Region' AS region, risk_level, round_
   false AS is_resolved
 FROM assessed WHERE is_anomaly""")
 def alert_messages(spark, folder):
-    return surveillance.alert_rows(_peak_alerts(spark, folder), "Surveillance Region")
+    return surveillance.alert_rows(peak_alerts(spark, folder), "Surveillance Region")
 
 
 @query(f"""WITH {ORDERS}, {seasonal_cte()}, {ALERT_SOURCE}, {ASSESSED}
 SELECT series_id, ds, predicted_cases, risk_level, z_score FROM assessed WHERE is_anomaly
 ORDER BY CASE WHEN lower(risk_level) = 'critical' THEN 0 ELSE 1 END, ds, series_id LIMIT 3""")
 def worst_alerts(spark, folder):
-    alerts = risk.anomalies(_peak_alerts(spark, folder))
+    alerts = risk.anomalies(peak_alerts(spark, folder))
     return surveillance.worst_first(alerts, 3).select("series_id", "ds", "predicted_cases", "risk_level", "z_score")
 
 
@@ -264,6 +270,7 @@ SELECT f.series_id, f.ds, f.step, round_even(level + season[(n + f.step - 1) % 1
 FROM future f JOIN fit USING (series_id)""")
 def holt_winters_fixed(spark, folder):
     params = forecast.fit_holt_winters(orders_monthly(spark, folder), alpha=0.3, gamma=0.2)
+    params = saved_table(params, "params")
     predicted = forecast.predict_holt_winters(params, 6)
     return _rounded(predicted.join(params.select("series_id", F.bround("sse", 3).alias("sse")), "series_id"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from casecurve.functions.text import is_word
 from casecurve.operators.risk import scan_history
 from casecurve.operators.series import fill_gaps
+from casecurve.session import saved_table
 from casecurve.sources.tables import table
 
 DENGUE_PRIORITIES = ["1-URGENT", "2-HIGH"]
@@ -24,8 +25,11 @@ def _cases_by_nation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per nation with cases: latest month graded, main disease, hospitals, place."""
-    cases = _cases_by_nation(spark, folder)
+    """One row per nation with cases: latest month graded, main disease, hospitals, place.
+
+    Saved, as filters, searches and roll-ups read it again and again.
+    """
+    cases = saved_table(_cases_by_nation(spark, folder), "cases")
     monthly = fill_gaps(cases.groupBy("id", "ds").agg(F.sum("y").alias("y")), ["id"])
     graded = scan_history(monthly, ["id"]).withColumn("_before", F.lag("y").over(Window.partitionBy("id").orderBy("ds")))
     latest = F.max_by(F.struct("y", "_before", "z_score", "risk_level"), "ds").alias("l")
@@ -57,7 +61,7 @@ def registry(spark: SparkSession, folder: str) -> DataFrame:
     )
     nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("r_regionkey"))
     provinces = table(spark, folder, "region").withColumnRenamed("r_name", "province")
-    return (
+    regions = (
         nations.join(provinces, "r_regionkey")
         .drop("r_regionkey")
         .join(status, "id")
@@ -67,3 +71,4 @@ def registry(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("latitude", 23.4 + F.col("id") * 0.5)
         .withColumn("longitude", 60.5 + F.col("id") * 0.7)
     )
+    return saved_table(regions, "regions")

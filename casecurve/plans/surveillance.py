@@ -14,6 +14,8 @@ from casecurve.operators.baseline import global_baseline, seasonal_baseline
 from casecurve.operators.evaluate import forecast_with
 from casecurve.operators.risk import anomalies, assess_forecast, evaluate_counts, scan_history
 from casecurve.operators.series import KEYS
+from casecurve.session import saved_table
+from casecurve.sources import stores
 
 # Longest horizon of the summary and of a single forecast.
 MAX_SUMMARY_STEPS, MAX_FORECAST_STEPS = 12, 24
@@ -23,7 +25,7 @@ MODEL_NAMES = {"holt_winters": "Holt-Winters", "sarima": "SARIMA"}
 
 @dataclass
 class SurveillanceSummary:
-    """Lazily evaluated parts of a surveillance run."""
+    """The parts of a surveillance run."""
 
     baseline: DataFrame
     seasonal: DataFrame
@@ -40,8 +42,14 @@ def check_horizon(months: int, limit: int = MAX_FORECAST_STEPS) -> int:
 def graded_forecast(
     series: DataFrame, model: str = "holt_winters", months: int = 6, keys: Sequence[str] = KEYS
 ) -> DataFrame:
-    """Forecast of every series, graded against month-of-year levels."""
-    predicted = forecast_with(series, model, check_horizon(months), keys).select(*keys, "ds", "step", "predicted_cases")
+    """Forecast of every series, graded against month-of-year levels.
+
+    The model and both baselines read the series, so it is saved first: the line list behind it is
+    scanned once.
+    """
+    check_horizon(months)
+    series = saved_table(series, "series")
+    predicted = forecast_with(series, model, months, keys).select(*keys, "ds", "step", "predicted_cases")
     return assess_forecast(predicted, global_baseline(series, keys), seasonal_baseline(series, keys), keys)
 
 
@@ -74,12 +82,19 @@ def forecast_records(graded: DataFrame, model: str) -> DataFrame:
 def summarise(
     series: DataFrame, months: int = 6, model: str = "holt_winters", region: str = "Surveillance Region"
 ) -> SurveillanceSummary:
-    """Baselines, graded forecasts and alerts of every series."""
+    """Baselines, graded forecasts and alerts of every series; the forecast is computed here, once."""
     check_horizon(months, MAX_SUMMARY_STEPS)
-    graded = graded_forecast(series, model, months)
+    series = saved_table(series, "series")
+    graded = saved_table(graded_forecast(series, model, months), "forecast")
     return SurveillanceSummary(global_baseline(series), seasonal_baseline(series), graded, alert_rows(graded, region))
 
 
+def store_summary(summary: SurveillanceSummary, model: str, forecasts_path: str, alerts_path: str) -> None:
+    """Appends all forecasts and alerts of a run, one write each."""
+    stores.append(forecast_records(summary.forecast, model), forecasts_path, stores.FORECASTS_SCHEMA)
+    stores.append(summary.alerts, alerts_path, stores.ALERTS_SCHEMA)
+
+
 def anomaly_table(*series: DataFrame) -> DataFrame:
     """Anomalous periods of several groups of series in one table, sorted by date and series."""
     graded = [scan_history(s) for s in series]
@@ -97,6 +112,7 @@ def current_status(series: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 def alerts_or_drill(alerts: DataFrame, disease: str = "Drill", region: str = "All regions") -> DataFrame:
     """The alerts, or one drill alert for readiness checks when there is none."""
+    alerts = saved_table(alerts, "alerts")
     drill = (
         alerts.groupBy()
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -120,6 +136,7 @@ def worst_first(alerts: DataFrame, n: int = 1, order: Sequence[str] = ("ds", "se
 
 def dashboard_tiles(intakes: DataFrame, graded: DataFrame) -> DataFrame:
     """Long table tile, value: logged intakes, next forecast per series, active alerts."""
+    graded = saved_table(graded, "forecast")
     logged = intakes.agg(F.count(F.lit(1)).alias("value")).select(F.lit("intakes_logged").alias("tile"), "value")
     following = graded.groupBy("series_id").agg(F.min_by("predicted_cases", "ds").alias("value")).select(
         F.concat(F.lit("next_forecast:"), F.col("series_id")).alias("tile"), "value"
