@@ -1,16 +1,18 @@
 """Exact quantiles without sorting or collecting a whole group.
 
 One pass brackets each wanted rank with approximate percentiles of guaranteed rank error; a second
-pass counts the rows below the bracket and, by value, those inside it. Only the bracket's distinct
-values are sorted, a fraction of about 6/accuracy of a group, so one group may hold any share of
-the rows.
+pass counts rows by value inside the brackets and in one lump in each gap between them. Only the
+brackets' distinct values are sorted, about 6/accuracy of a group per quantile, so one group may
+hold any share of the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casecurve.session import saved_table
@@ -27,26 +29,24 @@ def long_values(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = (
 
 
 def _summaries(values: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
-    """Moments per key and, per probability, a value interval certain to hold the wanted rank."""
+    """Moments per key and value intervals certain to hold the wanted ranks."""
     margin = 3.0 / accuracy
-    low = F.percentile_approx("value", [max(0.0, p - margin) for p in probs], accuracy)
-    high = F.percentile_approx("value", [min(1.0, p + margin) for p in probs], accuracy)
-    # Below this size the margin is narrower than a rank, so the whole range is the bracket.
-    small = F.col("count") <= 10 * accuracy
-    return (
-        values.groupBy(*keys)
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            low.alias("_low"),
-            high.alias("_high"),
-        )
-        .withColumn("_low", F.when(small, F.array_repeat("min", len(probs))).otherwise(F.col("_low")))
-        .withColumn("_high", F.when(small, F.array_repeat("max", len(probs))).otherwise(F.col("_high")))
+    points = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
+    # Below this size the margin is narrower than a few ranks, so the whole range is one bracket.
+    small = F.col("count") <= 4 * accuracy
+    rows = values.groupBy(*keys).agg(
+        F.count("value").alias("count"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.percentile_approx("value", points, accuracy).alias("_points"),
     )
+    n = len(probs)
+    # Plain columns rather than arrays keep the second pass in generated code.
+    lows = {f"_low{i}": F.when(small, F.col("min")).otherwise(F.col("_points")[i]) for i in range(n)}
+    highs = {f"_high{i}": F.when(small, F.col("max")).otherwise(F.col("_points")[n + i]) for i in range(n)}
+    return rows.withColumns({**lows, **highs}).drop("_points")
 
 
 def summarise_values(
@@ -61,40 +61,40 @@ def summarise_values(
     values = long_values(df, columns, groups)
     summaries = saved_table(_summaries(values, keys, probs, accuracy), "quantiles")
 
-    brackets = F.arrays_zip(F.col("_low").alias("low"), F.col("_high").alias("high"))
-    inside = (
-        values.join(summaries.select(*keys, brackets.alias("_brackets")), keys)
-        .select(*keys, "value", F.posexplode("_brackets").alias("i", "_b"))
-        .where(F.col("value") <= F.col("_b.high"))
-        # Rows under the bracket share the null key: one partially aggregated count.
-        .withColumn("key", F.when(F.col("value") >= F.col("_b.low"), F.col("value")))
-        .groupBy(*keys, "i", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    upto = Window.partitionBy(*keys, "i").orderBy(F.col("key").asc_nulls_first())
-    ranked = inside.withColumn("_upto", F.sum("n").over(upto)).join(summaries.select(*keys, "count"), keys)
-    position = (F.col("count") - 1) * F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
-    at = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("key")))
-    picked = (
-        ranked.withColumn("_pos", position)
-        .groupBy(*keys, "i")
-        .agg(
-            F.first("_pos").alias("_pos"),
-            at(F.floor("_pos")).alias("_lower"),
-            at(F.ceil("_pos")).alias("_upper"),
-            F.max(F.when(F.col("key").isNull(), F.col("_upto")).otherwise(0)).alias("_below"),
+    value = F.col("value")
+    brackets = [(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in range(len(probs))]
+    names = [f"_{side}{i}" for i in range(len(probs)) for side in ("low", "high")]
+    inside = reduce(or_, [(low <= value) & (value <= high) for low, high in brackets])
+    # A value in a gap stands for all of that gap, under the end of the bracket before it.
+    ends = [F.when(high < value, high) for _, high in brackets]
+    counted = (
+        values.join(summaries.select(*keys, *names), keys)
+        .where(value <= F.greatest(*[high for _, high in brackets], F.lit(float("-inf"))))
+        .select(
+            *keys,
+            F.when(inside, value).otherwise(F.greatest(*ends, F.lit(None).cast("double"))).alias("key"),
+            (~inside).alias("in_gap"),
         )
+        .groupBy(*keys, "key", "in_gap")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    sound = (F.col("_below") <= F.floor("_pos")) & F.col("_upper").isNotNull()
-    value = F.col("_lower") + (F.col("_pos") - F.floor("_pos")) * (F.col("_upper") - F.col("_lower"))
-    checked = F.when(sound, value).otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-    quantiles = (
-        picked.withColumn("_value", checked)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("i", "_value"))).alias("_q"))
-        .select(*keys, F.transform("_q", lambda q: q["_value"]).alias("quantiles"))
-    )
-    return summaries.drop("_low", "_high").join(quantiles, keys)
+    upto = Window.partitionBy(*keys).orderBy(F.col("key").asc_nulls_first(), "in_gap")
+    ranked = counted.withColumn("_upto", F.sum("n").over(upto)).join(summaries.select(*keys, "count"), keys)
+
+    def at(rank: Column) -> Column:
+        """The value of that rank (from 0); landing in a gap would be an error."""
+        row = F.min(F.when(F.col("_upto") > rank, F.struct("_upto", "key", "in_gap")))
+        missed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
+        return F.when(row["in_gap"], missed).otherwise(row["key"])
+
+    quantiles = []
+    for p in probs:
+        position = (F.col("count") - 1) * float(p)
+        share = F.first(position) - F.floor(F.first(position))
+        lower, upper = at(F.floor(position)), at(F.ceil(position))
+        quantiles.append(lower + share * (upper - lower))
+    picked = ranked.groupBy(*keys).agg(F.array(*quantiles).alias("quantiles"))
+    return summaries.drop(*names).join(picked, keys)
 
 
 def medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
