@@ -1,7 +1,7 @@
 """Seasonal ARIMA per series, fitted by conditional least squares.
 
-Covers (1,d,1)x(1,0,Q)12 with d and Q in {0, 1}. The parameters are searched with numpy on one
-series' array at a time inside ``mapInPandas``; series are spread over tasks by Spark. Unlike an
+Covers (1,d,1)x(1,0,Q)12 with d and Q in {0, 1}. The parameters are searched with numpy for a
+few hundred series together inside ``mapInPandas``; series are spread over tasks by Spark. Unlike an
 exact-likelihood fit, errors before the first 13 differenced values are taken as zero.
 """
 
@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casecurve.operators.forecast import SEASON, as_arrays
+from casecurve.operators.forecast import INTERVAL_Z, SEASON, as_arrays, padded, spread_out
 from casecurve.operators.series import KEYS, future_periods
 
 LAGS = SEASON + 1
@@ -23,32 +23,39 @@ SERVICE_ORDER = (0, 0)
 BACKTEST_ORDER = (1, 1)
 
 
-def _errors(w: np.ndarray, grid: np.ndarray) -> np.ndarray:
-    """One-step errors of every parameter row (ar, sar, ma, sma) as an array (time, rows)."""
-    ar, sar, ma, sma = grid.T
-    errors = np.zeros((len(w), len(grid)))
-    for t in range(LAGS, len(w)):
-        predicted = ar * w[t - 1] + sar * w[t - SEASON] - ar * sar * w[t - LAGS]
-        predicted = predicted + ma * errors[t - 1] + sma * errors[t - SEASON] + ma * sma * errors[t - LAGS]
-        errors[t] = w[t] - predicted
-    return errors
+def _errors(w: np.ndarray, n: np.ndarray, params: np.ndarray) -> Iterator[np.ndarray]:
+    """One-step errors (series, candidate), one array per time step; zero outside 13 <= t < n."""
+    ar, sar, ma, sma = np.moveaxis(params, 2, 0)
+    past = [np.zeros(ar.shape)] * LAGS
+    for t in range(w.shape[1]):
+        error = past[0] * 0.0
+        if t >= LAGS:
+            predicted = ar * w[:, t - 1, None] + sar * w[:, t - SEASON, None] - ar * sar * w[:, t - LAGS, None]
+            predicted = predicted + ma * past[0] + sma * past[SEASON - 1] + ma * sma * past[LAGS - 1]
+            error = np.where((t < n)[:, None], w[:, t, None] - predicted, 0.0)
+        past = [error, *past[:-1]]
+        yield error
 
 
-def _search(w: np.ndarray, with_sma: bool) -> tuple[np.ndarray, float]:
-    """Least-squares parameters: a coarse grid inside (-1, 1), then ever narrower boxes."""
-    free = 4 if with_sma else 3
-    best, width = np.zeros(4), 0.9
+def _search(w: np.ndarray, n: np.ndarray, free: int) -> np.ndarray:
+    """Least-squares (ar, sar, ma, sma) per series: a coarse grid in (-1, 1), then narrower boxes."""
+    best, width = np.zeros((len(w), 4)), 0.9
     for round_no in range(9):
         ticks = np.linspace(-width, width, 5 if round_no == 0 else 3)
-        offsets = np.stack(np.meshgrid(*[ticks] * free, indexing="ij"), axis=-1).reshape(-1, free)
-        grid = np.tile(best, (len(offsets), 1))
-        grid[:, :free] = np.clip(grid[:, :free] + offsets, -0.99, 0.99)
-        with np.errstate(over="ignore", invalid="ignore"):
-            sse = np.square(_errors(w, grid)).sum(axis=0)
-        sse[~np.isfinite(sse)] = np.inf
-        best = grid[int(np.argmin(sse))]
+        offsets = np.zeros((len(ticks) ** free, 4))
+        offsets[:, :free] = np.stack(np.meshgrid(*[ticks] * free, indexing="ij"), axis=-1).reshape(-1, free)
+        grid = np.clip(best[:, None, :] + offsets[None, :, :], -0.99, 0.99)
+        sse = np.zeros(grid.shape[:2])
+        for error in _errors(w, n, grid):
+            sse += error * error
+        best = grid[np.arange(len(w)), np.where(np.isfinite(sse), sse, np.inf).argmin(axis=1)]
         width *= 0.5
-    return best, float(sse.min())
+    return best
+
+
+def _tail(values: np.ndarray, n: int) -> list[float]:
+    """The newest 13 of the first n values, newest first, zeros before the start."""
+    return np.concatenate([np.zeros(LAGS), values[:n]])[::-1][:LAGS].tolist()
 
 
 def fit_sarima(
@@ -64,23 +71,28 @@ def fit_sarima(
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for values in batch["values"]:
-                y = np.asarray(values, dtype=float)
-                w = np.diff(y) if d else y
-                used = len(w) - LAGS
-                if used > 0:
-                    params, sse = _search(w, bool(q))
-                    e = _errors(w, params[None, :])[:, 0]
-                    aic = used * np.log(max(sse, 1e-12) / used) + 2 * n_params
-                else:
-                    params, sse, aic, e = np.zeros(4), 0.0, None, np.zeros(len(w))
-                newest = [np.concatenate([np.zeros(LAGS), a])[::-1][:LAGS].tolist() for a in (w, e)]
-                rows.append((*params.tolist(), sse, aic, *newest, float(y[-1])))
-            names = ["ar", "sar", "ma", "sma", "sse", "aic", "w_tail", "e_tail", "last_y"]
-            yield pd.concat([batch[[*keys, "last_ds", "n"]].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
-
-    arrays = as_arrays(series, keys)
+            for start in range(0, len(batch), 256):
+                part = batch.iloc[start : start + 256].reset_index(drop=True)
+                y, length = padded(part["values"])
+                w, n = (np.diff(y, axis=1), length - 1) if d else (y, length)
+                best = _search(w, n, 3 + q)
+                errors = np.array([e[:, 0] for e in _errors(w, n, best[:, None, :])]).T.reshape(len(part), -1)
+                used = n - LAGS
+                fitted = used > 0
+                best[~fitted] = 0.0
+                sse = np.square(errors).sum(axis=1)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    aic = used * np.log(np.maximum(sse, 1e-12) / used) + 2 * n_params
+                out = part[[*keys, "last_ds", "n"]].copy()
+                for i, name in enumerate(("ar", "sar", "ma", "sma")):
+                    out[name] = best[:, i]
+                out["sse"], out["aic"] = sse, [float(a) if ok else None for a, ok in zip(aic, fitted)]
+                out["w_tail"] = [_tail(v, k) for v, k in zip(w, n)]
+                out["e_tail"] = [_tail(v, k) for v, k in zip(errors, n)]
+                out["last_y"] = [float(v[-1]) for v in part["values"]]
+                yield out
+
+    arrays = spread_out(as_arrays(series, keys), keys)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in arrays.select(*keys, "last_ds", "n").schema)
     schema = kept + ", ar double, sar double, ma double, sma double, sse double, aic double, w_tail array<double>, e_tail array<double>, last_y double"
     return arrays.mapInPandas(fit, schema).withColumn("d", F.lit(d))
@@ -117,7 +129,7 @@ def predict_sarima(params: DataFrame, steps: int, keys: Sequence[str] = KEYS) ->
 
 
 def fit_predict_fourier(
-    series: DataFrame, steps: int, keys: Sequence[str] = KEYS, harmonics: int = 3, z: float = 1.2815515655446004
+    series: DataFrame, steps: int, keys: Sequence[str] = KEYS, harmonics: int = 3, z: float = INTERVAL_Z
 ) -> DataFrame:
     """Line plus yearly sine/cosine terms by least squares, with a symmetric interval.
 
@@ -146,7 +158,7 @@ def fit_predict_fourier(
                 [batch[[*keys, "last_ds"]].reset_index(drop=True), pd.DataFrame(rows, columns=["path", "sigma"])], axis=1
             )
 
-    arrays = as_arrays(series, keys).withColumn("_last", F.year("last_ds") * 12 + F.month("last_ds"))
+    arrays = spread_out(as_arrays(series, keys), keys).withColumn("_last", F.year("last_ds") * 12 + F.month("last_ds"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in arrays.select(*keys, "last_ds").schema)
     fitted = arrays.mapInPandas(fit, kept + ", path array<double>, sigma double")
     yhat = F.element_at("path", F.col("step"))

@@ -1,4 +1,4 @@
-"""Forecast models that run for every series at once, as column expressions.
+"""Forecast models that run for every series at once.
 
 Each ``fit_*`` returns one row per series (a parameter table that can be stored), each
 ``predict_*`` turns such a table into ``keys, ds, step, yhat``. Series are already reduced to one
@@ -7,9 +7,10 @@ row per period, so a series' values fit in one array whatever the size of the li
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,17 @@ def rounded_forecast(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("predicted_cases", whole_cases(F.col("yhat")))
 
 
+def spread_out(arrays: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Series over all cores before a costly fit.
+
+    A few thousand series are few bytes, which adaptive execution would gather into one task; an
+    explicit number of partitions is left alone.
+    """
+    spark = arrays.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return arrays.repartition(parts, *keys)
+
+
 # -- flat, linear and seasonal-mean levels ------------------------------------------------------
 
 
@@ -126,24 +138,56 @@ def _smoothed(values: Column, alpha: Column, gamma: Column) -> Column:
     )
 
 
-def _best_of(values: Column, grid: Column) -> Column:
-    """The fit with the smallest squared error over an array of (alpha, gamma) structs."""
-    return F.array_min(F.transform(grid, lambda g: _smoothed(values, g["alpha"], g["gamma"])))
-
-
-def _grid_literal(pairs: Iterable[tuple[float, float]]) -> Column:
-    return F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(g).alias("gamma")) for a, g in pairs])
-
-
-def _moved_from(best: Column) -> Callable[[Column], Column]:
-    """Shifts a grid of offsets to ``best``, kept inside the allowed triangle of weights."""
-
-    def moved(offset: Column) -> Column:
-        alpha = F.least(F.lit(1.0), F.greatest(F.lit(0.0), best["alpha"] + offset["alpha"]))
-        gamma = F.least(1.0 - alpha, F.greatest(F.lit(0.0), best["gamma"] + offset["gamma"]))
-        return F.struct(alpha.alias("alpha"), gamma.alias("gamma"))
-
-    return moved
+def padded(values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Series of a batch as the rows of one matrix, filled up with zeros, and their lengths."""
+    lengths = values.map(len).to_numpy()
+    matrix = np.zeros((len(values), int(lengths.max())))
+    for row, v in zip(matrix, values):
+        row[: len(v)] = v
+    return matrix, lengths
+
+
+def _squared_errors(y: np.ndarray, n: np.ndarray, alpha: np.ndarray, gamma: np.ndarray) -> np.ndarray:
+    """Sum of squared one-step errors for (series, candidate) weights, all in step with time."""
+    seen = np.minimum(n, SEASON)
+    level = np.repeat((y[:, :SEASON].sum(axis=1) / seen)[:, None], alpha.shape[1], axis=1)
+    start = np.zeros((len(y), SEASON))
+    reach = min(SEASON, y.shape[1])
+    start[:, :reach] = np.where(np.arange(reach) < n[:, None], y[:, :reach] - level[:, :1], 0.0)
+    season = np.repeat(start.T[:, :, None], alpha.shape[1], axis=2)
+    total = np.zeros_like(alpha)
+    for t in range(y.shape[1]):
+        error = np.where((t < n)[:, None], y[:, t, None] - level - season[t % SEASON], 0.0)
+        total += error * error
+        level = level + alpha * error
+        season[t % SEASON] += gamma * error
+    return total
+
+
+def _best_weights(y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """(alpha, gamma) of the smallest error over 0 <= gamma <= 1 - alpha, per series.
+
+    A grid of tenths, then two finer grids around each series' best point.
+    """
+    tenths = [(a / 10, g / 10) for a in range(11) for g in range(11 - a)]
+    best = np.zeros((len(y), 2))
+    for offsets in (tenths, *([(i * w, j * w) for i in range(-3, 4) for j in range(-3, 4)] for w in (0.025, 0.005))):
+        grid = best[:, None, :] + np.array(offsets)[None, :, :]
+        alpha = np.clip(grid[:, :, 0], 0.0, 1.0)
+        gamma = np.clip(grid[:, :, 1], 0.0, 1.0 - alpha)
+        chosen = _squared_errors(y, n, alpha, gamma).argmin(axis=1)
+        rows = np.arange(len(y))
+        best = np.stack([alpha[rows, chosen], gamma[rows, chosen]], axis=1)
+    return best
+
+
+def _search_weights(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        # A few hundred series at a time keep the working arrays small.
+        for start in range(0, len(batch), 256):
+            part = batch.iloc[start : start + 256]
+            weights = _best_weights(*padded(part["values"]))
+            yield part.assign(alpha=weights[:, 0], gamma=weights[:, 1])
 
 
 def fit_holt_winters(
@@ -154,21 +198,17 @@ def fit_holt_winters(
 ) -> DataFrame:
     """One row per series: alpha, gamma, level, season ring, sse.
 
-    With both weights given they are used as they are. Otherwise they are searched inside the row
-    over 0 <= gamma <= 1 - alpha: a tenth-wide grid, then two finer grids around the best point.
+    With both weights given they are used as they are. Otherwise they are searched with numpy for
+    all series of an Arrow batch together; the fold that yields level and season is the same.
     """
-    arrays = as_arrays(series, keys)
+    arrays = spread_out(as_arrays(series, keys), keys)
     if alpha is not None and gamma is not None:
-        fitted = arrays.withColumn("_fit", _smoothed(F.col("values"), F.lit(float(alpha)), F.lit(float(gamma))))
+        arrays = arrays.withColumns({"alpha": F.lit(float(alpha)), "gamma": F.lit(float(gamma))})
     else:
-        tenths = [i / 10 for i in range(11)]
-        coarse = [(a, g) for a, g in itertools.product(tenths, tenths) if a + g <= 1.0 + 1e-9]
-        fitted = arrays.withColumn("_fit", _best_of(F.col("values"), _grid_literal(coarse)))
-        for width in (0.025, 0.005):
-            offsets = _grid_literal([(i * width, j * width) for i in range(-3, 4) for j in range(-3, 4)])
-            around = F.array_distinct(F.transform(offsets, _moved_from(F.col("_fit"))))
-            fitted = fitted.withColumn("_fit", _best_of(F.col("values"), around))
-    return fitted.select(*keys, "_fit.*", "n", "last_ds")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in arrays.schema)
+        arrays = arrays.mapInPandas(_search_weights, columns + ", alpha double, gamma double")
+    fit = _smoothed(F.col("values"), F.col("alpha"), F.col("gamma"))
+    return arrays.withColumn("_fit", fit).select(*keys, "_fit.*", "n", "last_ds")
 
 
 def predict_holt_winters(params: DataFrame, steps: int, keys: Sequence[str] = KEYS) -> DataFrame:

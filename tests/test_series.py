@@ -170,9 +170,23 @@ def test_sarima_recovers_an_autoregression(spark):
 
 
 def test_short_series_do_not_fail(spark):
-    df = monthly(spark, [5, 7]).unionByName(monthly(spark, [3] * 30, "b"))
+    one = monthly(spark, [5])
+    mixed = monthly(spark, [5, 7]).unionByName(monthly(spark, [3] * 30, "b"))
     for model in evaluate.MODELS:
-        assert evaluate.forecast_with(df, model).groupBy("series_id").count().count() == 2
+        assert evaluate.forecast_with(mixed, model).groupBy("series_id").count().count() == 2
+        assert evaluate.forecast_with(one, model).count() == 6
+
+
+def test_fits_do_not_depend_on_the_series_beside_them(spark):
+    rng = np.random.default_rng(6)
+    frames = [monthly(spark, rng.integers(10, 90, n), f"s{n}") for n in (20, 37, 80)]
+    together = frames[0].unionByName(frames[1]).unionByName(frames[2])
+    for model in ("holt_winters", "sarima", "sarima_backtest"):
+        alone = {}
+        for f in frames:
+            alone |= {(r.series_id, r.step): r.yhat for r in evaluate.forecast_with(f, model).collect()}
+        both = {(r.series_id, r.step): r.yhat for r in evaluate.forecast_with(together, model).collect()}
+        assert both == pytest.approx(alone)
 
 
 def test_error_metrics_floor_the_denominator(spark):
