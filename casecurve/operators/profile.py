@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casecurve.operators.quantiles import summarise_values
+from casecurve.operators.splits import row_hash
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
@@ -101,8 +102,9 @@ def final_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*[F.desc(c) for c in order]).limit(n)
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    return df.sample(False, fraction, seed)
+def sample_rows(df: DataFrame, key: str, n: int = 5, seed: int = 42) -> DataFrame:
+    """Exactly ``n`` rows by the hash of their key: a repeatable draw, each task offering n."""
+    return df.orderBy(row_hash(key, seed), key).limit(n)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

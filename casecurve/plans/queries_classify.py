@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from casecurve.functions import dates, numbers
@@ -12,10 +10,10 @@ from casecurve.operators import arima, bayes, classify, intake, joins, knn, metr
 from casecurve.operators.baseline import global_baseline
 from casecurve.operators.series import case_series
 from casecurve.plans import screening, surveillance
-from casecurve.plans.queries_series import ALERT_SOURCE, ASSESSED, SEASONAL_FORECAST, orders_monthly, peak_alerts
-from casecurve.plans.registry import ORDERS, query, seasonal_cte, series_ctes
+from casecurve.plans.queries_series import ALERT_SOURCE, ASSESSED, EVALUATE, SEASONAL_FORECAST, orders_monthly, peak_alerts
+from casecurve.plans.registry import GLOBAL, GRADE, ORDERS, query, seasonal_cte, series_ctes
 from casecurve.plans.retrain import retrain
-from casecurve.session import saved_table, shared_folder
+from casecurve.session import saved_table, scratch_path
 from casecurve.sources import stores
 from casecurve.sources.tables import (
     clinical,
@@ -33,10 +31,6 @@ from casecurve.streaming.alerts import current_windows, start_alerting, start_cl
 from casecurve.streaming.screening import start_screening
 
 
-def _scratch(spark, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # -- two clinical sources -----------------------------------------------------------------------
 
 _GENDER = "CASE {k} % 4 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' WHEN 2 THEN 'Male' ELSE 'Female' END"
@@ -172,7 +166,18 @@ def knn_vote_cells(spark, folder):
     return _knn(spark, folder, small_rows=0, block_rows=512)
 
 
-@query()
+@query("""WITH f AS (SELECT *, CAST(((row_number() OVER (ORDER BY md5(vec_id::VARCHAR || '|0')) - 1) * 10) // count(*) OVER () AS INTEGER) AS fold FROM embeddings),
+x AS (SELECT vec_id, label, fold, CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(1, len(embedding) + 1)) AS d FROM f),
+k AS (SELECT unnest(range(10)) AS test),
+p AS (SELECT test, label, d, avg(v) AS m, var_pop(v) AS s FROM x JOIN k ON fold <> test GROUP BY 1, 2, 3),
+e AS (SELECT test, 1e-9::double * max(s) AS e FROM (SELECT test, var_pop(v) AS s FROM x JOIN k ON fold <> test GROUP BY test, d) GROUP BY 1),
+c AS (SELECT test, label, count(*) AS n FROM f JOIN k ON fold <> test GROUP BY 1, 2),
+prior AS (SELECT test, label, ln(n / sum(n) OVER (PARTITION BY test)) AS lp FROM c),
+j AS (SELECT x.vec_id, x.fold, x.label AS actual, p.label, any_value(lp) - 0.5::double * sum(ln(2 * pi() * (s + e)) + (v - m) ** 2 / (s + e)) AS lj
+  FROM x JOIN p ON p.test = x.fold AND p.d = x.d JOIN prior ON prior.test = p.test AND prior.label = p.label JOIN e ON e.test = p.test GROUP BY 1, 2, 3, 4),
+b AS (SELECT vec_id, fold, actual, max_by(label, lj) AS prediction FROM j GROUP BY 1, 2, 3),
+a AS (SELECT fold, avg(CAST(actual = prediction AS DOUBLE)) AS a FROM b GROUP BY 1)
+SELECT count(*) AS n_folds, round_even(avg(a) * 100.0::double, 2) AS accuracy FROM a""")
 def bayes_cross_validation(spark, folder):
     folded = saved_table(splits.assign_folds(table(spark, folder, "embeddings"), "vec_id", k=10, seed=0), "folds")
     return classify.fold_accuracy(bayes.cross_validated_nb(folded, _dims(), "label"), "label")
@@ -250,6 +255,27 @@ def _disease_status(spark, folder):
     return surveillance.current_status(case_series(disease_cases(spark, folder), word="f"))
 
 
+@query("WITH " + series_ctes("lineitem", "CASE l_returnflag WHEN 'R' THEN 'Dengue' ELSE 'Typhoid' END", "l_shipdate",
+                             "lower(l_linestatus) = 'f' AND l_returnflag IN ('R', 'A')") + f""", {GLOBAL}, {EVALUATE}, {INTAKES},
+judged AS (SELECT event_id, CASE WHEN skin_manifestation AND fever_duration_days <= 20 THEN 'Dengue' ELSE 'Typhoid' END AS predicted_disease,
+  0.5::double + age / 256.0::double AS confidence FROM checked WHERE reason IS NULL),
+context AS (SELECT *, round_even(z, 2) AS z_score, {GRADE.format(z='z')} AS risk_level FROM status)
+SELECT event_id, predicted_disease, confidence, printf('%.1f%%', confidence * 100) AS confidence_percentage, cases AS latest_observed_cases,
+  baseline_mean AS historical_mean, z_score AS current_z_score, risk_level AS current_outbreak_risk, coalesce(z >= 2, false) AS is_outbreak_active
+FROM judged JOIN context ON series_id = predicted_disease""")
+def screening_context(spark, folder):
+    """Intakes judged by a rule, with the current risk of the disease they were judged to be."""
+    valid = intake.valid_intakes(event_intakes(spark, folder))
+    short_with_rash = F.col("skin_manifestation") & (F.col("fever_duration_days") <= 20)
+    judged = valid.select(
+        "event_id",
+        F.when(short_with_rash, "Dengue").otherwise("Typhoid").alias("predicted_disease"),
+        (0.5 + F.col("age") / 256.0).alias("confidence"),
+    )
+    out = screening.with_context(judged, saved_table(_disease_status(spark, folder), "status"))
+    return out.drop("details")
+
+
 @query()
 def screen_with_context(spark, folder):
     fitted = _trained(spark, folder, "forest")
@@ -274,10 +300,10 @@ def confirmed_agreement(spark, folder):
 
 
 @query(f"""WITH {INTAKES} SELECT patient_code, CAST(age AS INTEGER) AS age, gender, fever_duration_days, skin_manifestation,
-  'Dengue' AS predicted_disease, 0.1235::double AS confidence_score, NULL AS doctor_confirmed_disease
+  'Dengue' AS predicted_disease, 0.1235::double AS confidence_score, CAST(NULL AS VARCHAR) AS doctor_confirmed_disease
 FROM checked WHERE reason IS NULL""")
 def intake_log(spark, folder):
-    path = _scratch(spark, "patient_intakes")
+    path = scratch_path(spark, "patient_intakes")
     valid = intake.valid_intakes(event_intakes(spark, folder)).withColumn("predicted_disease", F.lit("Dengue"))
     records = stores.intake_records(valid.withColumn("confidence", F.lit(0.12345678)))
     stores.append(records, path, stores.INTAKES_SCHEMA)
@@ -288,7 +314,7 @@ def intake_log(spark, folder):
 SELECT series_id AS disease, ds AS forecast_month, predicted_cases, z_score, risk_level, baseline_mean, baseline_std, 'seasonal_mean' AS model_name
 FROM assessed ORDER BY forecast_month DESC, disease LIMIT 10""")
 def stored_forecasts(spark, folder):
-    path = _scratch(spark, "surveillance_forecasts")
+    path = scratch_path(spark, "surveillance_forecasts")
     graded = surveillance.graded_forecast(orders_monthly(spark, folder), "seasonal_mean")
     stores.append(surveillance.forecast_records(graded, "seasonal_mean"), path, stores.FORECASTS_SCHEMA)
     return stores.latest(stores.read_store(spark, path, stores.FORECASTS_SCHEMA), 10, "forecast_month", "disease")
@@ -296,12 +322,17 @@ def stored_forecasts(spark, folder):
 
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def csv_round_trip(spark, folder):
-    path = _scratch(spark, "suppliers")
+    path = scratch_path(spark, "suppliers")
     rows = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     stores.write_csv(rows, path)
     return stores.read_csv(spark, path, "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double")
 
 
+@query("""SELECT event_id, 'P-' || user_id AS patient_code FROM events ORDER BY ts DESC, event_id LIMIT 10""")
+def recent_intakes(spark, folder):
+    return stores.latest(event_intakes(spark, folder), 10, "created_at", "event_id").select("event_id", "patient_code")
+
+
 # -- streams --------------------------------------------------------------------------------------
 
 DAILY = series_ctes("events", "event_type", "ts", period="day")
@@ -317,7 +348,7 @@ def _event_stream_cases(spark, folder):
 @query(f"""WITH {WINDOWS} SELECT series_id, CAST(day AS DATE) AS day, y FROM windows
 WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)""")
 def stream_closed_windows(spark, folder):
-    out, checkpoint = _scratch(spark, "windows"), _scratch(spark, "progress")
+    out, checkpoint = scratch_path(spark, "windows"), scratch_path(spark, "progress")
     start_closed_windows(_event_stream_cases(spark, folder), out, checkpoint, available_now=True).awaitTermination()
     rows = spark.read.schema("series_id string, window_start timestamp, window_end timestamp, y bigint").parquet(out)
     return rows.select("series_id", F.col("window_start").cast("date").alias("day"), "y")
@@ -330,7 +361,7 @@ SELECT w.series_id, CAST(w.day AS DATE) AS day, w.y, round_even((w.y - mean) / s
   round_even((w.y - mean) / std, 2) >= 2 AS is_anomaly
 FROM windows w JOIN b USING (series_id)""")
 def stream_alerts(spark, folder):
-    out, checkpoint = _scratch(spark, "alerts"), _scratch(spark, "progress")
+    out, checkpoint = scratch_path(spark, "alerts"), scratch_path(spark, "progress")
     daily = case_series(event_cases(spark, folder), period="day", status=None)
     baseline = saved_table(global_baseline(daily), "baseline")
     start_alerting(_event_stream_cases(spark, folder), baseline, out, checkpoint, available_now=True).awaitTermination()
@@ -340,7 +371,7 @@ def stream_alerts(spark, folder):
 
 @query()
 def stream_screening(spark, folder):
-    out, checkpoint = _scratch(spark, "screened"), _scratch(spark, "progress")
+    out, checkpoint = scratch_path(spark, "screened"), scratch_path(spark, "progress")
     fitted = _trained(spark, folder, "logistic")
     status = saved_table(_disease_status(spark, folder), "status")
     start_screening(intakes_of(event_stream(spark, folder)), fitted, status, out, checkpoint, available_now=True).awaitTermination()
@@ -373,7 +404,7 @@ def submission(spark, folder):
     fitted = classify.train_classifier(
         split.where("part = 'train'"), "label", [f"e{i}" for i in range(16)], [], "forest_climate"
     )
-    path = _scratch(spark, "submission")
+    path = scratch_path(spark, "submission")
     stores.write_csv(classify.scored(split.where("part = 'test'"), fitted).select("vec_id", "prediction"), path)
     return stores.read_csv(spark, path, "vec_id bigint, prediction string")
 
@@ -394,7 +425,7 @@ SELECT series_id AS disease, 'National Surveillance' AS region, risk_level, z_sc
   false AS is_resolved
 FROM assessed WHERE is_anomaly ORDER BY alert_message LIMIT 50""")
 def stored_alerts(spark, folder):
-    path = _scratch(spark, "outbreak_alerts")
+    path = scratch_path(spark, "outbreak_alerts")
     alerts = surveillance.alert_rows(peak_alerts(spark, folder), "National Surveillance", "forecast")
     stores.append(alerts, path, stores.ALERTS_SCHEMA)
     return stores.latest(stores.read_store(spark, path, stores.ALERTS_SCHEMA), 50, "created_at", "alert_message").drop("created_at")
@@ -404,7 +435,7 @@ def stored_alerts(spark, folder):
   23.4::double + n_nationkey * 0.5::double AS latitude, 60.5::double + n_nationkey * 0.7::double AS longitude
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def stored_centers(spark, folder):
-    path = _scratch(spark, "healthcare_centers")
+    path = scratch_path(spark, "healthcare_centers")
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
     centers = (
         table(spark, folder, "supplier")
@@ -430,7 +461,7 @@ def sarima_parameters(spark, folder):
 def retrain_all(spark, folder):
     """Hold-out scores of both forecast models after a full retraining run."""
     out = retrain(
-        orders_monthly(spark, folder), _records(spark, folder), _scratch(spark, "models"), "record_id", "disease", "Dengue",
+        orders_monthly(spark, folder), _records(spark, folder), scratch_path(spark, "models"), "record_id", "disease", "Dengue",
         NUMERIC, CATEGORICAL,
     )
     return out.holdout

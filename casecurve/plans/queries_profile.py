@@ -111,9 +111,9 @@ def head_and_tail(spark, folder):
     return profile.first_rows(rows, ["o_orderkey"]).unionByName(profile.final_rows(rows, ["o_orderkey"]))
 
 
-@query()
+@query("SELECT c_custkey, c_name FROM customer ORDER BY md5(c_custkey::VARCHAR || '|42'), c_custkey LIMIT 5")
 def sample_rows(spark, folder):
-    return profile.sample_rows(table(spark, folder, "customer"), 0.05)
+    return profile.sample_rows(table(spark, folder, "customer").select("c_custkey", "c_name"), "c_custkey", 5)
 
 
 # -- joins and imputation -----------------------------------------------------------------------

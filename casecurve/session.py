@@ -32,21 +32,27 @@ def build_session(app: str = "casecurve", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder from ``spark.checkpoint.dir``; a scratch one only if unset."""
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="casecurve-")
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for this application in the shared folder."""
+    return f"{shared_folder(spark)}/casecurve-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def saved_table(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage durably, fixes values later stages must agree on, and gives the optimizer the
     real byte size: a following join broadcasts the table only if it is under
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles (with skew splitting) beyond it.
+    All tables of an application share one folder, which can be removed when it has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
