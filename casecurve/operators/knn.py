@@ -216,3 +216,16 @@ def knn_classify(queries: DataFrame, train: DataFrame, k: int = 13, **options) -
     return found.groupBy("query_id").agg(
         F.mode("neighbour_label", True).alias("prediction"), F.avg("distance").alias("mean_distance")
     )
+
+
+def cross_validated_knn(
+    df: DataFrame, k: int = 13, fold: str = "fold", folds: int = 10, key: str = "vec_id", label: str = "label", **options
+) -> DataFrame:
+    """Every row voted on by the rows of the other folds: ``key, label, fold, prediction``."""
+    out = None
+    for i in range(folds):
+        held_out, train = df.where(F.col(fold) == i), df.where(F.col(fold) != i)
+        voted = knn_classify(held_out, train, k, key=key, label=label, **options)
+        part = held_out.select(key, label, fold).join(voted.select(F.col("query_id").alias(key), "prediction"), key)
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -98,7 +98,13 @@ def hospitals(regions: DataFrame) -> DataFrame:
     return regions.select("id", "name", F.explode("sentinel_hospitals").alias("hospital"))
 
 
-def as_records(regions: DataFrame, by: str = "province", columns: tuple[str, ...] = ("id", "name", "risk_level")) -> DataFrame:
-    """One JSON list of region records per group, in id order."""
-    record = F.struct(*columns)
-    return regions.groupBy(by).agg(F.to_json(F.array_sort(F.collect_list(record))).alias("records"))
+def as_records(df: DataFrame, columns: tuple[str, ...], key: str = "id") -> DataFrame:
+    """Every row as one JSON record beside its key; rows are not gathered into one list."""
+    return df.select(key, F.to_json(F.struct(*columns)).alias("record"))
+
+
+def rollup_record(rollup: DataFrame) -> DataFrame:
+    """The one-row roll-up as a nested JSON record: counts at the top, metrics inside."""
+    top = ["total_regions", "filtered_count"]
+    metrics = F.struct(*[c for c in rollup.columns if c not in top]).alias("summary_metrics")
+    return rollup.select(F.to_json(F.struct(*top, metrics)).alias("record"))

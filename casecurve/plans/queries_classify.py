@@ -183,6 +183,19 @@ def bayes_cross_validation(spark, folder):
     return classify.fold_accuracy(bayes.cross_validated_nb(folded, _dims(), "label"), "label")
 
 
+@query("""WITH f AS (SELECT *, ((row_number() OVER (ORDER BY md5(vec_id::VARCHAR || '|0')) - 1) * 10) // count(*) OVER () AS fold FROM embeddings),
+d AS (SELECT q.vec_id AS query_id, q.fold, q.label AS actual, t.vec_id, t.label, list_distance(q.embedding::DOUBLE[], t.embedding::DOUBLE[]) AS distance
+  FROM f q JOIN f t ON q.fold <> t.fold),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS p FROM d),
+v AS (SELECT query_id, fold, actual, label, count(*) AS n FROM r WHERE p <= 13 GROUP BY 1, 2, 3, 4),
+b AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY n DESC, label) = 1),
+a AS (SELECT fold, avg(CAST(actual = label AS DOUBLE)) AS a FROM b GROUP BY 1)
+SELECT count(*) AS n_folds, round_even(avg(a) * 100.0::double, 2) AS accuracy FROM a""")
+def knn_cross_validation(spark, folder):
+    folded = saved_table(splits.assign_folds(table(spark, folder, "embeddings"), "vec_id", k=10, seed=0), "folds")
+    return classify.fold_accuracy(knn.cross_validated_knn(folded), "label")
+
+
 # -- trained classifiers --------------------------------------------------------------------------
 
 NUMERIC = ["age", "fever_duration", "skin_manifestation"]
@@ -227,10 +240,10 @@ def tuned_forest_metrics(spark, folder):
 
 @query()
 def cv_accuracy(spark, folder):
-    """Ten-fold accuracy of three classifiers on the labelled documents."""
+    """Ten-fold accuracy of four classifiers on the labelled documents."""
     rows = saved_table(clinical(spark, folder), "clinical")
     out = None
-    for kind in ("bayes", "tree", "forest_climate"):
+    for kind in ("bayes", "tree", "forest_climate", "svm"):
         held_out = classify.out_of_fold(rows, "doc_id", "label", ["n_chars", "toxic"], ["lang"], kind, 10, seed=0, stratified=False)
         line = classify.fold_accuracy(held_out, "label").withColumn("model", F.lit(kind))
         out = line if out is None else out.unionByName(line)

@@ -124,10 +124,18 @@ def region_active(spark, folder):
     return chosen.select("id", "name")
 
 
-@query(f"""WITH {REGISTRY} SELECT province, CAST(to_json(list({{'id': id, 'name': name, 'risk_level': risk_level}} ORDER BY id)) AS VARCHAR) AS records
-FROM regions GROUP BY 1""")
+@query(f"""WITH {REGISTRY} SELECT id, CAST(to_json({{'name': name, 'risk_level': risk_level, 'sentinel_hospitals': sentinel_hospitals}}) AS VARCHAR) AS record
+FROM regions""")
 def region_records(spark, folder):
-    return regions.as_records(registry(spark, folder))
+    return regions.as_records(registry(spark, folder), ("name", "risk_level", "sentinel_hospitals"))
+
+
+@query(f"""WITH {REGISTRY} SELECT CAST(to_json({{'total_regions': count(*), 'filtered_count': count(*) FILTER (risk_level = 'Normal'),
+  'summary_metrics': {{'critical_hotspots': count(*) FILTER (risk_level = 'Critical'), 'alert_zones': count(*) FILTER (risk_level = 'Alert')}}}}) AS VARCHAR) AS record
+FROM regions""")
+def region_rollup_record(spark, folder):
+    rollup = regions.region_rollup(registry(spark, folder), regions.region_condition(risk_level="normal"))
+    return regions.rollup_record(rollup.select("total_regions", "filtered_count", "critical_hotspots", "alert_zones"))
 
 
 @query("SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS day FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 10")

@@ -143,6 +143,12 @@ def surveillance_summary(spark, folder):
     return surveillance.summarise(orders_monthly(spark, folder), months=6, model="seasonal_mean").forecast
 
 
+@query(f"""WITH {ORDERS}, {seasonal_cte()}, {SEASONAL_FORECAST.replace('range(1, 7)', 'range(1, 25)')}, {ASSESSED}
+SELECT * FROM assessed WHERE series_id = '1-URGENT'""")
+def disease_forecast(spark, folder):
+    return surveillance.disease_forecast(orders_monthly(spark, folder), "1-URGENT", "seasonal_mean", 24)
+
+
 @query(f"""WITH {ORDERS}, {GLOBAL}, z AS (
   SELECT s.series_id, s.ds, s.y AS predicted_cases, o.mean AS baseline_mean, round_even(o.std, 1) AS baseline_std,
          round_even((s.y - o.mean) / o.std, 2) AS z_score FROM series s JOIN overall o USING (series_id))

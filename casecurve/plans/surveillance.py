@@ -53,6 +53,11 @@ def graded_forecast(
     return assess_forecast(predicted, global_baseline(series, keys), seasonal_baseline(series, keys), keys)
 
 
+def disease_forecast(series: DataFrame, series_id: str, model: str = "holt_winters", months: int = 6) -> DataFrame:
+    """The graded forecast of one series; the choice of series reaches the scan of the line list."""
+    return graded_forecast(series.where(F.col("series_id") == series_id), model, months)
+
+
 def alert_rows(graded: DataFrame, region: str, style: str = "summary") -> DataFrame:
     """Alert records for the anomalous forecast rows (key column ``series_id``)."""
     return anomalies(graded).select(

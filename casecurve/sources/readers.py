@@ -22,13 +22,13 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None, **options
 ) -> DataFrame:
-    """One table; CSV has a header line, and CSV and JSON want a schema (no inference pass)."""
+    """One table. CSV has a header line and, without a schema, only text columns (nothing is
+    inferred from the rows); JSON should be given a schema."""
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt}, expected one of {FORMATS}")
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        # By position in the file's own header order unless a schema is given.
-        options = {"header": True, "enforceSchema": False, **options}
+        options = {"header": True, **options}
     if schema is not None:
         reader = reader.schema(schema)
     return reader.options(**options).load(path)
@@ -38,7 +38,7 @@ def read_series(
     spark: SparkSession, path: str, series_id: str, fmt: str = "csv", strict: bool = True, date_format: str | None = None
 ) -> DataFrame:
     """A monthly series with columns ``ds, y``; rows missing either are dropped, no order is implied."""
-    raw = read_table(spark, path, fmt, text_schema(["ds", "y"]) if fmt in ("csv", "json") else None)
+    raw = read_table(spark, path, fmt, text_schema(["ds", "y"]) if fmt == "json" else None)
     return raw.select(
         F.lit(series_id).alias("series_id"),
         parsed_time(F.col("ds").cast("string"), strict, date_format).cast("date").alias("ds"),
@@ -54,14 +54,12 @@ def read_line_list(
     date: str = "Screening_Date",
     status: str = "Case_Status",
     strict: bool = True,
-    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """A case line list as ``series_id, event_ts, status``.
 
     ``strict`` raises on an unreadable date; otherwise such rows, and undated ones, are dropped.
     """
-    schema = text_schema(columns or [date, status]) if fmt in ("csv", "json") else None
-    raw = read_table(spark, path, fmt, schema)
+    raw = read_table(spark, path, fmt, text_schema([date, status]) if fmt == "json" else None)
     rows = raw.select(
         F.lit(series_id).alias("series_id"),
         parsed_time(F.col(date).cast("string"), strict).alias("event_ts"),

@@ -93,7 +93,9 @@ def test_region_operators(spark):
     place = df.select(map_x(F.lit(60.5)).alias("x"), map_y(F.lit(37.4)).alias("y"), marker_radius(F.col("risk_level"), F.col("projected_cases")).alias("r")).collect()
     assert (place[0].x, place[0].y) == (40.0, 35.0)
     assert [round(p.r, 6) for p in place] == [21.0, 12.0, 15.0]
-    assert json.loads(regions.as_records(df).where("province = 'Beta'").first().records)[0]["id"] == 2
+    assert json.loads(regions.as_records(df, ("name", "risk_level")).where("id = 2").first().record) == {"name": "South", "risk_level": "Normal"}
+    record = json.loads(regions.rollup_record(regions.region_rollup(df)).first().record)
+    assert record["total_regions"] == 3 and record["summary_metrics"]["critical_hotspots"] == 1
 
 
 @pytest.fixture(scope="module")
@@ -185,6 +187,18 @@ def test_streamed_screening_equals_the_batch(spark, labelled, tmp_path):
     assert streamed.select(*columns).exceptAll(batch.select(*columns)).count() == 0
 
 
+def test_repeated_requests_are_dropped(spark, labelled, tmp_path):
+    fitted = classify.train_classifier(labelled, "disease", NUMERIC, CATEGORICAL, "logistic", "Dengue")
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    now = dt.datetime(2024, 1, 1)
+    rows = [("r1", now, "P1", 28, "Male", 4, True), ("r1", now, "P1", 28, "Male", 4, True), ("r2", now, "P1", 28, "Male", 4, True)]
+    schema = "request string, at timestamp, " + INTAKE
+    spark.createDataFrame(rows, schema).write.parquet(source)
+    stream = spark.readStream.schema(schema).parquet(source).withWatermark("at", "1 hour")
+    start_screening(stream, fitted, status(spark), out, str(tmp_path / "cp"), "request", available_now=True).awaitTermination()
+    assert spark.read.parquet(out).count() == 2
+
+
 def event_files(spark, folder, batches):
     for i, days in enumerate(batches):
         rows = [(s, dt.datetime.fromisoformat(d)) for s, d in days]
@@ -237,6 +251,14 @@ def test_series_formats(spark, tmp_path, fmt):
     assert [(r.ds.month, r.y) for r in out] == [(2, 5.0), (3, 7.5)]
 
 
+def test_line_list_with_more_columns(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    rows = [("7", "2024-01-03", "x", "Confirmed"), ("8", "2024-02-03", "y", "suspected")]
+    spark.createDataFrame(rows, "id string, Screening_Date string, note string, Case_Status string").write.option("header", True).csv(path)
+    out = readers.read_line_list(spark, path, "t").orderBy("event_ts").collect()
+    assert [(r.event_ts.month, r.status) for r in out] == [(1, "Confirmed"), (2, "suspected")]
+
+
 def test_line_list_dates_strict_or_lenient(spark, tmp_path):
     path = str(tmp_path / "cases")
     rows = [("2024-01-03", "Confirmed"), ("not a date", "confirmed"), (None, "confirmed")]
