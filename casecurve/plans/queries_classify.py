@@ -258,9 +258,9 @@ def model_compare(spark, folder):
 @query()
 def svm_multiclass(spark, folder):
     rows = table(spark, folder, "embeddings").select(
-        "vec_id", F.col("label").cast("string").alias("label"), *[c.alias(f"e{i}") for i, c in enumerate(_dims(8))]
+        "vec_id", F.col("label").cast("string").alias("label"), *[c.alias(f"e{i}") for i, c in enumerate(_dims())]
     )
-    fitted = classify.train_classifier(rows, "label", [f"e{i}" for i in range(8)], [], "svm_multiclass")
+    fitted = classify.train_classifier(rows, "label", [f"e{i}" for i in range(64)], [], "svm_multiclass")
     return classify.scored(rows, fitted).select("vec_id", "prediction")
 
 
@@ -411,11 +411,11 @@ def threshold_decision(spark, folder):
 def submission(spark, folder):
     """A multiclass model trained on one part predicts the other; the result is a CSV file."""
     rows = table(spark, folder, "embeddings").select(
-        "vec_id", F.col("label").cast("string").alias("label"), *[c.alias(f"e{i}") for i, c in enumerate(_dims(16))]
+        "vec_id", F.col("label").cast("string").alias("label"), *[c.alias(f"e{i}") for i, c in enumerate(_dims())]
     )
     split = splits.hash_split(rows, "vec_id")
     fitted = classify.train_classifier(
-        split.where("part = 'train'"), "label", [f"e{i}" for i in range(16)], [], "forest_climate"
+        split.where("part = 'train'"), "label", [f"e{i}" for i in range(64)], [], "forest_climate"
     )
     path = scratch_path(spark, "submission")
     stores.write_csv(classify.scored(split.where("part = 'test'"), fitted).select("vec_id", "prediction"), path)

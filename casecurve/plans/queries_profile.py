@@ -87,7 +87,9 @@ def linear_fit_by_group(spark, folder):
     return profile.linear_fit(table(spark, folder, "lineitem"), "l_quantity", "l_extendedprice", ["l_returnflag"])
 
 
-_COUNTED = ["customer", "events", "labels", "lineitem", "orders", "supplier"]
+_COUNTED = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _COUNTED))

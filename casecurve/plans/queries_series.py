@@ -11,6 +11,9 @@ from casecurve.session import saved_table
 from casecurve.sources.tables import event_cases, lineitem_cases, order_cases
 
 
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
 def orders_monthly(spark, folder):
     return series.case_series(order_cases(spark, folder), word="f")
 
@@ -64,10 +67,11 @@ def seasonal_baseline_trainer(spark, folder):
 
 
 @query(f"""WITH {ORDERS}, {seasonal_cte()}
-SELECT series_id, CAST(month AS INTEGER) AS month, mean, std FROM seasonal WHERE month IN (1, 7)""")
+SELECT series_id, month, mean, std FROM seasonal""")
 def seasonal_map_lookup(spark, folder):
     nested = baseline.seasonal_map(baseline.seasonal_baseline(orders_monthly(spark, folder)))
-    wanted = nested.select("series_id", "seasonal", F.explode(F.array(F.lit(1), F.lit(7), F.lit(13))).alias("month"))
+    # Month 13 is not in the map and must be passed over.
+    wanted = nested.select("series_id", "seasonal", F.explode(F.sequence(F.lit(1), F.lit(13))).alias("month"))
     found = wanted.withColumn("_level", F.try_element_at("seasonal", F.col("month"))).where("_level is not null")
     return found.select("series_id", "month", "_level.mean", "_level.std")
 
@@ -224,13 +228,10 @@ def dashboard_tiles(spark, folder):
 
 
 @query(f"""WITH {ORDERS}, {SEASONAL_FORECAST}
-SELECT ds, max(predicted_cases) FILTER (series_id = '1-URGENT') AS "1-URGENT",
-  max(predicted_cases) FILTER (series_id = '5-LOW') AS "5-LOW" FROM predicted
-WHERE series_id IN ('1-URGENT', '5-LOW') GROUP BY ds""")
+SELECT ds, {', '.join(f"""max(predicted_cases) FILTER (series_id = '{p}') AS "{p}" """ for p in PRIORITIES)} FROM predicted GROUP BY ds""")
 def forecast_pivot(spark, folder):
     predicted = evaluate.forecast_with(orders_monthly(spark, folder), "seasonal_mean")
-    wanted = ["1-URGENT", "5-LOW"]
-    return predicted.where(F.col("series_id").isin(wanted)).groupBy("ds").pivot("series_id", wanted).agg(F.max("predicted_cases"))
+    return predicted.groupBy("ds").pivot("series_id", PRIORITIES).agg(F.max("predicted_cases"))
 
 
 _Z = "1.2815515655446004::double"
