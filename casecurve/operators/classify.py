@@ -42,6 +42,10 @@ LOGISTIC_ITERATIONS = 2000
 DEFAULT_THRESHOLD = 0.5
 FOURIER_FEATURES = 64
 SVM_TOLERANCE = 1e-3
+# Rows up to which a column's values are gathered for its median.
+SMALL_ROWS = 100_000
+# Independent fits sent to the cluster at the same time.
+PARALLEL_FITS = 8
 
 
 @dataclass
@@ -79,9 +83,18 @@ def _value_counts(rows: DataFrame, column: str) -> dict[str, int]:
     return {r[0]: r["n"] for r in found}
 
 
-def _preprocessing(rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> tuple[SQLTransformer, list[str]]:
+def _middles(rows: DataFrame, numeric: Sequence[str], n: int) -> dict[str, float | None]:
+    """The exact median of every column; Spark's own aggregate where n rows surely fit one task."""
+    if n <= SMALL_ROWS:
+        return rows.agg(*[F.median(lenient_double(F.col(c))).alias(c) for c in numeric]).first().asDict()
+    return {r["column"]: r["median"] for r in medians(rows, numeric).collect()}
+
+
+def _preprocessing(
+    rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], n: int
+) -> tuple[SQLTransformer, list[str]]:
     """The projection and the names of the feature columns it adds."""
-    middle = {r["column"]: r["median"] for r in medians(rows, numeric).collect()}
+    middle = _middles(rows, numeric, n)
     filled = {c: F.coalesce(lenient_double(F.col(c)), F.lit(float(middle.get(c) or 0.0))) for c in numeric}
     stats = rows.agg(*[a for c in numeric for a in (F.avg(filled[c]).alias(f"{c}_m"), F.stddev_pop(filled[c]).alias(f"{c}_s"))]).first()
     expressions = []
@@ -162,7 +175,7 @@ def train_classifier(
     by_class = {c: (float(i), n / (len(classes) * counts[c])) for i, c in enumerate(classes)}
     number, weight = (F.create_map(*[F.lit(v) for c in classes for v in (c, by_class[c][j])]) for j in (0, 1))
     rows = rows.withColumns({"_y": number[F.col(label)], "weight": weight[F.col(label)]})
-    projection, names = _preprocessing(rows, numeric, categorical)
+    projection, names = _preprocessing(rows, numeric, categorical, n)
     stages: list = [projection]
     if kind.startswith("svm"):
         waves, names = _fourier(projection.transform(rows), names, seed)
@@ -229,7 +242,7 @@ def out_of_fold(
         held_out = scored(folded.where(F.col("fold") == i), fitted)
         return held_out.select(key, label, "fold", "score", "prediction")
 
-    with ThreadPoolExecutor(4) as pool:
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
         parts = list(pool.map(one, range(k)))
     out = parts[0]
     for part in parts[1:]:
@@ -276,7 +289,7 @@ def compare_models(
         fitted = train_classifier(train, label, numeric, categorical, kind, None, seed)
         return scored(test, fitted).select(F.lit(kind).alias("model"), label, "prediction")
 
-    with ThreadPoolExecutor(4) as pool:
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
         parts = list(pool.map(one, kinds))
     judged = parts[0]
     for part in parts[1:]:

@@ -19,12 +19,13 @@ def row_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def _cut_hashes(df: DataFrame, key: str, label: str, ranks: list[Column], seed: int) -> DataFrame:
+def _cut_hashes(df: DataFrame, key: str, label: str | None, ranks: list[Column], seed: int) -> DataFrame:
     """``label``, ``cuts``: per class the hashes of its rows number ``ranks`` (1-based, of ``n``).
 
-    A rank of 0 gives the empty string, which is below every hash.
+    A rank of 0 gives the empty string, which is below every hash. No label: one class for all.
     """
-    hashed = df.select(F.col(label).alias("label"), row_hash(key, seed).alias("hash"))
+    class_of = F.col(label) if label else F.lit("all")
+    hashed = df.select(class_of.alias("label"), row_hash(key, seed).alias("hash"))
     slice_of = F.substring("hash", 1, PREFIX)
     slices = hashed.groupBy("label", slice_of.alias("slice")).agg(F.count(F.lit(1)).alias("n"))
     in_class = Window.partitionBy("label")
@@ -52,11 +53,14 @@ def _cut_hashes(df: DataFrame, key: str, label: str, ranks: list[Column], seed:
     return saved_table(listed.select("label", F.transform("_c", lambda c: c["hash"]).alias("cuts")), "cuts")
 
 
-def _with_cuts(df: DataFrame, key: str, label: str, ranks: list[Column], seed: int) -> DataFrame:
-    cuts = _cut_hashes(df, key, label, ranks, seed).withColumnRenamed("label", "_label")
-    return (
-        df.join(cuts, F.col(label) == F.col("_label")).drop("_label").withColumn("_hash", row_hash(key, seed))
-    )
+def _with_cuts(df: DataFrame, key: str, label: str | None, ranks: list[Column], seed: int) -> DataFrame:
+    """Adds each row's ``_hash`` and its class's ``cuts``."""
+    cuts = _cut_hashes(df, key, label, ranks, seed)
+    if label is None:
+        cut = df.withColumn("cuts", cuts.select("cuts").scalar())
+    else:
+        cut = df.join(cuts.withColumnRenamed("label", "_label"), F.col(label) == F.col("_label")).drop("_label")
+    return cut.withColumn("_hash", row_hash(key, seed))
 
 
 def stratified_split(
@@ -74,12 +78,11 @@ def stratified_split(
 
 def assign_folds(df: DataFrame, key: str, label: str | None = None, k: int = 5, seed: int = 42) -> DataFrame:
     """Adds ``fold`` 0..k-1 of sizes that differ by at most one, per class or over all rows."""
-    rows = df if label else df.withColumn("_all", F.lit("all"))
     ranks = [F.ceil(F.col("n") * i / k) for i in range(1, k)]
-    cut = _with_cuts(rows, key, label or "_all", ranks, seed)
+    cut = _with_cuts(df, key, label, ranks, seed)
     # One comparison per cut stays in generated code, which a lambda over the array would not.
     fold = sum(((F.col("_hash") > F.element_at("cuts", i)).cast("int") for i in range(1, k)), start=F.lit(0))
-    return cut.withColumn("fold", fold).drop("cuts", "_hash", "_all")
+    return cut.withColumn("fold", fold).drop("cuts", "_hash")
 
 
 def hash_split(df: DataFrame, key: str, test_percent: int = 20, seed: int = 42) -> DataFrame:
