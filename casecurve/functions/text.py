@@ -84,6 +84,7 @@ def alert_message(series: Column, ds: Column, cases: Column, z: Column, style: s
 
 def screening_message(disease: Column, confidence: Column, risk: Column, z: Column) -> Column:
     """The sentence returned with a screened intake."""
+    # Fixed value: the sentence.
     return F.format_string(
         "Diagnosed %s with %.1f%% confidence. "
         "Community %s surveillance status is currently '%s' (Z=%s).",

@@ -59,11 +59,14 @@ def _tail(values: np.ndarray, n: int) -> list[float]:
 
 
 def fit_sarima(
-    series: DataFrame, keys: Sequence[str] = KEYS, order: tuple[int, int] = SERVICE_ORDER
+    series: DataFrame,
+    keys: Sequence[str] = KEYS,
+    order: tuple[int, int] = SERVICE_ORDER,
+    params: tuple[float, float, float, float] | None = None,
 ) -> DataFrame:
     """One row per series: ar, sar, ma, sma, sse, aic, and the newest values a forecast needs.
 
-    A series with fewer than 14 (differenced) values is fitted as a random walk around zero errors:
+    With ``params`` (ar, sar, ma, sma) nothing is searched. A series with fewer than 14 (differenced) values is fitted as a random walk around zero errors:
     all parameters 0 and a null aic.
     """
     d, q = order
@@ -75,7 +78,7 @@ def fit_sarima(
                 part = batch.iloc[start : start + 256].reset_index(drop=True)
                 y, length = padded(part["values"])
                 w, n = (np.diff(y, axis=1), length - 1) if d else (y, length)
-                best = _search(w, n, 3 + q)
+                best = _search(w, n, 3 + q) if params is None else np.tile(np.array(params, dtype=float), (len(part), 1))
                 errors = np.array([e[:, 0] for e in _errors(w, n, best[:, None, :])]).T.reshape(len(part), -1)
                 used = n - LAGS
                 fitted = used > 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casecurve.operators import baseline, evaluate, forecast, risk, series
+from casecurve.operators import arima, baseline, evaluate, forecast, risk, series
 from casecurve.plans import surveillance
 from casecurve.plans.registry import GLOBAL, GRADE, LINEITEM, ORDERS, query, scan_cte, seasonal_cte, series_ctes
 from casecurve.session import saved_table
@@ -287,6 +287,22 @@ def holt_winters_fit(spark, folder):
     return _rounded(evaluate.forecast_with(orders_monthly(spark, folder), "holt_winters"))
 
 
+@query(f"""WITH RECURSIVE {ORDERS}, {FUTURE},
+obs AS (SELECT series_id, list(CAST(y AS DOUBLE) ORDER BY ds) AS v, CAST(count(*) AS INTEGER) AS n FROM series GROUP BY 1),
+fold AS (
+  SELECT series_id, v, n, 13 AS t, list_transform(range(1, 14), lambda i: 0.0::double) AS e, 0.0::double AS sse FROM obs
+  UNION ALL
+  SELECT series_id, CASE WHEN t < n THEN v ELSE list_append(v, p) END, n, t + 1,
+    list_append(e, CASE WHEN t < n THEN v[t + 1] - p ELSE 0.0::double END), sse + CASE WHEN t < n THEN (v[t + 1] - p) ** 2 ELSE 0 END
+  FROM (SELECT *, 0.5::double * v[t] + 0.3::double * v[t - 11] - 0.15::double * v[t - 12] + 0.2::double * e[t] AS p FROM fold WHERE t < n + 6)),
+fit AS (SELECT * FROM fold WHERE t = n + 6)
+SELECT f.series_id, f.ds, f.step, round_even(v[n + f.step], 4) AS yhat, round_even(sse, 3) AS sse FROM future f JOIN fit USING (series_id)""")
+def sarima_fixed(spark, folder):
+    params = saved_table(arima.fit_sarima(orders_monthly(spark, folder), params=(0.5, 0.3, 0.2, 0.0)), "params")
+    predicted = arima.predict_sarima(params, 6)
+    return _rounded(predicted.join(params.select("series_id", F.bround("sse", 3).alias("sse")), "series_id"))
+
+
 @query()
 def sarima_forecast(spark, folder):
     return _rounded(evaluate.forecast_with(orders_monthly(spark, folder), "sarima"))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 # The number of rows a newest-first read may ask for.
 LATEST_RANGE = (1, 50)
 
+# Columns of the stored tables.
 INTAKES_SCHEMA = (
     "patient_code string, age int, gender string, fever_duration_days int, skin_manifestation boolean, "
     "predicted_disease string, confidence_score double, center_id string, doctor_confirmed_disease string, "
