@@ -99,12 +99,12 @@ def hospitals(regions: DataFrame) -> DataFrame:
 
 
 def as_records(df: DataFrame, columns: tuple[str, ...], key: str = "id") -> DataFrame:
-    """Every row as one JSON record beside its key; rows are not gathered into one list."""
-    return df.select(key, F.to_json(F.struct(*columns)).alias("record"))
+    """Every row as one JSON record beside its key; rows are not gathered, missing values stay as null."""
+    return df.select(key, F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("record"))
 
 
 def rollup_record(rollup: DataFrame) -> DataFrame:
     """The one-row roll-up as a nested JSON record: counts at the top, metrics inside."""
     top = ["total_regions", "filtered_count"]
     metrics = F.struct(*[c for c in rollup.columns if c not in top]).alias("summary_metrics")
-    return rollup.select(F.to_json(F.struct(*top, metrics)).alias("record"))
+    return rollup.select(F.to_json(F.struct(*top, metrics), {"ignoreNullFields": "false"}).alias("record"))
