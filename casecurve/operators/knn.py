@@ -193,15 +193,21 @@ def nearest_neighbours(
     key: str = "vec_id",
     vector: str = "embedding",
     label: str = "label",
-    small_rows: int = 20_000,
+    small_values: int = 4_000_000,
     block_rows: int = 4096,
 ) -> DataFrame:
-    """``query_id, rank, neighbour_id, distance, neighbour_label``: the k nearest training rows."""
+    """``query_id, rank, neighbour_id, distance, neighbour_label``: the k nearest training rows.
+
+    Up to ``small_values`` numbers (rows times dimensions, 32 MB by default) go to every task.
+    """
     as_doubles = F.col(vector).cast("array<double>").alias("_vector")
     asking = queries.select(F.col(key).alias("_query"), as_doubles)
     held = saved_table(train.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_label"), as_doubles), "train")
-    n = held.count()
-    if n <= small_rows:
+    size = held.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_vector")).alias("width")).first()
+    n = size["n"]
+    if n == 0:
+        raise ValueError("no training rows")
+    if n * (size["width"] or 0) <= small_values:
         found = _against_all(asking, held, k)
     else:
         found = _by_cells(asking, held, n, k, block_rows)

@@ -163,7 +163,7 @@ def knn_vote(spark, folder):
 @query(KNN)
 def knn_vote_cells(spark, folder):
     """The same vote through the cell join that serves training sides too large to send around."""
-    return _knn(spark, folder, small_rows=0, block_rows=512)
+    return _knn(spark, folder, small_values=0, block_rows=512)
 
 
 @query("""WITH f AS (SELECT *, CAST(((row_number() OVER (ORDER BY md5(vec_id::VARCHAR || '|0')) - 1) * 10) // count(*) OVER () AS INTEGER) AS fold FROM embeddings),

@@ -303,6 +303,26 @@ def sarima_fixed(spark, folder):
     return _rounded(predicted.join(params.select("series_id", F.bround("sse", 3).alias("sse")), "series_id"))
 
 
+@query(f"""WITH RECURSIVE {ORDERS}, {FUTURE},
+gaps AS (SELECT series_id, ds, y, CAST(y - lag(y) OVER (PARTITION BY series_id ORDER BY ds) AS DOUBLE) AS w FROM series),
+obs AS (SELECT series_id, list(w ORDER BY ds) FILTER (w IS NOT NULL) AS v, CAST(count(w) AS INTEGER) AS n, CAST(max_by(y, ds) AS DOUBLE) AS last_y FROM gaps GROUP BY 1),
+fold AS (
+  SELECT series_id, v, n, last_y, 13 AS t, list_transform(range(1, 14), lambda i: 0.0::double) AS e, 0.0::double AS sse FROM obs
+  UNION ALL
+  SELECT series_id, CASE WHEN t < n THEN v ELSE list_append(v, p) END, n, last_y, t + 1,
+    list_append(e, CASE WHEN t < n THEN v[t + 1] - p ELSE 0.0::double END), sse + CASE WHEN t < n THEN (v[t + 1] - p) ** 2 ELSE 0 END
+  FROM (SELECT *, 0.4::double * v[t] + 0.2::double * v[t - 11] - 0.08::double * v[t - 12]
+          - 0.3::double * e[t] + 0.1::double * e[t - 11] - 0.03::double * e[t - 12] AS p FROM fold WHERE t < n + 6)),
+fit AS (SELECT * FROM fold WHERE t = n + 6)
+SELECT f.series_id, f.ds, f.step, round_even(last_y + list_sum(v[n + 1:n + f.step]), 4) AS yhat, round_even(sse, 3) AS sse
+FROM future f JOIN fit USING (series_id)""")
+def sarima_backtest_fixed(spark, folder):
+    fixed = arima.fit_sarima(orders_monthly(spark, folder), order=arima.BACKTEST_ORDER, params=(0.4, 0.2, -0.3, 0.1))
+    params = saved_table(fixed, "params")
+    predicted = arima.predict_sarima(params, 6)
+    return _rounded(predicted.join(params.select("series_id", F.bround("sse", 3).alias("sse")), "series_id"))
+
+
 @query()
 def sarima_forecast(spark, folder):
     return _rounded(evaluate.forecast_with(orders_monthly(spark, folder), "sarima"))

@@ -143,7 +143,7 @@ def vectors(spark, n, seed, copies=0, dims=4):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), rows
 
 
-@pytest.mark.parametrize("options", [{}, {"small_rows": 0, "block_rows": 40}])
+@pytest.mark.parametrize("options", [{}, {"small_values": 0, "block_rows": 40}])
 def test_neighbours_with_a_third_of_equal_rows(spark, options):
     train, held = vectors(spark, 600, 1, copies=200)
     queries, asking = vectors(spark, 90, 2, copies=30)
@@ -159,7 +159,7 @@ def test_neighbours_with_a_third_of_equal_rows(spark, options):
 def test_fewer_training_rows_than_neighbours(spark):
     train, _ = vectors(spark, 3, 1)
     queries, _ = vectors(spark, 4, 2)
-    for options in ({}, {"small_rows": 0}):
+    for options in ({}, {"small_values": 0}):
         assert knn.nearest_neighbours(queries, train, 5, **options).groupBy("query_id").count().where("count = 3").count() == 4
 
 
@@ -199,6 +199,15 @@ def test_duplicates_and_profile(spark):
     assert counts == [(None, 2), (1, 2)]
 
 
+def test_natural_join_on_several_keys(spark):
+    features_ = spark.createDataFrame([("sj", 1990, 18, 0.1), ("sj", 1990, 19, 0.2), ("iq", 1990, 18, 0.3)], "city string, year int, weekofyear int, ndvi double")
+    labels = spark.createDataFrame([("sj", 1990, 18, 4), ("iq", 1990, 18, 0), ("iq", 1991, 1, 2)], "city string, year int, weekofyear int, total_cases int")
+    out = joins.natural_join(features_, labels)
+    assert sorted((r.city, r.ndvi, r.total_cases) for r in out.collect()) == [("iq", 0.3, 0), ("sj", 0.1, 4)]
+    fit = profile.linear_fit(out.unionByName(out.withColumn("ndvi", F.col("ndvi") + 1).withColumn("total_cases", F.col("total_cases") + 2)), "ndvi", "total_cases", ["city"])
+    assert {r.city: (r.slope, r.r2) for r in fit.collect()} == {"sj": (2.0, 1.0), "iq": (2.0, 1.0)}
+
+
 def test_joins(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
     b = spark.createDataFrame([(2, "other"), (3, "z")], "id int, v string")
