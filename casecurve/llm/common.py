@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  gives pa.compute
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from casecurve.session import saved_table
 from casecurve.sources.tables import table
 
-__all__ = ["documents", "keyed", "pieces_of", "row_key", "saved_table", "shuffle_partitions", "table"]
+__all__ = ["documents", "handed", "keyed", "pieces_of", "row_key", "saved_table", "shuffle_partitions", "table"]
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,9 +23,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, text`` alone, null texts as empty: no other column of the input can clash with the operator's."""
-    return df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def keyed(df: DataFrame, id_col: str, text_col: str, rest: Sequence[str] = ()) -> DataFrame:
+    """``id, text, rest``, null texts as empty: no other column of the input can clash with the operator's.
+
+    The columns an operator is asked to hand through travel in the struct ``rest``.
+    """
+    named = [F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")]
+    return df.select(*named, F.struct(*[df[c] for c in rest] or [F.lit(0).alias("none")]).alias("rest"))
+
+
+def handed(rest: Sequence[str]) -> list[Column]:
+    """The columns of ``rest`` under their own names again."""
+    return [F.col("rest")[c].alias(c) for c in rest]
 
 
 def row_key(text: Column) -> Column:

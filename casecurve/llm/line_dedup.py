@@ -9,11 +9,12 @@ line that a third of all documents share is one row per task before it is shuffl
 from __future__ import annotations
 
 import string
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casecurve.llm.common import keyed, row_key, saved_table
+from casecurve.llm.common import handed, keyed, row_key, saved_table
 
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -24,9 +25,14 @@ def line_key(line: Column) -> Column:
 
 
 def line_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, min_docs: int = 2
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_chars: int = 10,
+    min_docs: int = 2,
+    rest: Sequence[str] = (),
 ) -> DataFrame:
-    """``id_col, text, n_lines, n_dropped``: the texts without lines that many documents share.
+    """``id_col, text, n_lines, n_dropped`` and the columns ``rest``: the texts without lines that many documents share.
 
     A line whose key has at least ``min_chars`` code points and is found in at least ``min_docs``
     documents stays only in the document of the smallest id that holds it (every copy of it there), and is
@@ -37,7 +43,7 @@ def line_dedup(
     count. If all lines go, the text is empty. An empty table gives an empty result; further columns of
     the input are ignored.
     """
-    rows = keyed(docs, id_col, text_col).withColumn("row", row_key(F.col("text")))
+    rows = keyed(docs, id_col, text_col, rest).withColumn("row", row_key(F.col("text")))
     key = line_key(F.col("line"))
     lines = saved_table(
         rows.filter("id IS NOT NULL")
@@ -76,4 +82,5 @@ def line_dedup(
         text.alias("text"),
         "n_lines",
         (F.col("n_lines") - F.size("stay")).cast("long").alias("n_dropped"),
+        *handed(rest),
     )

@@ -8,15 +8,16 @@ or asking what a rule alone rejects reads the narrow ledger and never the texts.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from casecurve.llm.common import keyed, pieces_of
+from casecurve.llm.common import handed, keyed, pieces_of
 
 WINDOW = 8
 SPACES = " \t\n\x0b\x0c\r"
@@ -104,22 +105,26 @@ def _measured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces_of([batch], "text", 16 << 20):
             found = [measure(t) for t in piece.column("text").to_pylist()]
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
-            yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("text"), *columns], names=["id", "text", *_MEASURES])
+            yield pa.RecordBatch.from_arrays([*piece.columns, *columns], names=[*piece.schema.names, *_MEASURES])
 
 
-def with_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``id_col, text``, the measurements and ``failed``: bit i is set if rule i fails.
+def with_ledger(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, rest: Sequence[str] = ()
+) -> DataFrame:
+    """``id_col, text``, the columns ``rest``, the measurements and ``failed``: bit i is set if rule i fails.
 
     A null text has no words, lines or symbols. Each row is judged by itself: repeated rows, ids that are
     null and texts of any length need nothing special, and an empty table gives no rows.
     """
-    rows = keyed(docs, id_col, text_col)
-    kind = rows.schema["id"].dataType.simpleString()
-    measured = rows.mapInArrow(_measured, f"id {kind}, text string, {', '.join(f'{m} bigint' for m in _MEASURES)}")
+    rows = keyed(docs, id_col, text_col, rest)
+    schema = rows.schema
+    for name in _MEASURES:
+        schema = schema.add(name, LongType())
+    measured = rows.mapInArrow(_measured, schema)
     bits = F.lit(0).cast("long")
     for i, rule in enumerate(rules):
         bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
-    return measured.withColumn("failed", bits).withColumnRenamed("id", id_col)
+    return measured.select(F.col("id").alias(id_col), "text", *handed(rest), *_MEASURES, bits.alias("failed"))
 
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casecurve.llm import line_dedup, quality, sharding, simhash, suffixes
+from casecurve.llm import line_dedup, packing, quality, sharding, simhash, suffixes
 from casecurve.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,13 @@ FROM marked GROUP BY doc_id
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.line_dedup(documents(spark, folder))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_digest(packing.packed(documents(spark, folder)))
+
+
+def packed_digest(pieces: DataFrame) -> DataFrame:
+    """The pieces with a checksum in place of their ids."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casecurve.llm.common import keyed, pieces_of, saved_table
+from casecurve.llm.common import keyed, pieces_of, row_key, saved_table
 from casecurve.llm.components import components
 
 SHINGLE = 3
@@ -55,16 +55,16 @@ def simhash(text: str, shingle: int = SHINGLE, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``id, fp``: the fingerprint as a signed long. Null texts count as empty."""
-    rows = keyed(docs, id_col, text_col)
+    """``id, row, fp``: the fingerprint as a signed long; ``row`` tells apart rows of one id with different texts."""
+    rows = keyed(docs, id_col, text_col).select("id", row_key(F.col("text")).alias("row"), "text")
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces_of([batch], "text", 16 << 20):
                 fps = np.array([simhash(t, shingle) for t in piece.column("text").to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(fps.view(np.int64))], names=["id", "fp"])
+                yield pa.RecordBatch.from_arrays([*piece.select(["id", "row"]).columns, pa.array(fps.view(np.int64))], names=["id", "row", "fp"])
 
-    return rows.mapInArrow(hashed, f"id {rows.schema['id'].dataType.simpleString()}, fp bigint")
+    return rows.mapInArrow(hashed, f"id {rows.schema['id'].dataType.simpleString()}, row bigint, fp bigint")
 
 
 # -- BK-trees ---------------------------------------------------------------------------------------
@@ -211,19 +211,42 @@ def links(fps: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> D
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, tree_size: int = TREE_SIZE
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+    tree_size: int = TREE_SIZE,
 ) -> DataFrame:
-    """``id_col, fp, component_id``: the smallest id a document reaches over links of at most ``radius`` bits.
+    """``id_col, row, fp, component_id, stays``: the smallest id a document reaches over links of ``radius`` bits.
 
-    A null or empty text has the fingerprint 0 and is linked like any other. Equal fingerprints are one
-    component. Repeated rows come out as often as they went in. A row without an id belongs to its
-    component but never names it, unless no row of it has an id (then the component is null). An empty
-    table gives no rows.
+    ``stays`` marks one row of each component: that of the smallest id, and of rows with this id the one
+    whose text has the smallest hash ``row`` (all of them, if they are equal in both).
+
+    A null or empty text has the fingerprint 0 and is linked like any other. Repeated rows come out as
+    often as they went in. A row without an id belongs to its component but never names it, unless no row
+    of it has an id (then the component is null). An empty table gives no rows.
     """
     marked = saved_table(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = saved_table(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    head = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("head")
+    distinct = saved_table(marked.groupBy("fp").agg(head), "distinct")
     joined = saved_table(components(links(distinct.select("fp"), radius, tree_size)), "components")
-    named = distinct.join(joined, distinct["fp"] == joined["node"]).groupBy("component").agg(F.min("least").alias("least"))
-    linked = joined.join(named, "component").select(F.col("node").alias("fp"), F.col("least").alias("reached"))
-    classes = distinct.join(linked, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id"))
-    return marked.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    named = distinct.join(joined, distinct["fp"] == joined["node"]).groupBy("component").agg(F.min("head").alias("reached"))
+    linked = joined.join(named, "component").select(F.col("node").alias("fp"), "reached")
+    classes = distinct.join(linked, "fp", "left").select("fp", F.coalesce("reached", "head").alias("head"))
+    return marked.join(classes, "fp").select(
+        F.col("id").alias(id_col),
+        "row",
+        "fp",
+        F.col("head.id").alias("component_id"),
+        (F.col("id").eqNullSafe(F.col("head.id")) & (F.col("row") == F.col("head.row"))).alias("stays"),
+    )
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each component, of equal rows too."""
+    found = near_duplicates(docs, id_col, text_col, **options)
+    stay = found.filter("stays").select(F.col(id_col).alias("id"), "row").distinct()
+    whole = keyed(docs, id_col, text_col, docs.columns).select("id", row_key(F.col("text")).alias("row"), "rest")
+    left = whole.join(stay, whole["id"].eqNullSafe(stay["id"]) & (whole["row"] == stay["row"]), "left_semi")
+    return left.groupBy("id", "row").agg(F.first("rest").alias("rest")).select("rest.*")

@@ -21,7 +21,7 @@ digests of whole strings).
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casecurve.llm.common import keyed, pieces_of, row_key, saved_table
+from casecurve.llm.common import handed, keyed, pieces_of, row_key, saved_table
 
 LENGTH = 200
 SHARD_BYTES = 4 << 20
@@ -468,13 +468,20 @@ def _removed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     column.append(value)
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [piece.column("id"), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                names=["id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                [piece.column("id"), piece.column("rest"), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                names=["id", "rest", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``id_col, text, n_bytes, n_removed, n_spans, kept_sha256``: texts without their repeated strings.
+def remove_repeats(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    shard_bytes: int = SHARD_BYTES,
+    rest: Sequence[str] = (),
+) -> DataFrame:
+    """``id_col, text, n_bytes, n_removed, n_spans, kept_sha256`` and the columns ``rest``: texts without their repeated strings.
 
     A byte goes if a string of ``length`` bytes of the same document covers it that also starts anywhere
     else, in this document or another; all strings are judged on the input. ``n_removed`` bytes in
@@ -484,14 +491,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A null text is an empty one; texts shorter than ``length`` stay whole. Repeated rows are copies of
     each other and lose all they share, with or without an id; an empty table gives no rows.
     """
-    rows = keyed(docs, id_col, text_col).withColumn("row", row_key(F.col("text")))
-    kind = rows.schema["id"].dataType.simpleString()
+    rows = keyed(docs, id_col, text_col, rest).withColumn("row", row_key(F.col("text")))
     spans = (
         repeat_spans(docs, id_col, text_col, length, shard_bytes)
         .groupBy("id", "row")
         .agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     )
-    marked = rows.join(spans, rows["id"].eqNullSafe(spans["id"]) & (rows["row"] == spans["row"]), "left").select(rows["id"], "text", "spans")
-    return marked.mapInArrow(_removed, f"id {kind}, text string, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string").withColumnRenamed(
-        "id", id_col
+    together = rows["id"].eqNullSafe(spans["id"]) & (rows["row"] == spans["row"])
+    marked = rows.join(spans, together, "left").select(rows["id"], "rest", "text", "spans")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = f"id {kinds['id']}, rest {kinds['rest']}, text string, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    return marked.mapInArrow(_removed, schema).select(
+        F.col("id").alias(id_col), "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", *handed(rest)
     )

@@ -72,8 +72,8 @@ def simhash_by_hand(text, shingle=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def reached(ids_fps, radius):
-    """Least id over all rows a row reaches; pairs by brute force."""
+def classes(ids_fps, radius):
+    """Ids by component; pairs by brute force."""
     n = len(ids_fps)
     label = list(range(n))
 
@@ -90,7 +90,13 @@ def reached(ids_fps, radius):
     groups = defaultdict(list)
     for i in range(n):
         groups[root(i)].append(ids_fps[i][0])
-    return [min((x for x in groups[root(i)] if x is not None), default=None) for i in range(n)]
+    return groups, [root(i) for i in range(n)]
+
+
+def reached(ids_fps, radius):
+    """Least id over all rows a row reaches."""
+    groups, of = classes(ids_fps, radius)
+    return [min((x for x in groups[g] if x is not None), default=None) for g in of]
 
 
 @pytest.mark.parametrize("clash,radius,tree_size", [(False, 2, 16384), (True, 2, 3), (False, 3, 16384), (False, 0, 4)])
@@ -103,10 +109,23 @@ def test_near_duplicates(spark, clash, radius, tree_size):
     fps = [(r[0], simhash_by_hand(r[1])) for r in rows]
     signed = [f - (1 << 64) if f >> 63 else f for _, f in fps]
     want = Counter(zip((r[0] for r in rows), signed, reached(fps, radius)))
-    assert counted(got) == want
+    assert Counter((r.doc_id, r.fp, r.component_id) for r in got) == want
     assert len({r.component_id for r in got}) < len(rows)
 
 
+@pytest.mark.parametrize("clash", [False, True])
+def test_one_document_of_each_component_stays(spark, clash):
+    rows = odd_documents()
+    df = frame(spark, rows, clash)
+    left = sh.without_near_duplicates(df)
+    assert left.columns == df.columns
+    kept = [(r.doc_id, r.text) for r in left.collect()]
+    groups, _ = classes([(r[0], simhash_by_hand(r[1])) for r in rows], 2)
+    least = Counter(min((x for x in g if x is not None), default=None) for g in groups.values())
+    assert Counter(d for d, _ in kept) == least
+    assert set(kept) <= {(r[0], r[1]) for r in rows}
+
+
 @pytest.mark.parametrize("radius,tree_size", [(2, 50), (2, 10000), (4, 64), (0, 7)])
 def test_links_reach_what_all_pairs_reach(spark, radius, tree_size):
     rng = np.random.default_rng(radius)
