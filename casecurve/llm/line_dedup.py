@@ -53,13 +53,15 @@ def line_dedup(
         .select("id", "row", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")),
         "lines",
     )
-    shared = (
+    # Saved, so that both sides of the join are shuffled for it and a line with many rows can be split.
+    shared = saved_table(
         lines.groupBy("h1", "h2", "id")
         .agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2")
         .agg(F.count("id").alias("n_docs"), F.min("id").alias("keeper"))
         .filter(F.col("n_docs") >= min_docs)
-        .select("h1", "h2", "keeper")
+        .select("h1", "h2", "keeper"),
+        "shared",
     )
     dropped = (
         lines.join(shared, ["h1", "h2"])

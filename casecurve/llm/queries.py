@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casecurve.llm import line_dedup, packing, quality, sharding, simhash, suffixes
-from casecurve.llm.common import documents
+from casecurve.llm import fingerprints, line_dedup, packing, pieces, planes, quality, sharding, simhash, suffixes, warc
+from casecurve.llm.common import documents, table
+from casecurve.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +127,50 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
 def packed_digest(pieces: DataFrame) -> DataFrame:
     """The pieces with a checksum in place of their ids."""
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
+
+
+@query()
+def op1_lz_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compared_with_edits(documents(spark, folder))
+
+
+@query()
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's piece ids and the text they decode to, as checksums."""
+    model = pieces.piece_bpe_path()
+    found = pieces.encoded(documents(spark, folder), model)
+    text = pieces.decoded(F.col("ids"), pieces.Vocabulary.of(model))
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2(text, 256).alias("decoded_sha256"),
+        (text == F.col("text")).alias("round_trip"),
+    )
+
+
+@query()
+def op5_plane_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    files = planes.write_ids(docs, scratch_path(spark, "planes"))
+    return planes.read_ids(files, docs.schema["doc_id"].dataType.simpleString(), digest_only=True).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32"
+    )
+
+
+@query(
+    """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+h AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS head FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN head = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN head = page_id THEN NULL ELSE head END AS refers_to
+FROM h
+"""
+)
+def op7_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    index = warc.write_bundles(table(spark, folder, "pages"), scratch_path(spark, "warc"))
+    return warc.read_records(index).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
