@@ -382,23 +382,26 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = keyed(docs, id_col, text_col).withColumn("row", row_key(F.col("text")))
     kind = rows.schema["id"].dataType.simpleString()
     long_enough = rows.filter(F.octet_length("text") >= length)
-    often = (
+    # Tables that are joined to many rows of one anchor are saved: a join of two plain shuffles can split such rows.
+    often = saved_table(
         long_enough.select("text")
         .mapInArrow(_anchors(length), "anchor bigint")
         .groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
-        .select("anchor")
+        .select("anchor"),
+        "often",
     )
     found = saved_table(long_enough.mapInArrow(_all_runs(length), _RUN.format(id=kind)).join(often, "anchor"), "runs")
     different = saved_table(
         found.groupBy("anchor", "c1", "c2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "start", "size")).alias("at")), "different"
     )
-    sizes = (
+    sizes = saved_table(
         different.groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("at.size").cast("long")).alias("bytes"))
         .filter("kinds > 1")
-        .select("anchor", F.ceil(F.col("bytes") / F.lit(shard_bytes)).cast("int").alias("part"))
+        .select("anchor", F.ceil(F.col("bytes") / F.lit(shard_bytes)).cast("int").alias("part")),
+        "sizes",
     )
     wanted = (
         different.join(sizes, "anchor")
