@@ -169,7 +169,8 @@ def links(fps: DataFrame, radius: int = RADIUS, tree_size: int = TREE_SIZE) -> D
         for i, (low, high) in enumerate(zip(cuts, cuts[1:]))
     ]
     placed = fps.select("fp", F.explode(F.array(*parts)).alias("p")).select("fp", "p.band", "p.value")
-    sizes = placed.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Saved, so that the join can split the rows of a large shard.
+    sizes = saved_table(placed.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shards")
     # Fingerprints alone in a shard have no partner in this band and are not moved on.
     # A shard of several trees is cut into parts; part i's tree is searched by itself and by each later part.
     trees = F.ceil(F.col("n") / F.lit(tree_size)).cast("int")
@@ -233,7 +234,8 @@ def near_duplicates(
     joined = saved_table(components(links(distinct.select("fp"), radius, tree_size)), "components")
     named = distinct.join(joined, distinct["fp"] == joined["node"]).groupBy("component").agg(F.min("head").alias("reached"))
     linked = joined.join(named, "component").select(F.col("node").alias("fp"), "reached")
-    classes = distinct.join(linked, "fp", "left").select("fp", F.coalesce("reached", "head").alias("head"))
+    # Saved, so that the join can split the rows of a fingerprint that many documents share.
+    classes = saved_table(distinct.join(linked, "fp", "left").select("fp", F.coalesce("reached", "head").alias("head")), "classes")
     return marked.join(classes, "fp").select(
         F.col("id").alias(id_col),
         "row",
