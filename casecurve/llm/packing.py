@@ -178,7 +178,9 @@ def packed(
     """
     tokens = tokenized(docs, tokenizer or byte_bpe_path(), id_col, text_col, source_col, end_id)
     kind = tokens.schema["id"].dataType.simpleString()
+    # Saved, so that its size is known before the ids would be shuffled to meet it.
     queues = _queues(tokens, shares, sequence).select(F.col("part").alias("of_part"), F.col("source").alias("of"), "before", "quota")
+    queues = saved_table(queues, "queues")
     queued = tokens.join(queues, (F.col("part") == F.col("of_part")) & F.col("source").eqNullSafe(F.col("of"))).select(
         "id", "source", "doc_tokens", (F.col("before") + F.col("place")).alias("low"), "quota", "ids"
     )

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from casecurve.llm.common import handed, keyed, pieces_of
 
@@ -117,10 +117,8 @@ def with_ledger(
     null and texts of any length need nothing special, and an empty table gives no rows.
     """
     rows = keyed(docs, id_col, text_col, rest)
-    schema = rows.schema
-    for name in _MEASURES:
-        schema = schema.add(name, LongType())
-    measured = rows.mapInArrow(_measured, schema)
+    measures = [StructField(name, LongType()) for name in _MEASURES]
+    measured = rows.mapInArrow(_measured, StructType([*rows.schema.fields, *measures]))
     bits = F.lit(0).cast("long")
     for i, rule in enumerate(rules):
         bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
