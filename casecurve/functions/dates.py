@@ -42,5 +42,13 @@ def month_index(ds: Column) -> Column:
     return F.year(ds) * 12 + F.month(ds)
 
 
+def period_index(ds: Column, period: str = "month") -> Column:
+    """A whole number that grows by one from each month, week or day to the next."""
+    if period == "month":
+        return month_index(ds)
+    days = F.datediff(ds, F.lit("1970-01-05").cast("date"))  # a Monday
+    return F.floor(days / 7).cast("int") if period == "week" else days
+
+
 def day_text(ds: Column) -> Column:
     return F.date_format(ds, "yyyy-MM-dd")

@@ -101,7 +101,7 @@ def fit_sarima(
     return arrays.mapInPandas(fit, schema).withColumn("d", F.lit(d))
 
 
-def predict_sarima(params: DataFrame, steps: int, keys: Sequence[str] = KEYS) -> DataFrame:
+def predict_sarima(params: DataFrame, steps: int, keys: Sequence[str] = KEYS, period: str = "month") -> DataFrame:
     """Forecasts by the model's recursion with future errors at zero, summed back when d = 1."""
 
     def lag(state: Column, name: str, k: int) -> Column:
@@ -126,7 +126,7 @@ def predict_sarima(params: DataFrame, steps: int, keys: Sequence[str] = KEYS) ->
         F.array().cast("array<double>").alias("path"),
     )
     path = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda s: s["path"])
-    return future_periods(params.withColumn("_path", path), steps, keys).select(
+    return future_periods(params.withColumn("_path", path), steps, keys, period).select(
         *keys, "ds", "step", F.element_at("_path", F.col("step")).alias("yhat")
     )
 

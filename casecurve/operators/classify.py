@@ -42,8 +42,6 @@ LOGISTIC_ITERATIONS = 2000
 DEFAULT_THRESHOLD = 0.5
 FOURIER_FEATURES = 64
 SVM_TOLERANCE = 1e-3
-# Rows up to which a column's values are gathered for its median.
-SMALL_ROWS = 100_000
 # Independent fits sent to the cluster at the same time.
 PARALLEL_FITS = 8
 
@@ -74,27 +72,27 @@ def _number(value: float) -> str:
     return f"CAST('{float(value)!r}' AS DOUBLE)"
 
 
-def _value_counts(rows: DataFrame, column: str) -> dict[str, int]:
-    """Present values with their counts, in value order; too many are an error."""
-    counted = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    found = counted.orderBy(column).limit(MAX_CATEGORIES + 1).collect()
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values")
-    return {r[0]: r["n"] for r in found}
+def _value_counts(rows: DataFrame, columns: Sequence[str], most: int) -> dict[str, dict]:
+    """Each column's present values with their counts, in value order; one job for all columns.
 
-
-def _middles(rows: DataFrame, numeric: Sequence[str], n: int) -> dict[str, float | None]:
-    """The exact median of every column; Spark's own aggregate where n rows surely fit one task."""
-    if n <= SMALL_ROWS:
-        return rows.agg(*[F.median(lenient_double(F.col(c))).alias(c) for c in numeric]).first().asDict()
-    return {r["column"]: r["median"] for r in medians(rows, numeric).collect()}
+    Every value becomes a feature or a class of the model, so more than ``most`` are an error.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    counted = rows.select(F.explode(cells).alias("_c")).where("_c.value IS NOT NULL").groupBy("_c.column", "_c.value")
+    found: dict[str, dict] = {c: {} for c in columns}
+    for r in counted.agg(F.count(F.lit(1)).alias("n")).orderBy("column", "value").limit(len(columns) * most + 1).collect():
+        found[r["column"]][r["value"]] = r["n"]
+    for c, values in found.items():
+        if len(values) > most:
+            raise ValueError(f"{c} has more than {most} values")
+    return found
 
 
 def _preprocessing(
-    rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], n: int
+    rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], values: dict[str, dict]
 ) -> tuple[SQLTransformer, list[str]]:
     """The projection and the names of the feature columns it adds."""
-    middle = _middles(rows, numeric, n)
+    middle = {r["column"]: r["median"] for r in medians(rows, numeric).collect()}
     filled = {c: F.coalesce(lenient_double(F.col(c)), F.lit(float(middle.get(c) or 0.0))) for c in numeric}
     stats = rows.agg(*[a for c in numeric for a in (F.avg(filled[c]).alias(f"{c}_m"), F.stddev_pop(filled[c]).alias(f"{c}_s"))]).first()
     expressions = []
@@ -103,7 +101,7 @@ def _preprocessing(
         value = f"COALESCE(IF(ISNAN({raw}), NULL, {raw}), {_number(middle.get(c) or 0.0)})"
         expressions.append(f"({value} - {_number(stats[f'{c}_m'] or 0.0)}) / {_number(stats[f'{c}_s'] or 1.0)}")
     for c in categorical:
-        counts = _value_counts(rows, c)
+        counts = values[c]
         # Ties go to the first value in order.
         usual = _text(max(counts, key=counts.get)) if counts else "NULL"
         for v in kept_categories(list(counts)):
@@ -113,27 +111,30 @@ def _preprocessing(
     return SQLTransformer(statement=f"SELECT *, {selected} FROM __THIS__"), names
 
 
-def _fourier(rows: DataFrame, names: Sequence[str], seed: int) -> tuple[list[SQLTransformer], list[str]]:
+def _fourier(rows: DataFrame, names: Sequence[str], seed: int, waves: int) -> tuple[list[SQLTransformer], list[str]]:
     """Random Fourier features approximating an RBF kernel with gamma = 1 / (features * variance).
 
-    All waves come from one array expression: 64 separate formulas would outgrow generated code.
+    All waves come from one array expression: separate formulas would outgrow generated code.
     """
-    variance = rows.select(F.explode(F.array(*names)).alias("x")).agg(F.var_pop("x")).first()[0] or 1.0
+    # The variance of all features together, from their own means and variances.
+    parts = rows.agg(*[f(n) for n in names for f in (F.avg, F.var_pop)]).first()
+    centres, spreads = np.array(parts[::2], dtype=float), np.array(parts[1::2], dtype=float)
+    variance = float(spreads.mean() + centres.var()) or 1.0
     gamma = 1.0 / (len(names) * variance)
     rng = np.random.RandomState(seed)
-    weights = rng.normal(scale=np.sqrt(2 * gamma), size=(FOURIER_FEATURES, len(names)))
-    shifts = rng.uniform(0, 2 * np.pi, size=FOURIER_FEATURES)
-    scale = float(np.sqrt(2.0 / FOURIER_FEATURES))
+    weights = rng.normal(scale=np.sqrt(2 * gamma), size=(waves, len(names)))
+    shifts = rng.uniform(0, 2 * np.pi, size=waves)
+    scale = float(np.sqrt(2.0 / waves))
     lines = [
         f"named_struct('w', array({', '.join(_number(w) for w in row)}), 'b', {_number(b)})" for row, b in zip(weights, shifts)
     ]
     product = f"aggregate(zip_with(l.w, array({', '.join(names)}), (a, x) -> a * x), l.b, (total, term) -> total + term)"
-    waves = SQLTransformer(
+    projected = SQLTransformer(
         statement=f"SELECT *, transform(array({', '.join(lines)}), l -> {_number(scale)} * cos({product})) AS _waves FROM __THIS__"
     )
-    columns = [f"_r{i}" for i in range(FOURIER_FEATURES)]
+    columns = [f"_r{i}" for i in range(waves)]
     spread = SQLTransformer(statement=f"SELECT *, {', '.join(f'_waves[{i}] AS {c}' for i, c in enumerate(columns))} FROM __THIS__")
-    return [waves, spread], columns
+    return [projected, spread], columns
 
 
 def _estimator(kind: str, n_rows: int, seed: int):
@@ -166,21 +167,33 @@ def train_classifier(
     kind: str = "forest",
     positive: str | None = None,
     seed: int = SEED,
+    fourier_features: int = FOURIER_FEATURES,
+    max_categories: int = MAX_CATEGORIES,
+    min_instances: int = 1,
 ) -> Classifier:
-    """Fits one classifier with class-balanced weights."""
+    """Fits one classifier with class-balanced weights.
+
+    ``fourier_features`` sets how closely the RBF kernel of the SVM is met. ``max_categories`` bounds the
+    values of a category or label, each of which becomes a feature or class; more raise an error.
+    ``min_instances`` is the least number of rows on each side of a split of a tree; Spark has no control
+    over the rows needed to try a split at all, of which this is the nearest relation.
+    """
     rows = saved_table(train.select(*numeric, *categorical, label).where(F.col(label).isNotNull()), "training")
-    counts = _value_counts(rows, label)
+    values = _value_counts(rows, [label, *categorical], max_categories)
+    counts = values[label]
     classes, n = list(counts), sum(counts.values())
     # Balanced: every class gets the same total weight.
     by_class = {c: (float(i), n / (len(classes) * counts[c])) for i, c in enumerate(classes)}
     number, weight = (F.create_map(*[F.lit(v) for c in classes for v in (c, by_class[c][j])]) for j in (0, 1))
-    rows = rows.withColumns({"_y": number[F.col(label)], "weight": weight[F.col(label)]})
-    projection, names = _preprocessing(rows, numeric, categorical, n)
+    rows = rows.withColumns({"_y": number[F.col(label).cast("string")], "weight": weight[F.col(label).cast("string")]})
+    projection, names = _preprocessing(rows, numeric, categorical, values)
     stages: list = [projection]
     if kind.startswith("svm"):
-        waves, names = _fourier(projection.transform(rows), names, seed)
+        waves, names = _fourier(projection.transform(rows), names, seed, fourier_features)
         stages += waves
     estimator = _estimator(kind, n, seed)
+    if estimator.hasParam("minInstancesPerNode"):
+        estimator = estimator.setMinInstancesPerNode(min_instances)
     stages += [VectorAssembler(inputCols=names, outputCol="_features"), estimator]
     return Classifier(Pipeline(stages=stages).fit(rows), classes, list(numeric), list(categorical), kind, positive)
 

@@ -11,25 +11,35 @@ from casecurve.operators import arima, forecast
 from casecurve.operators.series import KEYS, ORIGINS, holdout_split, rolling_folds
 from casecurve.session import saved_table
 
-Model = Callable[[DataFrame, int, Sequence[str]], DataFrame]
+Model = Callable[[DataFrame, int, Sequence[str], str], DataFrame]
 
-# Every model: (training rows, steps, keys) -> keys, ds, step, yhat.
+
+def _fourier(series: DataFrame, steps: int, keys: Sequence[str], period: str) -> DataFrame:
+    if period != "month":
+        raise ValueError("the Fourier regression has yearly waves over months")
+    return arima.fit_predict_fourier(series, steps, keys)
+
+
+# Periods in a season: a year of months or weeks, a week of days. Seasonal ARIMA keeps to 12 periods.
+SEASONS = {"month": 12, "week": 52, "day": 7}
+
+# Every model: (training rows, steps, keys, period) -> keys, ds, step, yhat.
 MODELS: dict[str, Model] = {
-    "flat": lambda s, steps, keys: forecast.predict_trend(forecast.fit_trend(s, "flat", keys), steps, keys),
-    "linear": lambda s, steps, keys: forecast.predict_trend(forecast.fit_trend(s, "linear", keys), steps, keys),
-    "seasonal_mean": lambda s, steps, keys: forecast.predict_seasonal_mean(forecast.fit_seasonal_mean(s, keys), steps, keys),
-    "holt_winters": lambda s, steps, keys: forecast.predict_holt_winters(forecast.fit_holt_winters(s, keys), steps, keys),
-    "fourier": lambda s, steps, keys: arima.fit_predict_fourier(s, steps, keys),
-    "sarima": lambda s, steps, keys: arima.predict_sarima(arima.fit_sarima(s, keys), steps, keys),
-    "sarima_backtest": lambda s, steps, keys: arima.predict_sarima(
-        arima.fit_sarima(s, keys, arima.BACKTEST_ORDER), steps, keys
-    ),
+    "flat": lambda s, n, keys, p: forecast.predict_trend(forecast.fit_trend(s, "flat", keys, p), n, keys, period=p),
+    "linear": lambda s, n, keys, p: forecast.predict_trend(forecast.fit_trend(s, "linear", keys, p), n, keys, period=p),
+    "seasonal_mean": lambda s, n, keys, p: forecast.predict_seasonal_mean(forecast.fit_seasonal_mean(s, keys), n, keys, p),
+    "holt_winters": lambda s, n, keys, p: forecast.predict_holt_winters(forecast.fit_holt_winters(s, keys, season=SEASONS[p]), n, keys, p),
+    "fourier": _fourier,
+    "sarima": lambda s, n, keys, p: arima.predict_sarima(arima.fit_sarima(s, keys), n, keys, p),
+    "sarima_backtest": lambda s, n, keys, p: arima.predict_sarima(arima.fit_sarima(s, keys, arima.BACKTEST_ORDER), n, keys, p),
 }
 
 
-def forecast_with(series: DataFrame, model: str, steps: int = 6, keys: Sequence[str] = KEYS) -> DataFrame:
+def forecast_with(
+    series: DataFrame, model: str, steps: int = 6, keys: Sequence[str] = KEYS, period: str = "month"
+) -> DataFrame:
     """Fits ``model`` to every series and forecasts ``steps`` periods, with whole-count column."""
-    return forecast.rounded_forecast(MODELS[model](series, steps, keys))
+    return forecast.rounded_forecast(MODELS[model](series, steps, keys, period))
 
 
 def compare(actual: DataFrame, predicted: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -51,10 +61,10 @@ def error_metrics(compared: DataFrame, keys: Sequence[str] = KEYS, digits: int |
     return compared.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_test"), *columns)
 
 
-def _evaluate(split: DataFrame, model: str, horizon: int, keys: Sequence[str]) -> DataFrame:
+def _evaluate(split: DataFrame, model: str, horizon: int, keys: Sequence[str], period: str = "month") -> DataFrame:
     # Read twice, for fitting and for testing.
     split = saved_table(split, "split")
-    predicted = MODELS[model](split.where("part = 'train'").drop("part"), horizon, keys)
+    predicted = MODELS[model](split.where("part = 'train'").drop("part"), horizon, keys, period)
     return compare(split.where("part = 'test'"), predicted, keys)
 
 

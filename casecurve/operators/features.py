@@ -13,7 +13,7 @@ MAX_CATEGORIES = 1000
 
 
 def with_class_weight(df: DataFrame, label: str, output: str = "weight") -> DataFrame:
-    """Adds n / (k * n_c): every class gets the same total weight."""
+    """Adds n / (k * n_c): every class gets the same total weight. Rows without a label are left out."""
     counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
     counts = saved_table(counts, "weights")
     total = counts.agg(F.struct(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
@@ -34,11 +34,11 @@ def standardised(df: DataFrame, columns: Sequence[str], statistics_from: DataFra
     )
 
 
-def categories(df: DataFrame, column: str) -> list[str]:
-    """The sorted distinct values, as a list; more than ``MAX_CATEGORIES`` is an error."""
-    found = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(MAX_CATEGORIES + 1).collect()
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories")
+def categories(df: DataFrame, column: str, most: int = MAX_CATEGORIES) -> list[str]:
+    """The sorted distinct values, as a list; each becomes a column, so more than ``most`` is an error."""
+    found = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} categories")
     return [r[0] for r in found]
 
 
@@ -47,8 +47,8 @@ def kept_categories(values: Sequence[str]) -> list[str]:
     return list(values[1:]) if len(values) == 2 else list(values)
 
 
-def one_hot(df: DataFrame, column: str, values: Sequence[str] | None = None) -> DataFrame:
+def one_hot(df: DataFrame, column: str, values: Sequence[str] | None = None, most: int = MAX_CATEGORIES) -> DataFrame:
     """Adds ``{column}_{value}`` 1/0 columns; unknown or missing values have zeros throughout."""
-    values = list(values) if values is not None else categories(df, column)
+    values = list(values) if values is not None else categories(df, column, most)
     flags = {f"{column}_{v}": F.when(F.col(column) == v, 1).otherwise(0) for v in kept_categories(values)}
     return df.withColumns(flags) if flags else df

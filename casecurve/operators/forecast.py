@@ -8,13 +8,14 @@ row per period, so a series' values fit in one array whatever the size of the li
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casecurve.functions.dates import month_index
+from casecurve.functions.dates import period_index
 from casecurve.functions.numbers import whole_cases
 from casecurve.operators.series import KEYS, future_periods
 
@@ -53,9 +54,9 @@ def spread_out(arrays: DataFrame, keys: Sequence[str]) -> DataFrame:
 # -- flat, linear and seasonal-mean levels ------------------------------------------------------
 
 
-def fit_trend(series: DataFrame, growth: str = "linear", keys: Sequence[str] = KEYS) -> DataFrame:
-    """Least-squares level (``flat``) or line (``linear``) over the month index, with residual spread."""
-    index, y = month_index(F.col("ds")).cast("double"), F.col("y").cast("double")
+def fit_trend(series: DataFrame, growth: str = "linear", keys: Sequence[str] = KEYS, period: str = "month") -> DataFrame:
+    """Least-squares level (``flat``) or line (``linear``) over the period index, with residual spread."""
+    index, y = period_index(F.col("ds"), period).cast("double"), F.col("y").cast("double")
     if growth == "flat":
         slope, intercept, sse = F.lit(0.0), F.avg(y), F.regr_syy(y, index)
     else:
@@ -70,10 +71,12 @@ def fit_trend(series: DataFrame, growth: str = "linear", keys: Sequence[str] = K
     )
 
 
-def predict_trend(params: DataFrame, steps: int, keys: Sequence[str] = KEYS, z: float = INTERVAL_Z) -> DataFrame:
+def predict_trend(
+    params: DataFrame, steps: int, keys: Sequence[str] = KEYS, z: float = INTERVAL_Z, period: str = "month"
+) -> DataFrame:
     """Point forecast with a symmetric interval of ``z`` residual deviations."""
-    future = future_periods(params, steps, keys)
-    yhat = F.col("intercept") + F.col("slope") * month_index(F.col("ds"))
+    future = future_periods(params, steps, keys, period)
+    yhat = F.col("intercept") + F.col("slope") * period_index(F.col("ds"), period)
     return future.select(
         *keys,
         "ds",
@@ -87,12 +90,12 @@ def predict_trend(params: DataFrame, steps: int, keys: Sequence[str] = KEYS, z:
 def fit_seasonal_mean(series: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Average of each month of year; a month never seen takes the series average."""
     month = F.month("ds")
-    means = [F.coalesce(F.avg(F.when(month == m, F.col("y"))), F.avg("y")) for m in range(1, SEASON + 1)]
+    means = [F.coalesce(F.avg(F.when(month == m, F.col("y"))), F.avg("y")) for m in range(1, 13)]
     return series.groupBy(*keys).agg(F.array(*means).alias("month_means"), F.max("ds").alias("last_ds"))
 
 
-def predict_seasonal_mean(params: DataFrame, steps: int, keys: Sequence[str] = KEYS) -> DataFrame:
-    return future_periods(params, steps, keys).select(
+def predict_seasonal_mean(params: DataFrame, steps: int, keys: Sequence[str] = KEYS, period: str = "month") -> DataFrame:
+    return future_periods(params, steps, keys, period).select(
         *keys, "ds", "step", F.element_at("month_means", F.month("ds")).alias("yhat")
     )
 
@@ -100,17 +103,17 @@ def predict_seasonal_mean(params: DataFrame, steps: int, keys: Sequence[str] = K
 # -- Holt-Winters: level plus additive season, no trend -----------------------------------------
 
 
-def _smoothed(values: Column, alpha: Column, gamma: Column) -> Column:
+def _smoothed(values: Column, alpha: Column, gamma: Column, length: int) -> Column:
     """Folds one series: struct(sse, alpha, gamma, level, season).
 
     Start: level = mean of the first season, season = first values minus that level. With e the
     one-step error, the level moves by alpha * e and the current season entry by gamma * e.
     """
-    first = F.slice(values, 1, SEASON)
+    first = F.slice(values, 1, length)
     level0 = F.aggregate(first, F.lit(0.0), lambda a, x: a + x) / F.size(first)
     # A series shorter than one season keeps zeros for the months it has not reached.
     season0 = F.transform(
-        F.sequence(F.lit(1), F.lit(SEASON)),
+        F.sequence(F.lit(1), F.lit(length)),
         lambda i: F.coalesce(F.try_element_at(values, i) - level0, F.lit(0.0)),
     )
     start = F.struct(
@@ -118,7 +121,7 @@ def _smoothed(values: Column, alpha: Column, gamma: Column) -> Column:
     )
 
     def step(state: Column, y: Column) -> Column:
-        slot = state["t"] % SEASON
+        slot = state["t"] % length
         error = y - state["level"] - F.element_at(state["season"], slot + 1)
         return F.struct(
             (state["sse"] + error * error).alias("sse"),
@@ -147,24 +150,24 @@ def padded(values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return matrix, lengths
 
 
-def _squared_errors(y: np.ndarray, n: np.ndarray, alpha: np.ndarray, gamma: np.ndarray) -> np.ndarray:
+def _squared_errors(y: np.ndarray, n: np.ndarray, alpha: np.ndarray, gamma: np.ndarray, length: int) -> np.ndarray:
     """Sum of squared one-step errors for (series, candidate) weights, all in step with time."""
-    seen = np.minimum(n, SEASON)
-    level = np.repeat((y[:, :SEASON].sum(axis=1) / seen)[:, None], alpha.shape[1], axis=1)
-    start = np.zeros((len(y), SEASON))
-    reach = min(SEASON, y.shape[1])
+    seen = np.minimum(n, length)
+    level = np.repeat((y[:, :length].sum(axis=1) / seen)[:, None], alpha.shape[1], axis=1)
+    start = np.zeros((len(y), length))
+    reach = min(length, y.shape[1])
     start[:, :reach] = np.where(np.arange(reach) < n[:, None], y[:, :reach] - level[:, :1], 0.0)
     season = np.repeat(start.T[:, :, None], alpha.shape[1], axis=2)
     total = np.zeros_like(alpha)
     for t in range(y.shape[1]):
-        error = np.where((t < n)[:, None], y[:, t, None] - level - season[t % SEASON], 0.0)
+        error = np.where((t < n)[:, None], y[:, t, None] - level - season[t % length], 0.0)
         total += error * error
         level = level + alpha * error
-        season[t % SEASON] += gamma * error
+        season[t % length] += gamma * error
     return total
 
 
-def _best_weights(y: np.ndarray, n: np.ndarray) -> np.ndarray:
+def _best_weights(y: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
     """(alpha, gamma) of the smallest error over 0 <= gamma <= 1 - alpha, per series.
 
     A grid of tenths, then two finer grids around each series' best point.
@@ -175,18 +178,18 @@ def _best_weights(y: np.ndarray, n: np.ndarray) -> np.ndarray:
         grid = best[:, None, :] + np.array(offsets)[None, :, :]
         alpha = np.clip(grid[:, :, 0], 0.0, 1.0)
         gamma = np.clip(grid[:, :, 1], 0.0, 1.0 - alpha)
-        chosen = _squared_errors(y, n, alpha, gamma).argmin(axis=1)
+        chosen = _squared_errors(y, n, alpha, gamma, length).argmin(axis=1)
         rows = np.arange(len(y))
         best = np.stack([alpha[rows, chosen], gamma[rows, chosen]], axis=1)
     return best
 
 
-def _search_weights(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _search_weights(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         # A few hundred series at a time keep the working arrays small.
         for start in range(0, len(batch), 256):
             part = batch.iloc[start : start + 256]
-            weights = _best_weights(*padded(part["values"]))
+            weights = _best_weights(*padded(part["values"]), length)
             yield part.assign(alpha=weights[:, 0], gamma=weights[:, 1])
 
 
@@ -195,8 +198,9 @@ def fit_holt_winters(
     keys: Sequence[str] = KEYS,
     alpha: float | None = None,
     gamma: float | None = None,
+    season: int = SEASON,
 ) -> DataFrame:
-    """One row per series: alpha, gamma, level, season ring, sse.
+    """One row per series: alpha, gamma, level, season ring of ``season`` periods, sse.
 
     With both weights given they are used as they are. Otherwise they are searched with numpy for
     all series of an Arrow batch together; the fold that yields level and season is the same.
@@ -206,14 +210,14 @@ def fit_holt_winters(
         arrays = arrays.withColumns({"alpha": F.lit(float(alpha)), "gamma": F.lit(float(gamma))})
     else:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in arrays.schema)
-        arrays = arrays.mapInPandas(_search_weights, columns + ", alpha double, gamma double")
-    fit = _smoothed(F.col("values"), F.col("alpha"), F.col("gamma"))
+        arrays = arrays.mapInPandas(partial(_search_weights, length=season), columns + ", alpha double, gamma double")
+    fit = _smoothed(F.col("values"), F.col("alpha"), F.col("gamma"), season)
     return arrays.withColumn("_fit", fit).select(*keys, "_fit.*", "n", "last_ds")
 
 
-def predict_holt_winters(params: DataFrame, steps: int, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Level plus the season entry of the step's place in the yearly ring."""
-    slot = (F.col("n") + F.col("step") - 1) % SEASON
-    return future_periods(params, steps, keys).select(
+def predict_holt_winters(params: DataFrame, steps: int, keys: Sequence[str] = KEYS, period: str = "month") -> DataFrame:
+    """Level plus the season entry of the step's place in the ring."""
+    slot = (F.col("n") + F.col("step") - 1) % F.size("season")
+    return future_periods(params, steps, keys, period).select(
         *keys, "ds", "step", (F.col("level") + F.element_at("season", slot.cast("int") + 1)).alias("yhat")
     )

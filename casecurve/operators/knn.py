@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from casecurve.session import saved_table
 
-_FOUND = "neighbour_id long, distance double, neighbour_label int"
+def _found(train: DataFrame) -> str:
+    """Schema of what a search returns; labels keep their own type."""
+    return f"_query long, neighbour_id long, distance double, neighbour_label {train.schema['_label'].dataType.simpleString()}"
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -42,10 +44,16 @@ def _nearest(queries: pd.DataFrame, ids: np.ndarray, labels: np.ndarray, train:
         distance = _distances(_matrix(chunk["_vector"]), train)
         reach = min(k, train.shape[0])
         limit = np.partition(distance, reach - 1, axis=1)[:, reach - 1]
-        for query, row, bound in zip(chunk["_query"], distance, limit):
-            close = np.flatnonzero(row <= bound)
-            best = close[np.lexsort((ids[close], row[close]))[:reach]]
-            parts.append(pd.DataFrame({"_query": query, "neighbour_id": ids[best], "distance": row[best], "neighbour_label": labels[best]}))
+        # All rows as near as the k-th, then the first k of each query by distance and id.
+        query, close = np.nonzero(distance <= limit[:, None])
+        gap = distance[query, close]
+        order = np.lexsort((ids[close], gap, query))
+        query, close, gap = query[order], close[order], gap[order]
+        first = np.searchsorted(query, np.arange(len(chunk)))
+        near = np.arange(len(query)) - first[query] < reach
+        query, close = query[near], close[near]
+        asked = chunk["_query"].to_numpy()[query]
+        parts.append(pd.DataFrame({"_query": asked, "neighbour_id": ids[close], "distance": gap[near], "neighbour_label": labels[close]}))
     columns = ["_query", "neighbour_id", "distance", "neighbour_label"]
     return pd.concat(parts)[columns] if parts else pd.DataFrame(columns=columns)
 
@@ -61,7 +69,7 @@ def _against_all(queries: DataFrame, train: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             yield _nearest(batch, ids, labels, matrix, k)
 
-    return queries.mapInPandas(search, "_query long, " + _FOUND)
+    return queries.mapInPandas(search, _found(train))
 
 
 def _search_cells(routed: DataFrame, celled: DataFrame, sizes: dict[int, int], k: int, block_rows: int) -> DataFrame:
@@ -111,7 +119,7 @@ def _search_cells(routed: DataFrame, celled: DataFrame, sizes: dict[int, int], k
         return _nearest(asking, held["_id"].to_numpy(), held["_label"].to_numpy(), _matrix(held["_vector"]), k)
 
     work = ["_cell", "_block", "_salt"]
-    return left.groupBy(*work).cogroup(right.groupBy(*work)).applyInPandas(search, "_query long, " + _FOUND)
+    return left.groupBy(*work).cogroup(right.groupBy(*work)).applyInPandas(search, _found(celled))
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -202,7 +210,7 @@ def nearest_neighbours(
     """
     as_doubles = F.col(vector).cast("array<double>").alias("_vector")
     asking = queries.select(F.col(key).alias("_query"), as_doubles)
-    held = saved_table(train.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_label"), as_doubles), "train")
+    held = saved_table(train.select(F.col(key).alias("_id"), F.col(label).alias("_label"), as_doubles), "train")
     size = held.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_vector")).alias("width")).first()
     n = size["n"]
     if n == 0:

@@ -34,10 +34,10 @@ def class_scores(
 ) -> DataFrame:
     """Per class: support, predicted, hits, precision, recall, f1 (unrounded).
 
-    Rows are reduced to (label, prediction) counts first; both roles of a class come from one
-    further aggregation of those counts.
+    Rows without a label cannot be judged and are left out, as in every score here. Rows are reduced to
+    (label, prediction) counts first; both roles of a class come from one further aggregation of those counts.
     """
-    pairs = df.groupBy(*groups, F.col(label).alias("_l"), F.col(prediction).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = df.where(F.col(label).isNotNull()).groupBy(*groups, F.col(label).alias("_l"), F.col(prediction).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     hit = F.when(F.col("_l") == F.col("_p"), F.col("_n")).otherwise(0)
     roles = F.array(
         F.struct(F.col("_l").alias("class"), F.col("_n").alias("s"), F.lit(0).cast("long").alias("p"), hit.cast("long").alias("h")),
@@ -45,6 +45,7 @@ def class_scores(
     )
     sums = (
         pairs.select(*groups, F.explode(roles).alias("_r"))
+        .where("_r.class IS NOT NULL")
         .groupBy(*groups, F.col("_r.class").alias("class"))
         .agg(F.sum("_r.s").alias("support"), F.sum("_r.p").alias("predicted"), F.sum("_r.h").alias("hits"))
     )

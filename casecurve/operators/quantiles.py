@@ -2,12 +2,13 @@
 
 One pass brackets each wanted rank with approximate percentiles of guaranteed rank error; a second
 pass counts rows by value inside the brackets and in one lump in each gap between them. Only the
-brackets' distinct values are sorted, about 6/accuracy of a group per quantile, so one group may
-hold any share of the rows.
+brackets' distinct values are sorted, about 6/accuracy of a group per quantile. The accuracy grows with
+the square root of the rows, so a group that holds any share of n rows sorts some sqrt(n) values.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -15,14 +16,15 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casecurve.functions.numbers import lenient_double
 from casecurve.session import saved_table
 
 
 def long_values(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
-    """One row per present number: groups, ``column``, ``value``. Missing groups are left out."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    """One row per present number: groups, ``column``, ``value``. Unreadable text is missing; missing groups are left out."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), lenient_double(F.col(c)).alias("value")) for c in columns])
     rows = df.select(*groups, F.explode(cells).alias("_cell")).select(*groups, "_cell.column", "_cell.value")
-    present = F.col("value").isNotNull() & ~F.isnan("value")
+    present = F.col("value").isNotNull()
     for g in groups:
         present = present & F.col(g).isNotNull()
     return rows.where(present)
@@ -49,14 +51,20 @@ def _summaries(values: DataFrame, keys: list[str], probs: Sequence[float], accur
     return rows.withColumns({**lows, **highs}).drop("_points")
 
 
+def accuracy_for(df: DataFrame) -> int:
+    """The wanted rank accuracy for as many rows as ``df`` has."""
+    return min(max(10_000, math.isqrt(df.count())), 1_000_000)
+
+
 def summarise_values(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float] = (0.25, 0.5, 0.75),
     groups: Sequence[str] = (),
-    accuracy: int = 10_000,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """Per group and column: count, mean, std, min, max and ``quantiles`` (linear interpolation)."""
+    accuracy = accuracy or accuracy_for(df)
     keys = [*groups, "column"]
     values = long_values(df, columns, groups)
     summaries = saved_table(_summaries(values, keys, probs, accuracy), "quantiles")
@@ -97,7 +105,7 @@ def summarise_values(
     return summaries.drop(*names).join(picked, keys)
 
 
-def medians(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+def medians(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """``column``, ``median``: the exact median of every column."""
     summary = summarise_values(df, columns, (0.5,), accuracy=accuracy)
     return summary.select("column", F.element_at("quantiles", 1).alias("median"))

@@ -22,10 +22,12 @@ def running_totals(
     ``df`` is read more than once and should be cheap to read (a saved table). The cut points affect
     only the balance of the slices, never the totals; there are at most ``slices`` of them.
     """
-    points = df.approxQuantile(order, [i / slices for i in range(1, slices)], 0.005)
+    # Slices only need a monotone number; inside them rows are ordered by the value itself.
+    df = df.withColumn("_by", F.col(order).cast("double"))
+    points = df.approxQuantile("_by", [i / slices for i in range(1, slices)], 0.005)
     inner = sorted({p for p in points if math.isfinite(p)})
     bounds = [-math.inf, *(inner or [0.0]), math.inf]
-    sliced = Bucketizer(splits=bounds, inputCol=order, outputCol="_slice").transform(df)
+    sliced = Bucketizer(splits=bounds, inputCol="_by", outputCol="_slice").transform(df)
 
     def ordered(column: str):
         return F.col(column).desc() if descending else F.col(column).asc()
@@ -37,12 +39,11 @@ def running_totals(
     within = Window.partitionBy("_slice").orderBy(ordered(order))
     joined = sliced.join(F.broadcast(offsets), "_slice")
     return joined.withColumns({f"{c}_upto": F.col(f"_{c}") + F.sum(c).over(within) for c in sums}).drop(
-        "_slice", *[f"_{c}" for c in sums]
+        "_slice", "_by", *[f"_{c}" for c in sums]
     )
 
 
 def numbered(df: DataFrame, order: str) -> DataFrame:
     """Adds ``position`` 0, 1, 2... by a unique numeric column, without a single-task sort."""
-    with_one = df.withColumn("_one", F.lit(1).cast("long")).withColumn("_order", F.col(order).cast("double"))
-    counted = running_totals(with_one, "_order", ["_one"], descending=False)
-    return counted.withColumn("position", F.col("_one_upto") - 1).drop("_one", "_one_upto", "_order")
+    counted = running_totals(df.withColumn("_one", F.lit(1).cast("long")), order, ["_one"], descending=False)
+    return counted.withColumn("position", F.col("_one_upto") - 1).drop("_one", "_one_upto")

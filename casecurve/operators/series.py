@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from casecurve.functions.dates import next_period, period_start, step_interval
 from casecurve.functions.text import is_word
+from casecurve.session import saved_table
 
 KEYS = ("series_id",)
 
@@ -143,3 +144,15 @@ def rolling_folds(
         .withColumn("part", F.when(pos <= origin, "train").otherwise("test"))
         .drop("_pos", "_n")
     )
+
+
+def wide(rows: DataFrame, value: str, names: Sequence[str] | None = None, key: str = "series_id") -> DataFrame:
+    """One row per period with a column per series holding ``value``; null where a series has none.
+
+    Without ``names`` all series found get a column, in name order: a table for people, so the series
+    should be few.
+    """
+    if names is None:
+        rows = saved_table(rows.select("ds", key, value), "wide")
+        names = [r[0] for r in rows.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).collect()]
+    return rows.groupBy("ds").pivot(key, list(names)).agg(F.max(value))

@@ -7,12 +7,19 @@ per class and prefix, a second looks inside the single prefix that holds each cu
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casecurve.session import saved_table
 
-PREFIX = 3  # hex digits: 4096 slices per class
+PREFIX = 3  # least hex digits: 4096 slices per class
+
+
+def prefix_for(rows: int) -> int:
+    """Hex digits that make about as many slices as a slice of all rows has hashes."""
+    return max(PREFIX, math.ceil(math.log(max(1, math.isqrt(rows)), 16)))
 
 
 def row_hash(key: str, seed: int) -> Column:
@@ -26,7 +33,7 @@ def _cut_hashes(df: DataFrame, key: str, label: str | None, ranks: list[Column],
     """
     class_of = F.col(label) if label else F.lit("all")
     hashed = df.select(class_of.alias("label"), row_hash(key, seed).alias("hash"))
-    slice_of = F.substring("hash", 1, PREFIX)
+    slice_of = F.substring("hash", 1, prefix_for(df.count()))
     slices = hashed.groupBy("label", slice_of.alias("slice")).agg(F.count(F.lit(1)).alias("n"))
     in_class = Window.partitionBy("label")
     wanted = F.array(*[F.struct(F.lit(i).alias("cut"), r.cast("long").alias("rank")) for i, r in enumerate(ranks)])

@@ -10,7 +10,17 @@ from casecurve.operators import arima, bayes, classify, intake, joins, knn, metr
 from casecurve.operators.baseline import global_baseline
 from casecurve.operators.series import case_series
 from casecurve.plans import screening, surveillance
-from casecurve.plans.queries_series import ALERT_SOURCE, ASSESSED, EVALUATE, SEASONAL_FORECAST, orders_monthly, peak_alerts
+from casecurve.plans.queries_series import (
+    ALERT_SOURCE,
+    ASSESSED,
+    EVALUATE,
+    MIXED_FORECAST,
+    MIXED_NAME,
+    SEASONAL_FORECAST,
+    mixed_forecast,
+    orders_monthly,
+    peak_alerts,
+)
 from casecurve.plans.registry import GLOBAL, GRADE, ORDERS, query, seasonal_cte, series_ctes
 from casecurve.plans.retrain import retrain
 from casecurve.session import saved_table, scratch_path
@@ -27,8 +37,8 @@ from casecurve.sources.tables import (
     supplier_records,
     table,
 )
-from casecurve.streaming.alerts import current_windows, start_alerting, start_closed_windows
-from casecurve.streaming.screening import start_screening
+from casecurve.streaming.alerts import current_windows, start_alerting, start_closed_windows, window_alerts
+from casecurve.streaming.screening import start_screening, start_storing
 
 
 # -- two clinical sources -----------------------------------------------------------------------
@@ -333,6 +343,66 @@ def stored_forecasts(spark, folder):
     return stores.latest(stores.read_store(spark, path, stores.FORECASTS_SCHEMA), 10, "forecast_month", "disease")
 
 
+@query(f"""WITH {ORDERS}, {seasonal_cte()}, {MIXED_FORECAST}, {ASSESSED}
+SELECT series_id AS disease, ds AS forecast_month, predicted_cases, z_score, risk_level, {MIXED_NAME} AS model_name FROM assessed""")
+def stored_forecasts_mixed(spark, folder):
+    path = scratch_path(spark, "surveillance_forecasts")
+    stores.append(surveillance.forecast_records(mixed_forecast(spark, folder)), path, stores.FORECASTS_SCHEMA)
+    return stores.read_store(spark, path, stores.FORECASTS_SCHEMA).drop("baseline_mean", "baseline_std")
+
+
+# Confirmed later: every third case, as the opposite where the fever lasted over 30 days.
+SCREENED = """
+screened AS (SELECT event_id, patient_code, CAST(age AS INTEGER) AS age, gender, fever_duration_days, skin_manifestation,
+  CASE WHEN skin_manifestation AND fever_duration_days <= 20 THEN 'Dengue' ELSE 'Typhoid' END AS predicted_disease,
+  round_even(0.5::double + age / 256.0::double, 4) AS confidence_score, 'C-' || (event_id % 7) AS center_id,
+  CASE WHEN event_id % 3 = 0 THEN CASE WHEN fever_duration_days > 30 THEN 'Dengue' ELSE 'Typhoid' END END AS doctor_confirmed_disease
+FROM checked WHERE reason IS NULL)"""
+
+
+def _screened(spark, folder, intakes):
+    """Valid intakes judged by a rule, with the centre that saw them and the disease confirmed later."""
+    status = saved_table(_disease_status(spark, folder), "status")
+    rash = F.col("skin_manifestation") & (F.col("fever_duration_days") <= 20)
+    judged = intake.valid_intakes(intakes).withColumns(
+        {
+            "predicted_disease": F.when(rash, "Dengue").otherwise("Typhoid"),
+            "confidence": 0.5 + F.col("age") / 256.0,
+            "center_id": F.concat(F.lit("C-"), (F.col("event_id") % 7).cast("string")),
+            "doctor_confirmed_disease": F.when(
+                F.col("event_id") % 3 == 0, F.when(F.col("fever_duration_days") > 30, "Dengue").otherwise("Typhoid")
+            ),
+        }
+    )
+    return screening.with_context(judged, status)
+
+
+@query(f"""WITH {INTAKES}, {SCREENED} SELECT * EXCLUDE (event_id) FROM screened""")
+def stored_screenings(spark, folder):
+    """Screen, then store: each row with its own disease, confidence, centre and confirmed disease."""
+    path = scratch_path(spark, "patient_intakes")
+    screening.store_screened(_screened(spark, folder, event_intakes(spark, folder)), path)
+    return stores.read_store(spark, path, stores.INTAKES_SCHEMA).drop("created_at")
+
+
+@query(f"""WITH {INTAKES}, {SCREENED} SELECT * EXCLUDE (event_id) FROM screened""")
+def stream_stored_screenings(spark, folder):
+    """The same from a stream of intakes."""
+    out, checkpoint = scratch_path(spark, "patient_intakes"), scratch_path(spark, "progress")
+    screened = _screened(spark, folder, intakes_of(event_stream(spark, folder)))
+    start_storing(screened, out, checkpoint, available_now=True).awaitTermination()
+    return stores.read_store(spark, out, stores.INTAKES_SCHEMA).drop("created_at")
+
+
+@query(f"""WITH {INTAKES}, {SCREENED}
+SELECT predicted_disease, doctor_confirmed_disease, predicted_disease = doctor_confirmed_disease AS agrees, count(*) AS n
+FROM screened GROUP BY 1, 2""")
+def screening_agreement(spark, folder):
+    """Predicted beside confirmed disease of screened intakes; open while unconfirmed."""
+    rows = joins.agreement(_screened(spark, folder, event_intakes(spark, folder)))
+    return rows.groupBy("predicted_disease", "doctor_confirmed_disease", "agrees").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def csv_round_trip(spark, folder):
     path = scratch_path(spark, "suppliers")
@@ -382,6 +452,22 @@ def stream_alerts(spark, folder):
     return rows.select("series_id", F.col("window_start").cast("date").alias("day"), "y", "z_score", "risk_level", "is_anomaly")
 
 
+@query(f"""WITH {DAILY}, {WINDOWS},
+b AS (SELECT series_id, round_even(avg(y), 1) AS mean, round_even(stddev_samp(y), 1) AS std FROM series GROUP BY 1),
+g AS (SELECT w.series_id, CAST(w.day AS DATE) AS day, w.y, round_even((w.y - mean) / std, 2) AS z FROM windows w JOIN b USING (series_id))
+SELECT series_id AS disease, day, 'All regions' AS region, CASE WHEN z < 3 THEN 'Alert' ELSE 'Critical' END AS risk_level, z AS z_score,
+  printf('%s outbreak alert for %s: %d cases (Z=%.2f).', series_id, strftime(day, '%Y-%m-%d'), y, z) AS alert_message, false AS is_resolved
+FROM g WHERE z >= 2""")
+def stream_alert_rows(spark, folder):
+    """Alert records from the stream, one for each anomalous window."""
+    out, checkpoint = scratch_path(spark, "alerts"), scratch_path(spark, "progress")
+    daily = case_series(event_cases(spark, folder), period="day", status=None)
+    baseline = saved_table(global_baseline(daily), "baseline")
+    start_alerting(_event_stream_cases(spark, folder), baseline, out, checkpoint, available_now=True).awaitTermination()
+    rows = window_alerts(current_windows(spark, out), "All regions")
+    return rows.select("disease", F.col("window_start").cast("date").alias("day"), "region", "risk_level", "z_score", "alert_message", "is_resolved")
+
+
 @query()
 def stream_screening(spark, folder):
     out, checkpoint = scratch_path(spark, "screened"), scratch_path(spark, "progress")

@@ -200,6 +200,40 @@ def worst_alerts(spark, folder):
     return surveillance.worst_first(alerts, 3).select("series_id", "ds", "predicted_cases", "risk_level", "z_score")
 
 
+# The urgent series by its overall level, all others by month of year.
+MIXED_MODELS = {"1-URGENT": "flat"}
+MIXED_FORECAST = SEASONAL_FORECAST.replace("coalesce(m.mu, g.gmu)", "CASE WHEN f.series_id = '1-URGENT' THEN g.gmu ELSE coalesce(m.mu, g.gmu) END")
+MIXED_NAME = "CASE WHEN series_id = '1-URGENT' THEN 'flat' ELSE 'seasonal_mean' END"
+
+
+def mixed_forecast(spark, folder):
+    names = {p: MIXED_MODELS.get(p, "seasonal_mean") for p in PRIORITIES}
+    return surveillance.summarise(orders_monthly(spark, folder), months=6, model=names).forecast
+
+
+@query(f"WITH {ORDERS}, {seasonal_cte()}, {MIXED_FORECAST}, {ASSESSED} SELECT *, {MIXED_NAME} AS model FROM assessed")
+def surveillance_summary_mixed(spark, folder):
+    """A run in which one series has another model than the rest."""
+    return mixed_forecast(spark, folder)
+
+
+DAILY_FUTURE = """
+    future AS (
+      SELECT series_id, CAST(h AS INTEGER) AS step, CAST(last_ds + to_days(CAST(h AS INTEGER)) AS DATE) AS ds
+      FROM (SELECT series_id, max(ds) AS last_ds, unnest(range(1, 15)) AS h FROM series GROUP BY series_id))"""
+
+
+@query(f"""WITH {series_ctes('events', 'event_type', 'ts', period='day')}, {DAILY_FUTURE},
+idx AS (SELECT series_id, CAST(y AS DOUBLE) AS y, CAST(date_diff('day', DATE '1970-01-05', ds) AS DOUBLE) AS t FROM series),
+fit AS (SELECT series_id, regr_slope(y, t) AS b, regr_intercept(y, t) AS a FROM idx GROUP BY 1)
+SELECT f.series_id, f.ds, f.step, {whole("a + b * date_diff('day', DATE '1970-01-05', f.ds)")} AS predicted_cases
+FROM future f JOIN fit USING (series_id)""")
+def forecast_daily(spark, folder):
+    """A forecast of daily series: two weeks of days."""
+    daily = series.case_series(event_cases(spark, folder), period="day", status=None)
+    return evaluate.forecast_with(daily, "linear", 14, period="day").select("series_id", "ds", "step", "predicted_cases")
+
+
 @query(f"""WITH {ORDERS}, {seasonal_cte()}, {SEASONAL_FORECAST}, {ASSESSED}
 SELECT series_id AS disease, ds AS forecast_month, predicted_cases, round_even(z_score, 3) AS z_score, risk_level,
   round_even(baseline_mean, 2) AS baseline_mean, round_even(baseline_std, 2) AS baseline_std, 'seasonal_mean' AS model_name
@@ -231,7 +265,7 @@ def dashboard_tiles(spark, folder):
 SELECT ds, {', '.join(f"""max(predicted_cases) FILTER (series_id = '{p}') AS "{p}" """ for p in PRIORITIES)} FROM predicted GROUP BY ds""")
 def forecast_pivot(spark, folder):
     predicted = evaluate.forecast_with(orders_monthly(spark, folder), "seasonal_mean")
-    return predicted.groupBy("ds").pivot("series_id", PRIORITIES).agg(F.max("predicted_cases"))
+    return series.wide(predicted, "predicted_cases")
 
 
 _Z = "1.2815515655446004::double"

@@ -9,6 +9,7 @@ from casecurve.functions.text import percent_text, screening_message
 from casecurve.operators.classify import Classifier, scored
 from casecurve.operators.intake import screening_features
 from casecurve.session import saved_table
+from casecurve.sources import stores
 
 
 def predicted_intakes(intakes: DataFrame, classifier: Classifier) -> DataFrame:
@@ -46,3 +47,8 @@ def with_context(predicted: DataFrame, status: DataFrame) -> DataFrame:
 def screen(intakes: DataFrame, classifier: Classifier, status: DataFrame) -> DataFrame:
     """Screens a table of intakes; the intakes are not shuffled while ``status`` is small."""
     return with_context(predicted_intakes(intakes, classifier), saved_table(status, "status"))
+
+
+def store_screened(screened: DataFrame, path: str) -> None:
+    """Appends screened intakes, each with its disease, confidence and, where given, centre and confirmed disease."""
+    stores.append(stores.intake_records(screened), path, stores.INTAKES_SCHEMA)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -19,6 +19,8 @@ from casecurve.sources import stores
 
 # Longest horizon of the summary and of a single forecast.
 MAX_SUMMARY_STEPS, MAX_FORECAST_STEPS = 12, 24
+# Fixed value: the z-score of a drill alert.
+DRILL_Z = 2.35
 # The model names stored with forecast records.
 MODEL_NAMES = {"holt_winters": "Holt-Winters", "sarima": "SARIMA"}
 
@@ -39,17 +41,39 @@ def check_horizon(months: int, limit: int = MAX_FORECAST_STEPS) -> int:
     return months
 
 
+def forecast_by_model(
+    series: DataFrame, models: Mapping[str, str], months: int, default: str = "holt_winters", key: str = "series_id"
+) -> DataFrame:
+    """Forecasts with a model for each series: ``models`` names it by series, ``default`` is for all others.
+
+    Every series is fitted once, by its own model; ``model`` keeps its name. ``series`` should be a saved table.
+    """
+    spark = series.sparkSession
+    chosen = saved_table(spark.createDataFrame(list(models.items()), f"{key} string, model string"), "models")
+    named = series.join(chosen, key, "left").withColumn("model", F.coalesce("model", F.lit(default)))
+    out = None
+    for model in sorted({*models.values(), default}):
+        part = forecast_with(named.where(F.col("model") == model).drop("model"), model, months, [key])
+        part = part.select(key, "ds", "step", "predicted_cases", F.lit(model).alias("model"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def graded_forecast(
-    series: DataFrame, model: str = "holt_winters", months: int = 6, keys: Sequence[str] = KEYS
+    series: DataFrame, model: str | Mapping[str, str] = "holt_winters", months: int = 6, keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """Forecast of every series, graded against month-of-year levels.
 
-    The model and both baselines read the series, so it is saved first: the line list behind it is
+    ``model`` is one for all series or a model by series, whose names the result then keeps in ``model``.
+    The models and both baselines read the series, so it is saved first: the line list behind it is
     scanned once.
     """
     check_horizon(months)
     series = saved_table(series, "series")
-    predicted = forecast_with(series, model, months, keys).select(*keys, "ds", "step", "predicted_cases")
+    if isinstance(model, str):
+        predicted = forecast_with(series, model, months, keys).select(*keys, "ds", "step", "predicted_cases")
+    else:
+        predicted = forecast_by_model(series, model, months)
     return assess_forecast(predicted, global_baseline(series, keys), seasonal_baseline(series, keys), keys)
 
 
@@ -70,8 +94,10 @@ def alert_rows(graded: DataFrame, region: str, style: str = "summary") -> DataFr
     )
 
 
-def forecast_records(graded: DataFrame, model: str) -> DataFrame:
-    """Forecast rows in the stored shape."""
+def forecast_records(graded: DataFrame, model: str | None = None) -> DataFrame:
+    """Forecast rows in the stored shape, under the name of the one model or of each row's own."""
+    own = F.col("model") if "model" in graded.columns else F.lit(model)
+    names = F.create_map(*[F.lit(x) for pair in MODEL_NAMES.items() for x in pair])
     return graded.select(
         F.col("series_id").alias("disease"),
         F.col("ds").alias("forecast_month"),
@@ -80,12 +106,12 @@ def forecast_records(graded: DataFrame, model: str) -> DataFrame:
         "risk_level",
         F.bround("baseline_mean", 2).alias("baseline_mean"),
         F.bround("baseline_std", 2).alias("baseline_std"),
-        F.lit(MODEL_NAMES.get(model, model)).alias("model_name"),
+        F.coalesce(names[own], own).alias("model_name"),
     )
 
 
 def summarise(
-    series: DataFrame, months: int = 6, model: str = "holt_winters", region: str = "Surveillance Region"
+    series: DataFrame, months: int = 6, model: str | Mapping[str, str] = "holt_winters", region: str = "Surveillance Region"
 ) -> SurveillanceSummary:
     """Baselines, graded forecasts and alerts of every series; the forecast is computed here, once."""
     check_horizon(months, MAX_SUMMARY_STEPS)
@@ -94,7 +120,7 @@ def summarise(
     return SurveillanceSummary(global_baseline(series), seasonal_baseline(series), graded, alert_rows(graded, region))
 
 
-def store_summary(summary: SurveillanceSummary, model: str, forecasts_path: str, alerts_path: str) -> None:
+def store_summary(summary: SurveillanceSummary, model: str | None, forecasts_path: str, alerts_path: str) -> None:
     """Appends all forecasts and alerts of a run, one write each."""
     stores.append(forecast_records(summary.forecast, model), forecasts_path, stores.FORECASTS_SCHEMA)
     stores.append(summary.alerts, alerts_path, stores.ALERTS_SCHEMA)
@@ -115,7 +141,9 @@ def current_status(series: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return evaluate_counts(latest)
 
 
-def alerts_or_drill(alerts: DataFrame, disease: str = "Drill", region: str = "All regions") -> DataFrame:
+def alerts_or_drill(
+    alerts: DataFrame, disease: str = "Drill", region: str = "All regions", z: float = DRILL_Z
+) -> DataFrame:
     """The alerts, or one drill alert for readiness checks when there is none."""
     alerts = saved_table(alerts, "alerts")
     drill = (
@@ -126,7 +154,7 @@ def alerts_or_drill(alerts: DataFrame, disease: str = "Drill", region: str = "Al
             F.lit(disease).alias("disease"),
             F.lit(region).alias("region"),
             F.lit(ALERT).alias("risk_level"),
-            F.lit(2.35).alias("z_score"),
+            F.lit(z).alias("z_score"),
             F.lit("Readiness drill: no natural alert in the forecast window.").alias("alert_message"),
             F.lit(False).alias("is_resolved"),
         )

@@ -30,10 +30,12 @@ def build_session(app: str = "casecurve", master: str | None = None, **conf: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder from ``spark.checkpoint.dir``; a scratch one only if unset."""
+    """The cluster's shared folder from ``spark.checkpoint.dir``; in local mode a scratch one if it is unset."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="casecurve-")
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -44,15 +46,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/casecurve-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def _removed_at_end(spark: SparkSession, folder: str) -> None:
+    """The application's folder of saved tables goes when its driver's file systems are closed."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+
+
 def saved_table(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts lineage durably, fixes values later stages must agree on, and gives the optimizer the
     real byte size: a following join broadcasts the table only if it is under
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles (with skew splitting) beyond it.
-    All tables of an application share one folder, which can be removed when it has ended.
+    All tables of an application share one folder, which is removed when it ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    _removed_at_end(spark, path.rsplit("/", 1)[0])
     return spark.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,17 @@ from pyspark.sql import functions as F
 from casecurve.operators.classify import Classifier
 
 
+class NoModel(Exception):
+    """A place that holds no whole model."""
+
+
+def _missing(err: Exception) -> bool:
+    """Nothing there, or not a model. Anything else, such as a storage error, says nothing of what is there."""
+    if isinstance(err, AnalysisException):
+        return err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+    return isinstance(err, (NoModel, json.JSONDecodeError))
+
+
 def save_classifier(spark: SparkSession, classifier: Classifier, *paths: str) -> None:
     """Pipeline plus a one-row description, under every path."""
     about = {
@@ -26,7 +38,10 @@ def save_classifier(spark: SparkSession, classifier: Classifier, *paths: str) ->
 
 
 def load_classifier(spark: SparkSession, path: str) -> Classifier:
-    about = json.loads(spark.read.schema("about string").parquet(f"{path}/about").first()["about"])
+    row = spark.read.schema("about string").parquet(f"{path}/about").first()
+    if row is None:
+        raise NoModel(f"{path}/about is empty")
+    about = json.loads(row["about"])
     return Classifier(model=PipelineModel.load(f"{path}/pipeline"), **about)
 
 
@@ -35,7 +50,9 @@ def load_or_train(spark: SparkSession, paths: Sequence[str], train: Callable[[],
     for path in paths:
         try:
             return load_classifier(spark, path)
-        except Exception as err:  # missing or broken: try the next place
+        except (AnalysisException, NoModel, json.JSONDecodeError) as err:
+            if not _missing(err):
+                raise
             print(f"no model at {path}: {type(err).__name__}")
     fitted = train()
     save_classifier(spark, fitted, paths[0])
@@ -52,7 +69,9 @@ def load_params(spark: SparkSession, paths: Sequence[str], fit: Callable[[], Dat
     for path in paths:
         try:
             return spark.read.parquet(path)
-        except Exception as err:
+        except AnalysisException as err:
+            if not _missing(err):
+                raise
             print(f"no parameters at {path}: {type(err).__name__}")
     save_params(fit(), paths[0])
     return spark.read.parquet(paths[0])

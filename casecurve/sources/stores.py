@@ -28,7 +28,7 @@ CENTERS_SCHEMA = "id string, name string, city string, district string, latitude
 
 def shaped(df: DataFrame, schema: str) -> DataFrame:
     """The columns of ``schema`` in order and type; absent optional ones are null, the time is now."""
-    fields = T._parse_datatype_string(schema).fields
+    fields = T.StructType.fromDDL(schema).fields
     columns = []
     for f in fields:
         if f.name in df.columns:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from casecurve.functions.risk import is_anomalous, risk_grade, z_score
+from casecurve.functions.text import alert_message
 from casecurve.operators.series import KEYS
 
 
@@ -69,3 +70,22 @@ def start_closed_windows(
         .writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint)
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def window_alerts(windows: DataFrame, region: str, series: str = "series_id", style: str = "summary") -> DataFrame:
+    """Alert records of the anomalous windows, one per series and window: writing them again changes nothing
+    for a store that is keyed by ``disease`` and ``window_start``."""
+    return windows.where("is_anomaly").select(
+        F.col(series).alias("disease"),
+        "window_start",
+        F.lit(region).alias("region"),
+        "risk_level",
+        F.bround("z_score", 3).alias("z_score"),
+        alert_message(F.col(series), F.col("window_start"), F.col("y"), F.col("z_score"), style).alias("alert_message"),
+        F.lit(False).alias("is_resolved"),
+    )
+
+
+def compact_windows(spark: SparkSession, out: str, target: str, keys: Sequence[str] = KEYS) -> None:
+    """Writes the newest state of every window as one table, so that readers need not visit every batch."""
+    current_windows(spark, out, keys).write.mode("overwrite").parquet(target)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from casecurve.operators.classify import Classifier
 from casecurve.operators.intake import valid_intakes
 from casecurve.plans.screening import predicted_intakes, with_context
+from casecurve.sources import stores
 
 STORED = [
     "patient_code", "age", "gender", "fever_duration_days", "skin_manifestation", "predicted_disease", "confidence",
@@ -37,3 +38,10 @@ def start_screening(
         .writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint)
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def start_storing(screened: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Appends screened intakes to the stored intake table, in its own columns."""
+    records = stores.shaped(stores.intake_records(screened), stores.INTAKES_SCHEMA)
+    writer = records.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

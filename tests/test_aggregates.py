@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -216,3 +218,58 @@ def test_joins(spark):
         joins.natural_join(a.select("v"), b.select("id"))
     rows = joins.assign_round_robin(spark.range(7), spark.createDataFrame([(10,), (20,), (30,)], "c long"), "id", "c", "center_id")
     assert [r.center_id for r in rows.orderBy("id").collect()] == [10, 20, 30, 10, 20, 30, 10]
+
+
+def test_round_robin_on_keys_beyond_doubles(spark):
+    from casecurve.operators.joins import assign_round_robin
+
+    keys = [(1 << 60) + i for i in range(500)]
+    targets = spark.createDataFrame([(k,) for k in reversed(keys)], "target long")
+    rows = spark.createDataFrame([(i,) for i in range(1000)], "position long")
+    got = {r.position: r.given for r in assign_round_robin(rows, targets, "position", "target", "given").collect()}
+    assert got == {i: keys[i % 500] for i in range(1000)}
+
+
+def test_neighbours_vote_for_text_labels(spark):
+    from casecurve.operators import knn
+
+    rows = [(i, [float(i % 10), float(i // 10)], "near" if i < 50 else "far") for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    for values in (4_000_000, 1):
+        got = {r.query_id: r.prediction for r in knn.knn_classify(df, df, 5, small_values=values, block_rows=16).collect()}
+        for i, vector, _ in rows:
+            gaps = sorted((math.dist(vector, v), j, label) for j, v, label in rows)[:5]
+            votes = [label for *_, label in gaps]
+            assert got[i] == min(set(votes), key=lambda x: (-votes.count(x), x))
+
+
+def test_bayes_with_many_classes_and_folds(spark):
+    from casecurve.operators import bayes
+
+    rng = np.random.RandomState(4)
+    rows = [(i, i % 150, float(i % 150) + rng.normal() * 0.01, rng.normal(), i // 150 % 10) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, label int, a double, b double, fold int")
+    features = [F.col("a"), F.col("b")]
+    got = {r.id: r.prediction for r in bayes.cross_validated_nb(df, features, "label").collect()}
+    # The same, fold by fold, with the other folds' rows.
+    for fold in (0, 7):
+        params = bayes.fit_gaussian_nb(df.where(F.col("fold") != fold), features)
+        for r in bayes.score_gaussian_nb(df.where(F.col("fold") == fold), params, features).collect():
+            assert got[r.id] == r.prediction
+    assert np.mean([got[i] == label for i, label, *_ in rows]) > 0.95
+
+
+def test_training_reads_text_numbers_as_missing(spark):
+    from casecurve.operators import classify
+
+    rows = [("unknown" if i % 10 == 0 else str(i % 40), "m" if i % 2 else "f", "yes" if i % 40 > 20 else "no") for i in range(400)]
+    df = spark.createDataFrame(rows, "age string, gender string, label string")
+    fitted = classify.train_classifier(df, "label", ["age"], ["gender"], "logistic", "yes")
+    judged = classify.scored(df, fitted).where("age <> 'unknown'")
+    assert judged.where("label = prediction").count() > 0.9 * judged.count()
+
+
+def test_prefix_grows_with_the_rows():
+    from casecurve.operators.splits import prefix_for
+
+    assert [prefix_for(n) for n in (0, 10**6, 10**9, 10**11)] == [3, 3, 4, 5]
