@@ -22,7 +22,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +50,7 @@ PARALLEL_FITS = 8
 class Classifier:
     """A fitted pipeline with what is needed to turn its scores into decisions."""
 
-    model: PipelineModel
+    model: PipelineModel | FixedLogistic
     classes: list[str]
     numeric: list[str]
     categorical: list[str]
@@ -64,6 +64,21 @@ class Classifier:
         return not self.kind.startswith("svm")
 
 
+@dataclass
+class FixedLogistic:
+    """A two-class logistic model with given coefficients, for the first class; scores like a fitted pipeline."""
+
+    weights: dict[str, float]
+    intercept: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        z = F.lit(self.intercept)
+        for column, weight in self.weights.items():
+            z = z + F.lit(weight) * F.col(column)
+        p = 1.0 / (1.0 + F.exp(-z))
+        return df.withColumn("probability", array_to_vector(F.array(p, 1.0 - p))).withColumn("_prediction", F.when(p >= 0.5, 0.0).otherwise(1.0))
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -170,15 +185,18 @@ def train_classifier(
     fourier_features: int = FOURIER_FEATURES,
     max_categories: int = MAX_CATEGORIES,
     min_instances: int = 1,
+    saved: bool = False,
 ) -> Classifier:
     """Fits one classifier with class-balanced weights.
 
     ``fourier_features`` sets how closely the RBF kernel of the SVM is met. ``max_categories`` bounds the
     values of a category or label, each of which becomes a feature or class; more raise an error.
     ``min_instances`` is the least number of rows on each side of a split of a tree; Spark has no control
-    over the rows needed to try a split at all, of which this is the nearest relation.
+    over the rows needed to try a split at all, of which this is the nearest relation. The rows are read
+    several times and written once for it, unless they are ``saved`` (or parts of a saved table) already.
     """
-    rows = saved_table(train.select(*numeric, *categorical, label).where(F.col(label).isNotNull()), "training")
+    rows = train.select(*numeric, *categorical, label).where(F.col(label).isNotNull())
+    rows = rows if saved else saved_table(rows, "training")
     values = _value_counts(rows, [label, *categorical], max_categories)
     counts = values[label]
     classes, n = list(counts), sum(counts.values())
@@ -251,7 +269,7 @@ def out_of_fold(
     folded = saved_table(assign_folds(kept, key, label if stratified else None, k, seed), "folds")
 
     def one(i: int) -> DataFrame:
-        fitted = train_classifier(folded.where(F.col("fold") != i), label, numeric, categorical, kind, positive, seed)
+        fitted = train_classifier(folded.where(F.col("fold") != i), label, numeric, categorical, kind, positive, seed, saved=True)
         held_out = scored(folded.where(F.col("fold") == i), fitted)
         return held_out.select(key, label, "fold", "score", "prediction")
 
@@ -279,7 +297,7 @@ def train_with_threshold(
     train, test = split.where("part = 'train'").drop("part"), split.where("part = 'test'").drop("part")
     held_out = out_of_fold(train, key, label, numeric, categorical, kind, folds, positive, seed)
     best = best_threshold(held_out, "score", F.col(label) == positive).first()
-    fitted = train_classifier(train, label, numeric, categorical, kind, positive, seed)
+    fitted = train_classifier(train, label, numeric, categorical, kind, positive, seed, saved=True)
     if best and best["threshold"] is not None:
         fitted.threshold = float(best["threshold"])
     judged = saved_table(scored(test, fitted).select(label, "score", "prediction"), "judged")
@@ -299,7 +317,7 @@ def compare_models(
     train, test = split.where("part = 'train'"), split.where("part = 'test'")
 
     def one(kind: str) -> DataFrame:
-        fitted = train_classifier(train, label, numeric, categorical, kind, None, seed)
+        fitted = train_classifier(train, label, numeric, categorical, kind, None, seed, saved=True)
         return scored(test, fitted).select(F.lit(kind).alias("model"), label, "prediction")
 
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:

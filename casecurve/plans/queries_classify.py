@@ -38,7 +38,7 @@ from casecurve.sources.tables import (
     table,
 )
 from casecurve.streaming.alerts import current_windows, start_alerting, start_closed_windows, window_alerts
-from casecurve.streaming.screening import start_screening, start_storing
+from casecurve.streaming.screening import STORED, start_screening, start_storing
 
 
 # -- two clinical sources -----------------------------------------------------------------------
@@ -319,6 +319,63 @@ def confirmed_agreement(spark, folder):
     return joins.agreement(out).groupBy("doctor_confirmed_disease", "agrees").agg(F.count(F.lit(1)).alias("n"))
 
 
+# -- a model of given coefficients, which SQL can follow --------------------------------------------
+
+FIXED_MODEL = classify.Classifier(
+    classify.FixedLogistic({"age": 0.015, "fever_duration": -0.03, "skin_manifestation": 1.25}, -0.5),
+    ["Dengue", "Typhoid"], NUMERIC, [], "logistic", "Dengue",
+)
+FIXED = f"""{INTAKES},
+fixed_p AS (
+  SELECT event_id, patient_code, CAST(age AS DOUBLE) AS age, gender, fever_duration_days,
+    CASE WHEN skin_manifestation THEN 1.0::double ELSE 0.0::double END AS skin_manifestation,
+    1.0::double / (1.0::double + exp(-(-0.5::double + 0.015::double * age + -0.03::double * fever_duration_days
+      + 1.25::double * CASE WHEN skin_manifestation THEN 1.0::double ELSE 0.0::double END))) AS p
+  FROM checked WHERE reason IS NULL),
+fixed AS (
+  SELECT *, CASE WHEN p >= 0.5 THEN 'Dengue' ELSE 'Typhoid' END AS predicted_disease, round_even(p, 4) AS prob_Dengue,
+    round_even(1.0::double - p, 4) AS prob_Typhoid, CASE WHEN p >= 0.5 THEN round_even(p, 4) ELSE round_even(1.0::double - p, 4) END AS confidence
+  FROM fixed_p)"""
+# Half to even on the decimal digits of the double, as the sentence rounds; DuckDB's own rounding is binary.
+_TENTHS = "CAST(CAST(confidence * 100.0::double AS VARCHAR) AS DECIMAL(30, 15)) * 10"
+PERCENT = f"""(floor({_TENTHS}) + CASE WHEN {_TENTHS} - floor({_TENTHS}) > 0.5 OR
+    {_TENTHS} - floor({_TENTHS}) = 0.5 AND CAST(floor({_TENTHS}) AS BIGINT) % 2 = 1 THEN 1 ELSE 0 END)::double / 10.0::double"""
+FIXED_CONTEXT = "WITH " + series_ctes(
+    "lineitem", "CASE l_returnflag WHEN 'R' THEN 'Dengue' ELSE 'Typhoid' END", "l_shipdate",
+    "lower(l_linestatus) = 'f' AND l_returnflag IN ('R', 'A')",
+) + f""", {GLOBAL}, {EVALUATE}, {FIXED},
+context AS (SELECT *, round_even(z, 2) AS z_score, {GRADE.format(z='z')} AS risk_level FROM status)
+SELECT patient_code, CAST(age AS DOUBLE) AS age, fever_duration_days, skin_manifestation, predicted_disease, confidence,
+  cases AS latest_observed_cases, z_score AS current_z_score, risk_level AS current_outbreak_risk, coalesce(z >= 2, false) AS is_outbreak_active,
+  printf('Diagnosed %s with %.1f%% confidence. Community %s surveillance status is currently ''%s'' (Z=%s).',
+    predicted_disease, {PERCENT}, predicted_disease, risk_level, CAST(z_score AS VARCHAR)) AS details
+FROM fixed JOIN context ON series_id = predicted_disease"""
+
+
+@query(f"WITH {FIXED} SELECT event_id, predicted_disease, prob_Dengue, prob_Typhoid FROM fixed")
+def fixed_batch_score(spark, folder):
+    """Batch scoring through the same steps as a fitted model."""
+    valid = intake.screening_features(intake.valid_intakes(event_intakes(spark, folder)))
+    out = classify.with_probability_columns(classify.scored(valid, FIXED_MODEL), FIXED_MODEL)
+    return out.select("event_id", "predicted_disease", "prob_Dengue", "prob_Typhoid")
+
+
+@query(FIXED_CONTEXT)
+def fixed_screening(spark, folder):
+    """Screened intakes with the risk of their disease and the sentence that tells it."""
+    out = screening.screen(intake.valid_intakes(event_intakes(spark, folder)), FIXED_MODEL, _disease_status(spark, folder))
+    return out.select(*[c for c in STORED if c != "gender"])
+
+
+@query(FIXED_CONTEXT)
+def stream_fixed_screening(spark, folder):
+    """The same from a stream."""
+    out, checkpoint = scratch_path(spark, "screened"), scratch_path(spark, "progress")
+    status = saved_table(_disease_status(spark, folder), "status")
+    start_screening(intakes_of(event_stream(spark, folder)), FIXED_MODEL, status, out, checkpoint, available_now=True).awaitTermination()
+    return spark.read.parquet(out).drop("gender")
+
+
 # -- storage --------------------------------------------------------------------------------------
 
 

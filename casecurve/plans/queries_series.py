@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from casecurve.operators import arima, baseline, evaluate, forecast, risk, series
 from casecurve.plans import surveillance
 from casecurve.plans.registry import GLOBAL, GRADE, LINEITEM, ORDERS, query, scan_cte, seasonal_cte, series_ctes
-from casecurve.session import saved_table
-from casecurve.sources.tables import event_cases, lineitem_cases, order_cases
+from casecurve.session import saved_table, scratch_path
+from casecurve.sources import readers, stores
+from casecurve.sources.tables import event_cases, lineitem_cases, order_cases, table
 
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -330,11 +331,13 @@ fold AS (
     list_append(e, CASE WHEN t < n THEN v[t + 1] - p ELSE 0.0::double END), sse + CASE WHEN t < n THEN (v[t + 1] - p) ** 2 ELSE 0 END
   FROM (SELECT *, 0.5::double * v[t] + 0.3::double * v[t - 11] - 0.15::double * v[t - 12] + 0.2::double * e[t] AS p FROM fold WHERE t < n + 6)),
 fit AS (SELECT * FROM fold WHERE t = n + 6)
-SELECT f.series_id, f.ds, f.step, round_even(v[n + f.step], 4) AS yhat, round_even(sse, 3) AS sse FROM future f JOIN fit USING (series_id)""")
+SELECT f.series_id, f.ds, f.step, round_even(v[n + f.step], 4) AS yhat, round_even(sse, 3) AS sse,
+  round_even((n - 13) * ln(greatest(sse, 1e-12::double) / (n - 13)) + 8, 3) AS aic FROM future f JOIN fit USING (series_id)""")
 def sarima_fixed(spark, folder):
     params = saved_table(arima.fit_sarima(orders_monthly(spark, folder), params=(0.5, 0.3, 0.2, 0.0)), "params")
     predicted = arima.predict_sarima(params, 6)
-    return _rounded(predicted.join(params.select("series_id", F.bround("sse", 3).alias("sse")), "series_id"))
+    fit = params.select("series_id", F.bround("sse", 3).alias("sse"), F.bround("aic", 3).alias("aic"))
+    return _rounded(predicted.join(fit, "series_id"))
 
 
 @query(f"""WITH RECURSIVE {ORDERS}, {FUTURE},
@@ -458,3 +461,37 @@ def holdout_metrics_sarima(spark, folder):
 @query()
 def backtest_metrics_sarima(spark, folder):
     return evaluate.rolling_metrics(orders_monthly(spark, folder), "sarima_backtest")
+
+
+# -- files ------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {series_ctes('orders', chr(39) + 'all' + chr(39), 'o_orderdate', 'lower(o_orderstatus) = ' + chr(39) + 'f' + chr(39))} SELECT * FROM series")
+def line_list_from_csv(spark, folder):
+    """A line list written as CSV under other names, read back as text and counted."""
+    path = scratch_path(spark, "line_list")
+    orders = table(spark, folder, "orders")
+    dates = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderdate").cast("string")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    named = orders.select(dates.alias("Screening_Date"), F.col("o_orderstatus").alias("Case_Status"), F.col("o_totalprice").alias("seen.by"))
+    undated = named.limit(5).withColumn("Screening_Date", F.lit("not known"))
+    stores.write_csv(named.unionByName(undated), path)
+    return series.case_series(readers.read_line_list(spark, path, "all", strict=False), word="f")
+
+
+@query(f"WITH {ORDERS} SELECT 'one' AS series_id, ds, CAST(sum(y) AS DOUBLE) AS y FROM series GROUP BY ds")
+def series_from_csv(spark, folder):
+    """A monthly series kept as a CSV file with rows that lack a date or a count."""
+    path = scratch_path(spark, "series")
+    sums = orders_monthly(spark, folder).groupBy("ds").agg(F.sum("y").alias("y"))
+    rows = sums.select(F.col("ds").cast("string").alias("ds"), F.col("y").cast("string").alias("y"), F.lit("x").alias("note"))
+    broken = rows.limit(4).select(F.when(F.col("y") > "2", F.col("ds")).alias("ds"), F.when(F.col("y") <= "2", "many").alias("y"), "note")
+    stores.write_csv(rows.unionByName(broken), path)
+    return readers.read_series(spark, path, "one")
+
+
+@query("SELECT o_orderkey AS record_id, o_orderstatus AS status FROM orders")
+def renamed_columns(spark, folder):
+    """Columns whose names have dots, selected under new names; all others dropped."""
+    rows = table(spark, folder, "orders").select(F.col("o_orderkey").alias("record.id"), F.col("o_orderstatus").alias("case status"), "o_totalprice")
+    kept = readers.dropped(rows, ["o_totalprice"])
+    return readers.renamed(kept, {"record.id": "record_id", "case status": "status"})
