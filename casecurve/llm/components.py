@@ -9,11 +9,14 @@ from casecurve.llm.common import saved_table
 
 
 def _lowered(edges: DataFrame) -> DataFrame:
-    """One large and one small star step: every node's larger neighbours, then the node, move to its least neighbour."""
+    """One large and one small star step: every node's larger neighbours, then the node, move to its least neighbour.
+
+    The least neighbours are saved, so that the joins can split the edges of a node that has very many.
+    """
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-    floor = large.groupBy("a").agg(F.min("b").alias("m"))
+    least = saved_table(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+    large = saved_table(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+    floor = saved_table(large.groupBy("a").agg(F.min("b").alias("m")), "least")
     small = large.join(floor, "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return small.union(floor.select("a", F.col("m").alias("b"))).distinct()
 
