@@ -132,34 +132,45 @@ def predict_sarima(params: DataFrame, steps: int, keys: Sequence[str] = KEYS, pe
 
 
 def fit_predict_fourier(
-    series: DataFrame, steps: int, keys: Sequence[str] = KEYS, harmonics: int = 3, z: float = INTERVAL_Z
+    series: DataFrame,
+    steps: int,
+    keys: Sequence[str] = KEYS,
+    harmonics: int = 3,
+    z: float = INTERVAL_Z,
+    changepoints: int = 0,
+    penalty: float = 1.0,
 ) -> DataFrame:
     """Line plus yearly sine/cosine terms by least squares, with a symmetric interval.
 
-    Stands for an additive trend-and-season model without changepoints. Months of the year have the
-    angle 2*pi*month/12; a short series gets the minimum-norm solution.
+    With ``changepoints`` the slope may change at that many places, evenly spread over the first four
+    fifths of a series; the sum of their squared changes per century, times ``penalty``, is added to
+    the squared errors. Months of the year have the angle 2*pi*month/12; a short series gets the
+    minimum-norm solution. Series of one length and end share a design and are solved together.
     """
 
-    def design(index: np.ndarray) -> np.ndarray:
+    def design(index: np.ndarray, knots: np.ndarray) -> np.ndarray:
         angle = 2 * np.pi * index / SEASON
         waves = [f(k * angle) for k in range(1, harmonics + 1) for f in (np.sin, np.cos)]
-        return np.column_stack([np.ones(len(index)), index / 100.0, *waves])
+        bends = [np.maximum(index - knot, 0.0) / 100.0 for knot in knots]
+        return np.column_stack([np.ones(len(index)), index / 100.0, *waves, *bends])
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for values, last in zip(batch["values"], batch["_last"]):
-                y = np.asarray(values, dtype=float)
+            batch = batch.reset_index(drop=True)
+            paths, spreads = [None] * len(batch), np.zeros(len(batch))
+            for (n, last), part in batch.groupby([batch["values"].map(len), batch["_last"]]):
+                y = np.stack(part["values"].to_numpy()).astype(float).T
                 # Counted back from the last period, so that season angles follow the calendar.
-                index = np.arange(last - len(y) + 1, last + 1) - 24000.0
-                x = design(index)
-                beta = np.linalg.lstsq(x, y, rcond=None)[0]
-                spread = float(np.sqrt(np.mean((y - x @ beta) ** 2)))
-                future = np.arange(last + 1, last + steps + 1) - 24000.0
-                rows.append(((design(future) @ beta).tolist(), spread))
-            yield pd.concat(
-                [batch[[*keys, "last_ds"]].reset_index(drop=True), pd.DataFrame(rows, columns=["path", "sigma"])], axis=1
-            )
+                index = np.arange(last - n + 1, last + 1) - 24000.0
+                knots = index[0] + 0.8 * n * np.arange(1, changepoints + 1) / (changepoints + 1)
+                x = design(index, knots)
+                shrunk = np.sqrt(penalty) * np.eye(x.shape[1])[x.shape[1] - changepoints :]
+                beta = np.linalg.lstsq(np.vstack([x, shrunk]), np.vstack([y, np.zeros((changepoints, y.shape[1]))]), rcond=None)[0]
+                future = design(np.arange(last + 1, last + steps + 1) - 24000.0, knots) @ beta
+                spreads[part.index] = np.sqrt(np.mean((y - x @ beta) ** 2, axis=0))
+                for row, path in zip(part.index, future.T):
+                    paths[row] = path.tolist()
+            yield batch[[*keys, "last_ds"]].assign(path=paths, sigma=spreads)
 
     arrays = spread_out(as_arrays(series, keys), keys).withColumn("_last", F.year("last_ds") * 12 + F.month("last_ds"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in arrays.select(*keys, "last_ds").schema)

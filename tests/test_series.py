@@ -202,3 +202,20 @@ def test_horizon_limits(spark):
         check_horizon(25)
     with pytest.raises(ValueError):
         summarise(monthly(spark, [1, 2]), months=13)
+
+
+def test_changepoints_follow_a_break(spark):
+    from casecurve.operators.arima import fit_predict_fourier
+
+    # Flat for 40 months, then two more cases each month, with a yearly wave.
+    values = [100 + max(0, t - 40) * 2 + 10 * np.sin(2 * np.pi * (t + 1) / 12) for t in range(96)]
+    rows = [("a", dt.date(2016 + t // 12, t % 12 + 1, 1), float(v)) for t, v in enumerate(values)]
+    rows += [("b", ds, v) for _, ds, v in rows] + [("c", ds, v) for _, ds, v in rows[:30]]
+    df = spark.createDataFrame(rows, "series_id string, ds date, y double")
+    want = [100 + (t - 40) * 2 + 10 * np.sin(2 * np.pi * (t + 1) / 12) for t in range(96, 102)]
+    plain = fit_predict_fourier(df, 6).toPandas().sort_values(["series_id", "step"])
+    bent = fit_predict_fourier(df, 6, changepoints=5, penalty=0.01).toPandas().sort_values(["series_id", "step"])
+    gap = {name: np.abs(out[out.series_id == "a"].yhat.to_numpy() - want).max() for name, out in (("plain", plain), ("bent", bent))}
+    assert gap["bent"] < 4 < gap["plain"]
+    assert (bent[bent.series_id == "a"].yhat.to_numpy() == bent[bent.series_id == "b"].yhat.to_numpy()).all()
+    assert len(bent[bent.series_id == "c"]) == 6
