@@ -28,7 +28,7 @@ MODELS: dict[str, Model] = {
     "flat": lambda s, n, keys, p: forecast.predict_trend(forecast.fit_trend(s, "flat", keys, p), n, keys, period=p),
     "linear": lambda s, n, keys, p: forecast.predict_trend(forecast.fit_trend(s, "linear", keys, p), n, keys, period=p),
     "seasonal_mean": lambda s, n, keys, p: forecast.predict_seasonal_mean(forecast.fit_seasonal_mean(s, keys), n, keys, p),
-    "holt_winters": lambda s, n, keys, p: forecast.predict_holt_winters(forecast.fit_holt_winters(s, keys, season=SEASONS[p]), n, keys, p),
+    "holt_winters": lambda s, n, keys, p: forecast.predict_holt_winters(forecast.fit_holt_winters(s, keys, season=SEASONS[p], start="estimated"), n, keys, p),
     "fourier": _fourier,
     "sarima": lambda s, n, keys, p: arima.predict_sarima(arima.fit_sarima(s, keys), n, keys, p),
     "sarima_backtest": lambda s, n, keys, p: arima.predict_sarima(arima.fit_sarima(s, keys, arima.BACKTEST_ORDER), n, keys, p),

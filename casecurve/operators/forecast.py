@@ -103,11 +103,12 @@ def predict_seasonal_mean(params: DataFrame, steps: int, keys: Sequence[str] = K
 # -- Holt-Winters: level plus additive season, no trend -----------------------------------------
 
 
-def _smoothed(values: Column, alpha: Column, gamma: Column, length: int) -> Column:
+def _smoothed(values: Column, alpha: Column, gamma: Column, length: int, begin: Column | None = None) -> Column:
     """Folds one series: struct(sse, alpha, gamma, level, season).
 
-    Start: level = mean of the first season, season = first values minus that level. With e the
-    one-step error, the level moves by alpha * e and the current season entry by gamma * e.
+    Start: ``begin`` (level, then the season), else level = mean of the first season and season = first
+    values minus that level. With e the one-step error, the level moves by alpha * e and the current
+    season entry by gamma * e.
     """
     first = F.slice(values, 1, length)
     level0 = F.aggregate(first, F.lit(0.0), lambda a, x: a + x) / F.size(first)
@@ -116,6 +117,8 @@ def _smoothed(values: Column, alpha: Column, gamma: Column, length: int) -> Colu
         F.sequence(F.lit(1), F.lit(length)),
         lambda i: F.coalesce(F.try_element_at(values, i) - level0, F.lit(0.0)),
     )
+    if begin is not None:
+        level0, season0 = F.element_at(begin, 1), F.slice(begin, 2, length)
     start = F.struct(
         F.lit(0.0).alias("sse"), level0.alias("level"), season0.alias("season"), F.lit(0).alias("t")
     )
@@ -184,13 +187,43 @@ def _best_weights(y: np.ndarray, n: np.ndarray, length: int) -> np.ndarray:
     return best
 
 
-def _search_weights(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+def _best_start(y: np.ndarray, n: np.ndarray, weights: np.ndarray, length: int) -> np.ndarray:
+    """(level, season...) of the smallest error for given weights, per series.
+
+    Errors are linear in the start, so one run from zero and one from each unit start give the
+    least-squares problem. Of equal starts that with a season around 0 is taken.
+    """
+    parts = length + 1
+    begin = np.concatenate([np.zeros((1, parts)), np.eye(parts)])
+    level = np.repeat(begin[None, :, 0], len(y), axis=0)
+    season = np.repeat(begin[None, :, 1:], len(y), axis=0)
+    alpha, gamma = weights[:, :1], weights[:, 1:]
+    errors = np.zeros((len(y), y.shape[1], parts + 1))
+    for t in range(y.shape[1]):
+        observed = np.zeros((len(y), parts + 1))
+        observed[:, 0] = y[:, t]
+        error = np.where((t < n)[:, None], observed - level - season[:, :, t % length], 0.0)
+        errors[:, t] = error
+        level = level + alpha * error
+        season[:, :, t % length] += gamma * error
+    balanced = np.concatenate([[0.0], np.ones(length)])
+    return np.stack(
+        [np.linalg.lstsq(np.vstack([e[:, 1:], balanced]), -np.append(e[:, 0], 0.0), rcond=None)[0] for e in errors]
+    )
+
+
+def _search_weights(batches: Iterator[pd.DataFrame], length: int, estimated: bool) -> Iterator[pd.DataFrame]:
     for batch in batches:
         # A few hundred series at a time keep the working arrays small.
         for start in range(0, len(batch), 256):
             part = batch.iloc[start : start + 256]
-            weights = _best_weights(*padded(part["values"]), length)
-            yield part.assign(alpha=weights[:, 0], gamma=weights[:, 1])
+            y, n = padded(part["values"])
+            if "alpha" in part:
+                weights = part[["alpha", "gamma"]].to_numpy()
+            else:
+                weights = _best_weights(y, n, length)
+                part = part.assign(alpha=weights[:, 0], gamma=weights[:, 1])
+            yield part.assign(begin=list(_best_start(y, n, weights, length))) if estimated else part
 
 
 def fit_holt_winters(
@@ -199,19 +232,26 @@ def fit_holt_winters(
     alpha: float | None = None,
     gamma: float | None = None,
     season: int = SEASON,
+    start: str = "first",
 ) -> DataFrame:
     """One row per series: alpha, gamma, level, season ring of ``season`` periods, sse.
 
     With both weights given they are used as they are. Otherwise they are searched with numpy for
-    all series of an Arrow batch together; the fold that yields level and season is the same.
+    all series of an Arrow batch together; the fold that yields level and season is the same. It starts
+    from the ``first`` season, or from the ``estimated`` level and season of the least squared error.
     """
+    if start not in ("first", "estimated"):
+        raise ValueError("the start is first or estimated")
+    estimated = start == "estimated"
     arrays = spread_out(as_arrays(series, keys), keys)
     if alpha is not None and gamma is not None:
         arrays = arrays.withColumns({"alpha": F.lit(float(alpha)), "gamma": F.lit(float(gamma))})
-    else:
+    if estimated or "alpha" not in arrays.columns:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in arrays.schema)
-        arrays = arrays.mapInPandas(partial(_search_weights, length=season), columns + ", alpha double, gamma double")
-    fit = _smoothed(F.col("values"), F.col("alpha"), F.col("gamma"), season)
+        columns += "" if "alpha" in arrays.columns else ", alpha double, gamma double"
+        columns += ", begin array<double>" if estimated else ""
+        arrays = arrays.mapInPandas(partial(_search_weights, length=season, estimated=estimated), columns)
+    fit = _smoothed(F.col("values"), F.col("alpha"), F.col("gamma"), season, F.col("begin") if estimated else None)
     return arrays.withColumn("_fit", fit).select(*keys, "_fit.*", "n", "last_ds")
 
 

@@ -219,3 +219,26 @@ def test_changepoints_follow_a_break(spark):
     assert gap["bent"] < 4 < gap["plain"]
     assert (bent[bent.series_id == "a"].yhat.to_numpy() == bent[bent.series_id == "b"].yhat.to_numpy()).all()
     assert len(bent[bent.series_id == "c"]) == 6
+
+
+def test_estimated_start_of_holt_winters(spark):
+    from casecurve.operators import forecast
+
+    rng = np.random.default_rng(3)
+    wave = rng.normal(0, 20, 12)
+    wave -= wave.mean()
+    level, season, values = 80.0, wave.copy(), []
+    for t in range(48):
+        # Errors after the first two years only: the start explains these without any.
+        error = rng.normal() if t >= 24 else 0.0
+        values.append(level + season[t % 12] + error)
+        level += 0.3 * error
+        season[t % 12] += 0.2 * error
+    df = monthly(spark, values).unionByName(monthly(spark, values[:7], "short"))
+    found = {r.series_id: r for r in forecast.fit_holt_winters(df, alpha=0.3, gamma=0.2, start="estimated").collect()}
+    plain = {r.series_id: r for r in forecast.fit_holt_winters(df, alpha=0.3, gamma=0.2).collect()}
+    assert found["a"].sse <= plain["a"].sse + 1e-9 and found["short"].sse < 1e-9
+    searched = {r.series_id: r for r in forecast.fit_holt_winters(df, start="estimated").collect()}
+    assert searched["a"].sse < 60 and 0 <= searched["a"].gamma <= 1 - searched["a"].alpha
+    with pytest.raises(ValueError):
+        forecast.fit_holt_winters(df, start="other")
