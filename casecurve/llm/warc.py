@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casecurve.llm.common import pieces_of, saved_table
+from casecurve.llm.common import pieces_of, saved_table, shuffle_partitions
 from casecurve.llm.files import created, opened
 
 REVISIT_FROM = 1000
@@ -231,7 +231,10 @@ def read_records(index: DataFrame) -> DataFrame:
     """``id, payload_bytes, payload_digest, record_type, refers_to, payload`` of the indexed records, read
     from their bundles frame by frame. Size and digest are those of the full payload, which a revisit lacks."""
     kind = index.schema["id"].dataType.simpleString()
-    placed = index.select("bundle", "frame", "offset", "length").repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
+    # The index is small for what it leads to: a given number of partitions is not gathered into few.
+    n_parts = shuffle_partitions(index.sparkSession)
+    placed = index.select("bundle", "frame", "offset", "length").repartition(n_parts, "bundle", "frame")
+    placed = placed.sortWithinPartitions("bundle", "frame", "offset")
     schema = "key string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, payload binary"
     found = placed.mapInArrow(_read, schema)
     return found.select(
