@@ -42,6 +42,10 @@ HEADLINE = [
     "logreg_score",
     "screen_with_context",
     "stream_alerts",
+    "cv_accuracy",
+    "tuned_forest_metrics",
+    "model_compare",
+    "retrain_all",
 ]
 
 
