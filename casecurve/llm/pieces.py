@@ -176,14 +176,17 @@ def encoded(
     looked_up = parts.join(F.broadcast(known.withColumnRenamed("ids", "known")), "word", "left")
     found = F.collect_list(F.when(F.col("known").isNotNull(), F.struct("pos", F.col("known").alias("ids"))))
     common_part = looked_up.groupBy("key", "row").agg(F.first("id").alias("id"), F.first("text").alias("text"), F.first("n").alias("n"), found.alias("found"))
-    rare = looked_up.filter("known IS NULL AND word IS NOT NULL").select("key", "row", "id", "n", "pos", "word")
-    keys = ["key", "row", "pos", "word"]
-    solved = best_path(lattice(rare.select(*keys), keys, vocabulary, pieces), keys, vocabulary)
-    rare_part = solved.groupBy("key", "row").agg(F.collect_list(F.struct("pos", "ids")).alias("rest"))
+    # Both parts read the same columns of ``own``, so that one shuffle of the texts serves both.
+    keys = ["key", "row", "id", "n", "pos", "word"]
+    rare = looked_up.filter("known IS NULL AND word IS NOT NULL").select(*keys)
+    solved = best_path(lattice(rare, keys, vocabulary, pieces), keys, vocabulary)
+    rest = F.collect_list(F.struct("pos", "ids")).alias("rest")
+    rare_part = solved.groupBy("key", "row").agg(F.first("id").alias("rare_id"), F.first("n").alias("rare_n"), rest)
     none = F.array().cast("array<struct<pos:int,ids:array<int>>>")
     joined = common_part.join(rare_part, ["key", "row"], "left")
     ids = F.flatten(F.transform(F.sort_array(F.concat("found", F.coalesce("rest", none))), lambda w: w["ids"]))
-    out = joined.select(F.col("id").alias(id_col), "text", ids.alias("ids"), F.explode(F.expr("array_repeat(0, cast(n as int))")).alias("copy"))
+    copies = F.expr("array_repeat(0, cast(coalesce(rare_n, n) as int))")
+    out = joined.select(F.coalesce("rare_id", "id").alias(id_col), "text", ids.alias("ids"), F.explode(copies).alias("copy"))
     return out.drop("copy")
 
 
