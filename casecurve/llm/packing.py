@@ -14,7 +14,6 @@ tokens is spread over the parts that were written, and no task sees more than it
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator, Mapping
 from functools import partial
 

@@ -6,13 +6,12 @@ import re
 from functools import lru_cache
 from struct import pack
 
-
 # No token crosses into white space that follows something else: texts are cut there.
 _SPACE = r" \t\n\r\f\v"
 _CUTS = re.compile(rf"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 # What the quick cut is not for: runs of white space (two characters of these), and other kinds of it.
 _RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\f", "\v", "\0")
-_FOREIGN = tuple("\x1c\x1d\x1e\x1f\x85\xa0 ᠎    　﻿") + tuple(map(chr, range(0x2000, 0x200C)))
+_FOREIGN = tuple(map(chr, (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
 # Words that are one unit of the tokenizer's own splitting after a cut into letters and signs; an
 # apostrophe may join the letters after it, so words with one are left to the tokenizer.
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+|[.,;:!?*$&%#|()\[\]<>=+/\"\-]+")
