@@ -172,21 +172,22 @@ def encoded(
     known = saved_table(best_path(lattice(often, ["word"], vocabulary, pieces), ["word"], vocabulary), "known")
 
     own = rows.groupBy("key", "row").agg(F.first("id").alias("id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
-    parts = own.select("key", "row", "id", "text", "n", F.posexplode_outer(words(F.col("text"), vocabulary)).alias("pos", "word"))
+    # Rows of words carry no text; it is joined to them again from the same shuffle.
+    parts = own.select("key", "row", "id", "n", F.posexplode(words(F.col("text"), vocabulary)).alias("pos", "word"))
     looked_up = parts.join(F.broadcast(known.withColumnRenamed("ids", "known")), "word", "left")
     found = F.collect_list(F.when(F.col("known").isNotNull(), F.struct("pos", F.col("known").alias("ids"))))
-    common_part = looked_up.groupBy("key", "row").agg(F.first("id").alias("id"), F.first("text").alias("text"), F.first("n").alias("n"), found.alias("found"))
-    # Both parts read the same columns of ``own``, so that one shuffle of the texts serves both.
+    common_part = looked_up.groupBy("key", "row").agg(F.first("id").alias("common_id"), F.first("n").alias("common_n"), found.alias("found"))
+    # All parts read the same columns of ``own``, so that one shuffle of the texts serves them.
     keys = ["key", "row", "id", "n", "pos", "word"]
     rare = looked_up.filter("known IS NULL AND word IS NOT NULL").select(*keys)
     solved = best_path(lattice(rare, keys, vocabulary, pieces), keys, vocabulary)
     rest = F.collect_list(F.struct("pos", "ids")).alias("rest")
     rare_part = solved.groupBy("key", "row").agg(F.first("id").alias("rare_id"), F.first("n").alias("rare_n"), rest)
     none = F.array().cast("array<struct<pos:int,ids:array<int>>>")
-    joined = common_part.join(rare_part, ["key", "row"], "left")
-    ids = F.flatten(F.transform(F.sort_array(F.concat("found", F.coalesce("rest", none))), lambda w: w["ids"]))
-    copies = F.expr("array_repeat(0, cast(coalesce(rare_n, n) as int))")
-    out = joined.select(F.coalesce("rare_id", "id").alias(id_col), "text", ids.alias("ids"), F.explode(copies).alias("copy"))
+    joined = own.join(common_part, ["key", "row"], "left").join(rare_part, ["key", "row"], "left")
+    ids = F.flatten(F.transform(F.sort_array(F.concat(F.coalesce("found", none), F.coalesce("rest", none))), lambda w: w["ids"]))
+    copies = F.expr("array_repeat(0, cast(coalesce(rare_n, common_n, n) as int))")
+    out = joined.select(F.coalesce("rare_id", "common_id", "id").alias(id_col), "text", ids.alias("ids"), F.explode(copies).alias("copy"))
     return out.drop("copy")
 
 
