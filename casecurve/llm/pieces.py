@@ -193,7 +193,8 @@ def encoded(
 
 def decoded(ids: Column, vocabulary: Vocabulary) -> Column:
     """The text of an array of piece ids, without the space that encoding puts first; control pieces are nothing."""
-    table = F.array(*[F.lit(h) for h in vocabulary.hex_texts()])
+    # One constant, not an expression for each piece.
+    table = F.split(F.lit(",".join(vocabulary.hex_texts())), ",")
     data = F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1)), "")
     text = F.unhex(data).cast("string")
     return F.when(text.startswith(" "), F.substr(text, F.lit(2))).otherwise(text)
