@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from functools import lru_cache
 from struct import pack
@@ -50,9 +51,9 @@ def words_of(text: str) -> list[str]:
 
 
 class Encoder:
-    """Encodes texts with the tokenizers library, each different word once while it is remembered.
+    """Encodes ordinary text with the tokenizers library, each different word once while it is remembered.
 
-    For byte-level BPE files whose pattern splits letters, signs and white space. A fixed number of words
+    Added tokens of the file are not looked for: ``TextEncoder`` cuts texts at them first. For byte-level BPE files whose pattern splits letters, signs and white space. A fixed number of words
     is remembered and then forgotten, so memory is bounded; what is forgotten costs only time.
     """
 
@@ -92,7 +93,35 @@ class Encoder:
         return b"".join(found)
 
 
+class TextEncoder:
+    """The ids that the library gives for a whole text with ``add_special_tokens=False``.
+
+    As there, the contents of the file's added tokens are found first and are one id each; what lies between
+    two of them is encoded by itself.
+    """
+
+    def __init__(self, path: str, remembered: int = _REMEMBERED) -> None:
+        with open(path, encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens of this file are not found by their contents alone")
+        self.ordinary = Encoder(path, remembered)
+        self.added = {t["content"]: pack("<I", t["id"]) for t in added}
+        # Of several at one place the longest is meant.
+        names = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile(f"({'|'.join(map(re.escape, names))})") if names else None
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a whole text as little-endian unsigned 32-bit integers."""
+        encode = self.ordinary.encode
+        if self.cuts is None or not any(name in text for name in self.added):
+            return encode(text)
+        # Every second part is an added token.
+        parts = self.cuts.split(text)
+        return b"".join(self.added[part] if i % 2 else encode(part) for i, part in enumerate(parts) if part)
+
+
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str) -> TextEncoder:
     """One encoder per Python worker and file."""
-    return Encoder(path)
+    return TextEncoder(path)

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cases import frame, odd_documents
-from casecurve.llm import packing, tokens
+from casecurve.llm import packing, planes, tokens
 
 PLAIN = Tokenizer.from_file(tokens.byte_bpe_path())
 PLAIN.encode_special_tokens = True
@@ -92,3 +92,43 @@ def test_empty(spark):
     assert packing.packed(frame(spark, [], partitions=1)).count() == 0
 
 
+# -- added tokens, against the library as it comes ---------------------------------------------------
+
+UNMODIFIED = Tokenizer.from_file(tokens.byte_bpe_path())
+NAME = "<|endoftext|>"
+
+
+def library_ids(text):
+    return UNMODIFIED.encode(text or "", add_special_tokens=False).ids
+
+
+def named_documents():
+    texts = ["a <|endoftext|> b", NAME, NAME * 3, f"{NAME} \n  x", f"don't{NAME}'ll  ", "<|endoftext|", f"<|{NAME}|>", ("word " * 40 + NAME) * 9]
+    return [(5000 + i, t, "en", f"src{i % 3}", len(t)) for i, t in enumerate(texts)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*" \n\t\0.'-<|>é中", "ab", "'ll", "x1", "\xa0", NAME, NAME, "<|endof", "text|>", "  "]), max_size=30).map("".join))
+def test_added_tokens_are_those_of_the_library(text):
+    small = tokens.TextEncoder(tokens.byte_bpe_path(), remembered=3)
+    for _ in range(2):
+        assert np.frombuffer(small.encode(text), "<u4").tolist() == library_ids(text)
+
+
+def test_packed_with_added_tokens(spark):
+    assert library_ids("a <|endoftext|> b") == [64, 220, 50256, 275]
+    rows = [*odd_documents(n=8), *named_documents()]
+    by_doc = defaultdict(dict)
+    for r in packing.packed(frame(spark, rows), sequence=64, grain=16).collect():
+        by_doc[r.doc_id][r.start] = np.frombuffer(bytes(r.ids), "<u4").tolist()
+    for doc, text, *_ in named_documents():
+        assert sum((ids for _, ids in sorted(by_doc[doc].items())), []) == [*library_ids(text), 1]
+
+
+def test_plane_files_with_added_tokens(spark, tmp_path):
+    rows = named_documents()
+    files = planes.write_ids(frame(spark, rows), str(tmp_path / "p"), chunk=100)
+    end = 0
+    for r, (doc, text, *_) in zip(sorted(planes.read_ids(files, "bigint").collect(), key=lambda r: r.start), rows, strict=True):
+        assert (r.id, r.start, np.frombuffer(bytes(r.ids), "<u4").tolist()) == (doc, end, [*library_ids(text), 0])
+        end += r.n_tokens
