@@ -98,17 +98,17 @@ def _unknown_ids(vocabulary: Vocabulary) -> Column:
 def lattice(rows: DataFrame, keys: list[str], vocabulary: Vocabulary, pieces: DataFrame) -> DataFrame:
     """``keys, place, edges``: for each place in a word the edges that end there: start, score and ids.
 
-    ``rows`` has ``keys``, one of which is ``word``. A character that is no piece has an edge of its own.
+    ``rows`` has ``keys``, which name a word, and ``word``, which goes no further than its substrings: else
+    bytes would grow with the square of its length. A character that is no piece has an edge of its own.
     """
     longest = vocabulary.longest
     # Long words are cut into overlapping stretches first, or each substring would be sought from their start.
-    stretches = rows.withColumn("size", F.char_length("word")).withColumn(
-        "base", F.explode(F.expr(f"sequence(0, greatest(size - 1, 0), {_STEP})"))
-    )
-    starts = stretches.withColumn("stretch", F.substr("word", F.col("base") + 1, F.lit(_STEP + longest - 1))).withColumn(
-        "offset", F.explode(F.expr(f"sequence(0, least(size - base, {_STEP}) - 1)"))
-    )
-    subs = starts.withColumn("length", F.explode(F.expr(f"sequence(1, least({longest}, size - base - offset))"))).select(
+    cuts = F.expr(f"""transform(sequence(0, greatest(char_length(word) - 1, 0), {_STEP}),
+      base -> named_struct('base', base, 'text', substr(word, base + 1, {_STEP + longest - 1})))""")
+    stretches = rows.select(*keys, F.explode(cuts).alias("cut")).select(*keys, "cut.base", F.col("cut.text").alias("stretch"))
+    sized = stretches.withColumn("size", F.char_length("stretch"))
+    starts = sized.withColumn("offset", F.explode(F.expr(f"sequence(0, least(size, {_STEP}) - 1)")))
+    subs = starts.withColumn("length", F.explode(F.expr(f"sequence(1, least({longest}, size - offset))"))).select(
         *keys,
         (F.col("base") + F.col("offset")).alias("start"),
         "length",
@@ -128,22 +128,28 @@ def best_path(places: DataFrame, keys: list[str], vocabulary: Vocabulary) -> Dat
     """``keys, ids``: Viterbi over each word's places; of equal scores the edge that starts first wins."""
     longest = vocabulary.longest
     grouped = places.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("place", "edges"))).alias("places"))
-    # The scores of the last places, and the best edge of every place in blocks, so that no list is copied whole at each step.
+    # Folds copy their state at each step, so each runs over a block of places and keeps only what that block
+    # adds; the blocks' results are put side by side: the scores of the last places, and the best edge of each.
+    edge = "struct<place:int,start:int,ids:array<int>>"
     step = f"""
       (s, p) -> element_at(transform(
         array(array_max(transform(p.edges, e -> named_struct('score', element_at(s.scores, e.start - p.place) + e.score, 'back', -e.start, 'ids', e.ids)))),
         b -> named_struct(
           'scores', concat(slice(s.scores, greatest(size(s.scores) - {longest} + 2, 1), {longest}), array(b.score)),
-          'block', if(size(s.block) >= {_STEP}, array(named_struct('place', p.place, 'start', -b.back, 'ids', b.ids)),
-                      concat(s.block, array(named_struct('place', p.place, 'start', -b.back, 'ids', b.ids)))),
-          'blocks', if(size(s.block) >= {_STEP}, concat(s.blocks, array(s.block)), s.blocks))), 1)"""
-    edge = "struct<place:int,start:int,ids:array<int>>"
-    first = f"""named_struct('scores', array(0.0D), 'block', cast(array() as array<{edge}>), 'blocks', cast(array() as array<array<{edge}>>))"""
-    forward = grouped.withColumn("best", F.expr(f"aggregate(places, {first}, {step}, s -> flatten(concat(s.blocks, array(s.block))))"))
-    back = """aggregate(reverse(best), named_struct('at', size(best), 'ids', cast(array() as array<array<int>>)),
-      (s, b) -> if(b.place = s.at, named_struct('at', b.start, 'ids', concat(s.ids, array(b.ids))), s),
-      s -> flatten(reverse(s.ids)))"""
-    return forward.select(*keys, F.expr(back).alias("ids"))
+          'best', concat(s.best, array(named_struct('place', p.place, 'start', -b.back, 'ids', b.ids))))), 1)"""
+    none = f"cast(array() as array<{edge}>)"
+    forward = f"""aggregate(blocks, array(named_struct('scores', array(0.0D), 'best', {none})),
+      (done, block) -> concat(done, array(
+        aggregate(block, named_struct('scores', element_at(done, -1).scores, 'best', {none}), {step}))))"""
+    blocks = F.expr(f"transform(sequence(0, (size(places) - 1) div {_STEP}), i -> slice(places, int(i * {_STEP} + 1), {_STEP}))")
+    solved = grouped.select(*keys, F.size("places").alias("size"), blocks.alias("blocks")).select(*keys, "size", F.expr(forward).alias("solved"))
+    none = "cast(array() as array<array<int>>)"
+    back = f"""aggregate(reverse(solved), array(named_struct('at', size, 'ids', {none})),
+      (done, block) -> concat(done, array(
+        aggregate(reverse(block.best), named_struct('at', element_at(done, -1).at, 'ids', {none}),
+          (s, b) -> if(b.place = s.at, named_struct('at', b.start, 'ids', concat(s.ids, array(b.ids))), s)))),
+      done -> flatten(reverse(flatten(transform(done, d -> d.ids)))))"""
+    return solved.select(*keys, F.expr(back).alias("ids"))
 
 
 def encoded(
@@ -168,8 +174,10 @@ def encoded(
         "id", "text", row_key(F.col("text")).alias("row"), F.concat(F.when(F.col("id").isNull(), "-").otherwise("+"), F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("key")
     )
     counts = rows.select(F.explode(words(F.col("text"), vocabulary)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    often = saved_table(counts.filter("n > 1").orderBy(F.desc("n"), "word").limit(common).select("word"), "common").repartition("word")
-    known = saved_table(best_path(lattice(often, ["word"], vocabulary, pieces), ["word"], vocabulary), "known")
+    first_words = counts.filter("n > 1").orderBy(F.desc("n"), "word").limit(common)
+    often = saved_table(first_words.select(F.monotonically_increasing_id().alias("number"), "word"), "common")
+    solved_often = best_path(lattice(often.repartition("number"), ["number"], vocabulary, pieces), ["number"], vocabulary)
+    known = saved_table(often.join(solved_often, "number").select("word", "ids"), "known")
 
     own = rows.groupBy("key", "row").agg(F.first("id").alias("id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
     # Rows of words carry no text; it is joined to them again from the same shuffle.
@@ -178,8 +186,8 @@ def encoded(
     found = F.collect_list(F.when(F.col("known").isNotNull(), F.struct("pos", F.col("known").alias("ids"))))
     common_part = looked_up.groupBy("key", "row").agg(F.first("id").alias("common_id"), F.first("n").alias("common_n"), found.alias("found"))
     # All parts read the same columns of ``own``, so that one shuffle of the texts serves them.
-    keys = ["key", "row", "id", "n", "pos", "word"]
-    rare = looked_up.filter("known IS NULL AND word IS NOT NULL").select(*keys)
+    keys = ["key", "row", "id", "n", "pos"]
+    rare = looked_up.filter("known IS NULL AND word IS NOT NULL").select(*keys, "word")
     solved = best_path(lattice(rare, keys, vocabulary, pieces), keys, vocabulary)
     rest = F.collect_list(F.struct("pos", "ids")).alias("rest")
     rare_part = solved.groupBy("key", "row").agg(F.first("id").alias("rare_id"), F.first("n").alias("rare_n"), rest)

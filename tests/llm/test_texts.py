@@ -130,6 +130,28 @@ def test_encoded(spark, clash, common):
     assert all(r.back == r.text.replace("▁", " ") for r in got)
 
 
+def test_words_go_no_further_than_their_substrings(spark):
+    rows = spark.createDataFrame([(i, "▁" + "ab" * 2000) for i in range(2)], "number int, word string")
+    pieces = VOCABULARY.table(spark)
+    plan = pc.lattice(rows, ["number"], VOCABULARY, pieces)
+    assert plan.columns == ["number", "place", "edges"]
+    assert plan.count() == 2 * 4001
+
+
+def test_encoded_long_texts(spark, monkeypatch):
+    # Found once: the version by hand asks for it at every place.
+    monkeypatch.setattr(pc.Vocabulary, "longest", VOCABULARY.longest)
+    rng = random.Random(4)
+    long_word = "".join(rng.choice(["the", "an", "é", "zx", "ing", "中", "q\t"]) for _ in range(60000))[:100000]
+    texts = [long_word, "a " + "x" * 100000 + " b", prose(rng, 9000)]
+    assert len(texts[0]) == 100000 and len(texts[2]) > 40000
+    rows = [(i, t, "en", "", len(t)) for i, t in enumerate(texts)]
+    out = pc.encoded(frame(spark, rows), pc.piece_bpe_path())
+    got = out.select("doc_id", "ids", pc.decoded(out["ids"], VOCABULARY).alias("back")).collect()
+    assert {r.doc_id: r.ids for r in got} == {d: ids_by_hand(t) for d, t, *_ in rows}
+    assert {r.doc_id: r.back for r in got} == {d: t for d, t, *_ in rows}
+
+
 def test_no_segmentation_of_the_library_scores_higher():
     score = {i: s for i, _, s in VOCABULARY.pieces}
     with open(pc.piece_bpe_path(), "rb") as f:
