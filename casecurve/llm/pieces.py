@@ -5,8 +5,8 @@ word, so the best segmentation of a text is that of its words. A word's lattice
 substrings up to the longest piece are exploded and equi-joined to the piece table, the edges that are left
 are grouped by word, and Viterbi is a fold over the places of the word with ``aggregate``.
 
-The commonest words, a fixed number of them found by counting all words, are encoded once and looked up in a
-broadcast table of that bounded size; every other word goes through the lattice where its document is. Texts
+The commonest words, a fixed number of at most 64 bytes each, found by counting all such words, are encoded once
+and looked up in a broadcast table, which so has a bound in bytes; every other word goes through the lattice where its document is. Texts
 are shuffled once, by document, and all later grouping keeps to that partitioning.
 """
 
@@ -21,6 +21,7 @@ from casecurve.llm.common import keyed, row_key, saved_table
 
 MARK = "▁"
 COMMON_WORDS = 1 << 18
+COMMON_BYTES = 64
 _STEP = 256
 
 
@@ -173,7 +174,8 @@ def encoded(
     rows = keyed(docs, id_col, text_col).select(
         "id", "text", row_key(F.col("text")).alias("row"), F.concat(F.when(F.col("id").isNull(), "-").otherwise("+"), F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("key")
     )
-    counts = rows.select(F.explode(words(F.col("text"), vocabulary)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    every = rows.select(F.explode(words(F.col("text"), vocabulary)).alias("word"))
+    counts = every.filter(F.octet_length("word") <= COMMON_BYTES).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     first_words = counts.filter("n > 1").orderBy(F.desc("n"), "word").limit(common)
     often = saved_table(first_words.select(F.monotonically_increasing_id().alias("number"), "word"), "common")
     solved_often = best_path(lattice(often.repartition("number"), ["number"], vocabulary, pieces), ["number"], vocabulary)

@@ -152,6 +152,20 @@ def test_encoded_long_texts(spark, monkeypatch):
     assert {r.doc_id: r.back for r in got} == {d: t for d, t, *_ in rows}
 
 
+def test_common_words_are_short(spark, monkeypatch):
+    saved, save = {}, pc.saved_table
+
+    def kept(df, name="stage"):
+        saved[name] = save(df, name)
+        return saved[name]
+
+    monkeypatch.setattr(pc, "saved_table", kept)
+    texts = ["w" * 900 + " short"] * 2 + [" ".join(["v" * 61] * 3), " ".join(["u" * 62] * 3)]
+    got = pc.encoded(frame(spark, [(i, t, "en", "", 1) for i, t in enumerate(texts)]), pc.piece_bpe_path()).collect()
+    assert {r.word for r in saved["known"].collect()} == {"▁short", "▁" + "v" * 61}
+    assert {r.doc_id: r.ids for r in got} == {i: ids_by_hand(t) for i, t in enumerate(texts)}
+
+
 def test_no_segmentation_of_the_library_scores_higher():
     score = {i: s for i, _, s in VOCABULARY.pieces}
     with open(pc.piece_bpe_path(), "rb") as f:
