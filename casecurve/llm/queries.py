@@ -86,7 +86,7 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    placed = sharding.shard_documents(documents(spark, folder))
+    placed = sharding.shard_documents(documents(spark, folder), map_path=scratch_path(spark, "map"))
     return placed.select(
         "doc_id",
         "size",

@@ -114,7 +114,8 @@ def shard_documents(
 
     ``size`` is the text's UTF-8 bytes plus 1 and ``slot`` the record's place in its shard, without
     gaps: by virtual slot, then id, then checksum. Without ``slot_map`` the first map is made and edited
-    once so that the shards' bytes are near equal; with ``map_path`` both versions are stored there.
+    once so that the shards' bytes are near equal; with ``map_path`` both versions are stored there and
+    records are placed by the map read back. A path that holds such versions of another map is an error.
 
     A null text counts as empty; records without an id are placed by their text; records of one id
     share a slot, equal ones take places beside each other. An empty table gives no rows.
@@ -128,6 +129,10 @@ def shard_documents(
         if map_path:
             store_map(spark, first, map_path)
             store_map(spark, slot_map, map_path)
+            stored = load_map(spark, map_path, slot_map.version)
+            if stored.shard != slot_map.shard:
+                raise ValueError(f"{map_path} holds another map of version {slot_map.version}")
+            slot_map = stored
     filled, placed = [0] * slot_map.n_shards, []
     for slot, shard in enumerate(slot_map.shard):
         placed.append((slot, shard, filled[shard]))

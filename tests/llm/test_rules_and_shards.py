@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 
 from cases import frame, odd_documents
 from casecurve.llm import quality as q
+from casecurve.llm import queries
 from casecurve.llm import sharding as s
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -90,6 +91,18 @@ def test_written_shards(spark, tmp_path):
     assert Counter((r.id, r.text) for r in got.collect()) == Counter((r[0], r[1] or "") for r in rows)
 
 
+def test_query_places_records_by_a_stored_map(spark, tmp_path, monkeypatch):
+    frame(spark, odd_documents()).write.parquet(str(tmp_path / "documents.parquet"))
+    path = str(tmp_path / "map")
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: path)
+    got = queries.QUERIES["op9_sharding"](spark, str(tmp_path)).collect()
+    assert {r.map_version for r in got} == {2} and s.load_map(spark, path, 1) == s.first_map(8)
+    stored = s.load_map(spark, path, 2)
+    assert all(stored.shard[r.virtual_slot] == r.shard for r in got)
+    with pytest.raises(ValueError):
+        s.shard_documents(frame(spark, odd_documents(n=8)), map_path=path)
+
+
 def test_empty(spark):
     empty = frame(spark, [], partitions=1)
     assert q.ledger(empty).count() == s.shard_documents(empty).count() == 0
