@@ -11,6 +11,7 @@ payloads move.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from collections.abc import Iterable, Iterator
 from functools import partial
@@ -210,11 +211,15 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if at != number:
                     number, frame = at, reader.frame(at)
                 head, http, payload = parsed(frame[offset : offset + length])
-                digest = base64.b32decode(head["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
+                size, digest = int(http["Content-Length"]), base64.b32decode(head["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
+                if head["WARC-Type"] == "response":
+                    said, size, digest = (size, digest), len(payload), hashlib.sha1(payload).hexdigest()
+                    if said != (size, digest):
+                        raise ValueError(f"payload of {head['WARC-Record-ID']} in {bundle} is not the one its headers name")
                 refers_to = head.get("WARC-Refers-To")
                 values = (
                     _key(head["WARC-Record-ID"]),
-                    int(http["Content-Length"]),
+                    size,
                     digest,
                     head["WARC-Type"],
                     refers_to and _key(refers_to),
@@ -229,7 +234,8 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_records(index: DataFrame) -> DataFrame:
     """``id, payload_bytes, payload_digest, record_type, refers_to, payload`` of the indexed records, read
-    from their bundles frame by frame. Size and digest are those of the full payload, which a revisit lacks."""
+    from their bundles frame by frame. Size and digest are those of the full payload: of a response as
+    read, which must be what its headers say; of a revisit, which lacks it, as its headers say."""
     kind = index.schema["id"].dataType.simpleString()
     # The index is small for what it leads to: a given number of partitions is not gathered into few.
     n_parts = shuffle_partitions(index.sparkSession)

@@ -50,6 +50,22 @@ def test_warc(spark, tmp_path, clash, frame_bytes, bundle_bytes):
         assert whole.startswith(b"WARC/1.1\r\n") and whole.endswith(b"\r\n\r\n")
 
 
+@pytest.mark.parametrize("stored", [b"abcd", b"abc", b"abXd", b"abcde"])
+def test_payloads_are_measured(tmp_path, stored):
+    data = warc.record(1, "u", b"abcd", hashlib.sha1(b"abcd").hexdigest(), None, False, "1970-01-01T00:00:00Z")
+    size = len(data) - 8 + len(stored)
+    data = data[:-8].replace(f"Content-Length: {len(data) - 8 - data.index(b'HTTP/1.1') + 4}".encode(), f"Content-Length: {size - data.index(b'HTTP/1.1')}".encode(), 1) + stored + b"\r\n\r\n"
+    writer = warc.BundleWriter(open(tmp_path / "b", "wb"))
+    frame, offset = writer.add(data)
+    writer.close()
+    index = pa.RecordBatch.from_pydict({"bundle": [str(tmp_path / "b")], "frame": [frame], "offset": [offset], "length": [len(data)]})
+    if stored == b"abcd":
+        assert next(warc._read([index])).to_pylist()[0]["payload_bytes"] == 4
+    else:
+        with pytest.raises(ValueError, match="headers"):
+            next(warc._read([index]))
+
+
 def test_bundle_refuses_damage(tmp_path):
     path = tmp_path / "x"
     writer = warc.BundleWriter(open(path, "wb"), 100)
