@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casecurve.llm import fingerprints, line_dedup, packing, pieces, planes, quality, sharding, simhash, suffixes, warc
-from casecurve.llm.common import documents, table
+from casecurve.llm.common import documents, saved_table, table
 from casecurve.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,8 +58,8 @@ FROM failed
 
 @query(_RULES_SQL)
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document's measurements, failed rules and verdicts of the base and the full policy."""
-    rows = quality.ledger(documents(spark, folder))
+    """Every document's measurements, failed rules and verdicts of the base and the full policy, from the stored ledger."""
+    rows = saved_table(quality.ledger(documents(spark, folder)), "ledger")
     return rows.select(
         "doc_id",
         "n_words",

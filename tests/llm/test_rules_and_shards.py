@@ -91,6 +91,25 @@ def test_written_shards(spark, tmp_path):
     assert Counter((r.id, r.text) for r in got.collect()) == Counter((r[0], r[1] or "") for r in rows)
 
 
+def test_query_reads_the_stored_ledger(spark, tmp_path, monkeypatch):
+    rows = odd_documents()
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    saved, save = {}, queries.saved_table
+
+    def kept(df, name="stage"):
+        saved[name] = save(df, name)
+        return saved[name]
+
+    monkeypatch.setattr(queries, "saved_table", kept)
+    got = queries.QUERIES["op3_quality_rules"](spark, str(tmp_path))
+    ledger = saved["ledger"]
+    assert "text" not in ledger.columns and set(got.inputFiles()) == set(ledger.inputFiles())
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    assert Counter(map(tuple, got.select(columns).collect())) == Counter((r[0], *measures_by_hand(r[1])) for r in rows)
+    for r in got.collect():
+        assert (r.base_failed, r.kept) == (r.failed & q.BASE.mask != 0, r.failed == 0)
+
+
 def test_query_places_records_by_a_stored_map(spark, tmp_path, monkeypatch):
     frame(spark, odd_documents()).write.parquet(str(tmp_path / "documents.parquet"))
     path = str(tmp_path / "map")
