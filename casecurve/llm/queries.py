@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casecurve.llm import fingerprints, line_dedup, packing, pieces, planes, quality, sharding, simhash, suffixes, warc
+from casecurve.llm import (
+    fingerprints,
+    line_dedup,
+    packing,
+    pieces,
+    planes,
+    prefix_trie,
+    quality,
+    sharding,
+    simhash,
+    suffixes,
+    url_filter,
+    vector_codes,
+    warc,
+)
 from casecurve.llm.common import documents, saved_table, table
 from casecurve.session import scratch_path
 
@@ -174,3 +188,131 @@ def op7_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_records(index).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """The same training spelled out round by round over (vector, part) rows."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT r, part, min(struct_pack(d := d, e := entry)) AS best FROM (
+    SELECT p.r, p.part, b.entry, p.n + b.n - 2 * list_dot_product(p.x, b.x) AS d FROM p JOIN b{k} b USING (part)) GROUP BY ALL)""")
+        if k < rounds:
+            steps.append(f"""
+m{k} AS (
+  SELECT part, entry, list(c ORDER BY i) AS x FROM (
+    SELECT part, best.e AS entry, i, floor(sum(x[i]) / count(*)) AS c
+    FROM (SELECT part, best, x, unnest(range(1, len(x) + 1)) AS i FROM a{k} JOIN p USING (r, part)) GROUP BY ALL) GROUP BY ALL),
+b{k + 1} AS MATERIALIZED (
+  SELECT part, entry, x, list_dot_product(x, x) AS n FROM (
+    SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM b{k} b LEFT JOIN m{k} m USING (part, entry)))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+p AS MATERIALIZED (
+  SELECT r, vec_id, part, x, list_dot_product(x, x) AS n FROM (
+    SELECT r, vec_id, part, x[part * len(x) // 4 + 1 : (part + 1) * len(x) // 4] AS x
+    FROM (SELECT *, unnest(range(4)) AS part FROM v))),
+b0 AS MATERIALIZED (
+  SELECT part, entry, x, n FROM (
+    SELECT part, x, n, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM p) WHERE entry < 256),
+{",".join(steps)},
+books AS (
+  SELECT sha256(string_agg(CAST(c AS BIGINT), ',' ORDER BY part, entry, i)) AS codebooks_sha256
+  FROM (SELECT part, entry, x[i] AS c, i FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM b{rounds}))),
+coded AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN v USING (r), books
+"""
+
+
+@query(_codes_sql())
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_codes.product_codes(table(spark, folder, "embeddings"))
+    return found.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+TRIE_GROUP, TRIE_TURNS = 100, 6
+
+# The checksum bit by bit: DuckDB has no function for it.
+_CRC32_SQL = """xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(t) + 1), lambda i: ord(t[i])::BIGINT),
+    lambda c, x: list_reduce([xor(c, x)] || range(8)::BIGINT[], lambda b, _: xor(b >> 1, 3988292384 * (b & 1)))), 4294967295)"""
+
+
+@query(
+    f"""
+WITH own AS MATERIALIZED (
+  SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+cut AS (SELECT conv_id, turns, {_CRC32_SQL} % 6 AS h FROM (SELECT *, CAST(conv_id AS VARCHAR) AS t FROM own)),
+built AS MATERIALIZED (
+  SELECT c.conv_id, coalesce(s.turns[1:h], []) || c.turns[h + 1:] AS turns
+  FROM cut c LEFT JOIN own s ON s.conv_id = c.conv_id - c.conv_id % {TRIE_GROUP}),
+steps AS MATERIALIZED (SELECT conv_id, turns, d, turns[1:d] AS node FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM built)),
+nodes AS MATERIALIZED (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (len(turns) = d), '')) AS ends_sha256
+  FROM steps GROUP BY node, d),
+kids AS (SELECT node[1:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+full_nodes AS MATERIALIZED (
+  SELECT n.*, coalesce(k.n, 0) AS n_children, CASE WHEN d > 0 THEN (n_convs - 1) * length(n.node[d].text) ELSE 0 END AS saved
+  FROM nodes n LEFT JOIN kids k ON k.node = n.node),
+sums AS (
+  SELECT node[1:a] AS node, CAST(sum((n_children = 0)::INT) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(d + 1)) AS a FROM full_nodes) GROUP BY 1)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums s ON s.node = n.node LEFT JOIN nodes p ON n.d > 0 AND p.node = n.node[1:n.d - 1]
+"""
+)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    lists = saved_table(prefix_trie.turn_lists(table(spark, folder, "conversations")), "turns")
+    shared = (F.crc32(F.col("conv").cast("string").cast("binary")) % TRIE_TURNS).cast("int")
+    return prefix_trie.prefix_trie(prefix_trie.regrown(lists, TRIE_GROUP, shared))
+
+
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+# Hosts whose pages make up the list of URLs, in both dialects of regular expressions.
+UNWANTED_HOST = "(^|[.-])(adult|ads|bets|casino|pills)([.-])"
+
+_PARTS_SQL = r"""
+  SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(url, '(?s)^[^#]*?\?([^#]*)', 1), '&'),
+           lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|\z)'))) AS query
+  FROM pages"""
+
+
+@query(
+    rf"""
+WITH parts AS ({_PARTS_SQL}),
+named AS (
+  SELECT *, CASE WHEN contains(url, '://') THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+\z', '') ||
+    CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END END AS canonical FROM parts),
+listed AS (SELECT DISTINCT canonical FROM named WHERE regexp_matches(host, '{UNWANTED_HOST}') AND canonical IS NOT NULL),
+rules(rule, verdict, host, path) AS (
+  VALUES {", ".join(f"('{r.name}', '{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)}),
+ruled AS (
+  SELECT n.*, (SELECT max(struct_pack(l := length(r.rule), rule := r.rule, verdict := r.verdict)) FROM rules r
+               WHERE (n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.path)) AS best FROM named n)
+SELECT page_id, host, path, best.rule AS rule,
+       coalesce(best.verdict, CASE WHEN l.canonical IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled r LEFT JOIN listed l ON l.canonical = r.canonical
+"""
+)
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages, against the rules and the URLs found on hosts with an unwanted word in their names."""
+    pages = table(spark, folder, "pages")
+    listed = pages.filter(url_filter.host(F.col("url")).rlike(UNWANTED_HOST))
+    return url_filter.judged(pages, URL_RULES, listed)
