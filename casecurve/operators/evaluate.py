@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casecurve.operators import arima, forecast
+from casecurve.operators import arima, forecast, sarima_exact
 from casecurve.operators.series import KEYS, ORIGINS, holdout_split, rolling_folds
 from casecurve.session import saved_table
 
@@ -20,9 +20,17 @@ def _fourier(series: DataFrame, steps: int, keys: Sequence[str], period: str) ->
     return arima.fit_predict_fourier(series, steps, keys)
 
 
-# Periods in a season: a year of months or weeks, a week of days. Seasonal ARIMA keeps to 12 periods.
+# Periods in a season: a year of months or weeks, a week of days. Conditional seasonal ARIMA keeps to 12 periods.
 SEASONS = {"month": 12, "week": 52, "day": 7}
 
+
+def _likeliest(order: tuple[int, int], initial: str) -> Model:
+    def model(series: DataFrame, steps: int, keys: Sequence[str], period: str) -> DataFrame:
+        params = sarima_exact.fit_sarima_exact(series, keys, order, season=SEASONS[period], initial=initial)
+        return sarima_exact.predict_sarima_exact(params, steps, keys, period)
+
+    return model
+
 # Every model: (training rows, steps, keys, period) -> keys, ds, step, yhat.
 MODELS: dict[str, Model] = {
     "flat": lambda s, n, keys, p: forecast.predict_trend(forecast.fit_trend(s, "flat", keys, p), n, keys, period=p),
@@ -32,6 +40,11 @@ MODELS: dict[str, Model] = {
     "fourier": _fourier,
     "sarima": lambda s, n, keys, p: arima.predict_sarima(arima.fit_sarima(s, keys), n, keys, p),
     "sarima_backtest": lambda s, n, keys, p: arima.predict_sarima(arima.fit_sarima(s, keys, arima.BACKTEST_ORDER), n, keys, p),
+    # By exact likelihood: from a stationary start, and from an unknown one with unbounded coefficients.
+    "sarima_exact": _likeliest(arima.SERVICE_ORDER, "stationary"),
+    "sarima_exact_backtest": _likeliest(arima.BACKTEST_ORDER, "stationary"),
+    "sarima_diffuse": _likeliest(arima.SERVICE_ORDER, "diffuse"),
+    "sarima_diffuse_backtest": _likeliest(arima.BACKTEST_ORDER, "diffuse"),
 }
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casecurve.operators import arima, baseline, evaluate, forecast, risk, series
+from casecurve.operators.sarima_exact import fit_sarima_exact, predict_sarima_exact
 from casecurve.plans import surveillance
 from casecurve.plans.registry import GLOBAL, GRADE, LINEITEM, ORDERS, query, scan_cte, seasonal_cte, series_ctes
 from casecurve.session import saved_table, scratch_path
@@ -359,6 +360,97 @@ def sarima_backtest_fixed(spark, folder):
     predicted = arima.predict_sarima(params, 6)
     return _rounded(predicted.join(params.select("series_id", F.bround("sse", 3).alias("sse")), "series_id"))
 
+def durbin_levinson(psi: str, phi_past: str) -> str:
+    """CTEs ``best(k, phi, v)``: weights of the best prediction from k values and its variance, for unit noise.
+
+    The autocovariances come from 800 noise weights, so no state space is involved. ``phi_past`` gives
+    the purely autoregressive weights ``a[j + 1]``, ``psi`` those of the noise at ``i`` from them.
+    """
+    return f"""
+pure AS (SELECT list_transform(range(800), lambda j: {phi_past}) AS a),
+noise AS (SELECT list_transform(range(1, 801), lambda i: {psi}) AS p FROM pure),
+cov AS MATERIALIZED (SELECT list_transform(range(120), lambda h: list_dot_product(p[1:800 - h], p[h + 1:800])) AS g FROM noise),
+best AS (
+  SELECT 0 AS k, []::DOUBLE[] AS phi, g[1] AS v, g FROM cov
+  UNION ALL
+  SELECT k + 1, list_append(CASE WHEN k = 0 THEN [] ELSE list_transform(range(1, k + 1), lambda i: phi[i] - c * phi[k + 1 - i]) END, c), v * (1 - c * c), g
+  FROM (SELECT *, (g[k + 2] - CASE WHEN k = 0 THEN 0 ELSE list_dot_product(phi, list_reverse(g[2:k + 1])) END) / v AS c FROM best WHERE k < 110))"""
+
+
+LIKELIHOOD = """
+obs AS (SELECT series_id, list(w ORDER BY ds) AS v, CAST(count(*) AS INTEGER) AS n FROM (SELECT * FROM values_of WHERE w IS NOT NULL) GROUP BY 1),
+errors AS (
+  SELECT series_id, n, o.v[k + 1] - CASE WHEN k = 0 THEN 0 ELSE list_dot_product(b.phi, list_reverse(o.v[1:k])) END AS e, b.v AS f
+  FROM obs o JOIN best b ON k < n),
+fit AS (
+  SELECT series_id, n, sum(e * e / f) / n AS sigma2, -0.5::double * (n * (ln(2 * pi() * sum(e * e / f) / n) + 1) + sum(ln(f))) AS loglik
+  FROM errors GROUP BY series_id, n),
+ahead AS (
+  SELECT series_id, n, v, 0 AS step FROM obs
+  UNION ALL
+  SELECT a.series_id, n, list_append(a.v, list_dot_product(b.phi, list_reverse(a.v))), step + 1
+  FROM ahead a JOIN best b ON b.k = n + step WHERE step < 6)"""
+
+
+@query(f"""WITH RECURSIVE {ORDERS}, {FUTURE},
+{durbin_levinson("a[i] + CASE WHEN i > 1 THEN 0.2::double * a[i - 1] ELSE 0 END",
+                 "list_sum(list_transform(range(j // 12 + 1), lambda k: 0.3::double ** k * 0.5::double ** (j - 12 * k)))")},
+values_of AS (SELECT series_id, ds, CAST(y AS DOUBLE) AS w FROM series), {LIKELIHOOD}
+SELECT f.series_id, f.ds, f.step, round_even(a.v[a.n + f.step], 3) AS yhat,
+  round_even(1.2815515655446004::double * sqrt(sigma2 * list_dot_product(p[1:f.step], p[1:f.step])), 3) AS half_width,
+  round_even(sigma2, 4) AS sigma2, round_even(loglik, 4) AS loglik, round_even(8 - 2 * loglik, 4) AS aic
+FROM future f JOIN fit USING (series_id) JOIN ahead a ON a.series_id = f.series_id AND a.step = 6, noise""")
+def sarima_exact_fixed(spark, folder):
+    """Exact likelihood and forecast for given coefficients; the SQL goes by best linear prediction instead of a filter."""
+    return _exact_fixed(spark, folder, arima.SERVICE_ORDER, (0.5, 0.3, 0.2, 0.0))
+
+
+@query(f"""WITH RECURSIVE {ORDERS}, {FUTURE},
+{durbin_levinson("a[i] + CASE WHEN i > 1 THEN -0.3::double * a[i - 1] ELSE 0 END + CASE WHEN i > 12 THEN 0.1::double * a[i - 12] ELSE 0 END"
+                 " + CASE WHEN i > 13 THEN -0.03::double * a[i - 13] ELSE 0 END",
+                 "list_sum(list_transform(range(j // 12 + 1), lambda k: 0.2::double ** k * 0.4::double ** (j - 12 * k)))")},
+values_of AS (SELECT series_id, ds, CAST(y - lag(y) OVER (PARTITION BY series_id ORDER BY ds) AS DOUBLE) AS w FROM series), {LIKELIHOOD},
+lasts AS (SELECT series_id, CAST(max_by(y, ds) AS DOUBLE) AS last_y FROM series GROUP BY 1),
+summed AS (SELECT list_transform(range(1, 7), lambda i: list_sum(p[1:i])) AS p FROM noise)
+SELECT f.series_id, f.ds, f.step, round_even(last_y + list_sum(a.v[a.n + 1:a.n + f.step]), 3) AS yhat,
+  round_even(1.2815515655446004::double * sqrt(sigma2 * list_dot_product(p[1:f.step], p[1:f.step])), 3) AS half_width,
+  round_even(sigma2, 4) AS sigma2, round_even(loglik, 4) AS loglik, round_even(10 - 2 * loglik, 4) AS aic
+FROM future f JOIN fit USING (series_id) JOIN ahead a ON a.series_id = f.series_id AND a.step = 6 JOIN lasts l ON l.series_id = f.series_id, summed""")
+def sarima_exact_backtest_fixed(spark, folder):
+    return _exact_fixed(spark, folder, arima.BACKTEST_ORDER, (0.4, 0.2, -0.3, 0.1))
+
+
+def _exact_fixed(spark, folder, order, coefficients):
+    params = saved_table(fit_sarima_exact(orders_monthly(spark, folder), order=order, params=coefficients), "params")
+    predicted = predict_sarima_exact(params, 6)
+    fit = params.select("series_id", F.bround("sigma2", 4).alias("sigma2"), F.bround("loglik", 4).alias("loglik"), F.bround("aic", 4).alias("aic"))
+    half = F.bround(F.col("yhat_upper") - F.col("yhat"), 3).alias("half_width")
+    return predicted.join(fit, "series_id").select("series_id", "ds", "step", F.bround("yhat", 3).alias("yhat"), half, "sigma2", "loglik", "aic")
+
+
+@query()
+def sarima_exact(spark, folder):
+    """Fitted coefficients, log-likelihood and AIC, beside the exact likelihood of the conditional fit."""
+    monthly = orders_saved(spark, folder)
+    fit = sarima_exact_fit(monthly)
+    bounded = arima.fit_sarima(monthly).select("series_id", *[F.col(c).alias(f"conditional_{c}") for c in ("ar", "sar", "ma")])
+    return fit.join(bounded, "series_id")
+
+
+def sarima_exact_fit(monthly):
+    return fit_sarima_exact(monthly).select("series_id", "n", "ar", "sar", "ma", "sigma2", "loglik", "aic")
+
+
+@query()
+def sarima_exact_forecast(spark, folder):
+    return _rounded(evaluate.forecast_with(orders_monthly(spark, folder), "sarima_exact"))
+
+
+@query()
+def sarima_diffuse_forecast(spark, folder):
+    """The service order from an unknown start, no coefficient bounded."""
+    return _rounded(evaluate.forecast_with(orders_monthly(spark, folder), "sarima_diffuse"))
+
 
 @query()
 def sarima_forecast(spark, folder):
@@ -458,6 +550,16 @@ def holdout_metrics_sarima(spark, folder):
     return evaluate.holdout_metrics(orders_monthly(spark, folder), "sarima")
 
 
+@query()
+def holdout_metrics_sarima_exact(spark, folder):
+    return evaluate.holdout_metrics(orders_monthly(spark, folder), "sarima_exact")
+
+
+@query()
+def backtest_metrics_sarima_exact(spark, folder):
+    return evaluate.rolling_metrics(orders_monthly(spark, folder), "sarima_exact_backtest")
+
+
 @query()
 def backtest_metrics_sarima(spark, folder):
     return evaluate.rolling_metrics(orders_monthly(spark, folder), "sarima_backtest")
