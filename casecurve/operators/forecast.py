@@ -212,18 +212,87 @@ def _best_start(y: np.ndarray, n: np.ndarray, weights: np.ndarray, length: int)
     )
 
 
-def _search_weights(batches: Iterator[pd.DataFrame], length: int, estimated: bool) -> Iterator[pd.DataFrame]:
+def _run(y: np.ndarray, n: np.ndarray, weights: np.ndarray, begin: np.ndarray, length: int, slopes: bool):
+    """Squared error per series and, with ``slopes``, the sums J'J and J'e of the errors' derivatives.
+
+    The derivatives of level and season by (alpha, gamma, level, season...) are carried along the recursion.
+    """
+    many, parts = len(y), length + 3
+    alpha, gamma = weights[:, 0], weights[:, 1]
+    level, season = begin[:, 0].copy(), begin[:, 1:].copy()
+    sse = np.zeros(many)
+    square, product = np.zeros((many, parts, parts)), np.zeros((many, parts))
+    d_level, d_season = np.zeros((many, parts)), np.zeros((many, length, parts))
+    d_level[:, 2] = 1.0
+    d_season[:, np.arange(length), np.arange(3, parts)] = 1.0
+    for t in range(y.shape[1]):
+        live, slot = t < n, t % length
+        error = np.where(live, y[:, t] - level - season[:, slot], 0.0)
+        sse += error * error
+        if slopes:
+            d = np.where(live[:, None], -(d_level + d_season[:, slot]), 0.0)
+            square += d[:, :, None] * d[:, None, :]
+            product += d * error[:, None]
+            d_level = d_level + alpha[:, None] * d
+            d_level[:, 0] += error
+            d_season[:, slot] += gamma[:, None] * d
+            d_season[:, slot, 1] += error
+        level = level + alpha * error
+        season[:, slot] += gamma * error
+    return (sse, square, product) if slopes else sse
+
+
+def _joint(y: np.ndarray, n: np.ndarray, weights: np.ndarray, begin: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights, level and season fitted together by damped Gauss-Newton steps from given ones.
+
+    Every series has its own damping; a step that leaves 0 <= gamma <= 1 - alpha is brought back to it, and
+    only steps that lower the squared error are taken, so the result is never worse than the start.
+    """
+    weights, begin = weights.copy(), begin.copy()
+    sse = _run(y, n, weights, begin, length, False)
+    damping, still = np.full(len(y), 1e-2), np.zeros(len(y), int)
+    for _ in range(80):
+        rows = np.flatnonzero((still < 4) & (damping < 1e8) & (sse > 0))
+        if not len(rows):
+            break
+        _, square, product = _run(y[rows], n[rows], weights[rows], begin[rows], length, True)
+        ridge = damping[rows, None] * (np.einsum("bii->bi", square) + 1e-9 * np.einsum("bii->b", square)[:, None] + 1e-12)
+        square[:, np.arange(length + 3), np.arange(length + 3)] += ridge
+        move = -np.linalg.solve(square, product[:, :, None])[:, :, 0]
+        alpha = np.clip(weights[rows, 0] + move[:, 0], 0.0, 1.0)
+        gamma = np.clip(weights[rows, 1] + move[:, 1], 0.0, 1.0 - alpha)
+        tried, start = np.stack([alpha, gamma], axis=1), begin[rows] + move[:, 2:]
+        found = _run(y[rows], n[rows], tried, start, length, False)
+        better = found < sse[rows]
+        good = rows[better]
+        small = sse[good] - found[better] <= 1e-10 * sse[good]
+        still[good] = np.where(small, still[good] + 1, 0)
+        weights[good], begin[good], sse[good] = tried[better], start[better], found[better]
+        damping[rows] = np.where(better, np.maximum(damping[rows] / 5, 1e-9), damping[rows] * 4)
+    # The start for the weights found, once more by least squares.
+    last = _best_start(y, n, weights, length)
+    better = _run(y, n, weights, last, length, False) < sse
+    begin[better] = last[better]
+    # Of starts that differ by a constant between level and season, that with a season around 0.
+    middle = begin[:, 1:].mean(axis=1)
+    begin[:, 0] += middle
+    begin[:, 1:] -= middle[:, None]
+    return weights, begin
+
+
+def _search_weights(batches: Iterator[pd.DataFrame], length: int, start: str) -> Iterator[pd.DataFrame]:
     for batch in batches:
         # A few hundred series at a time keep the working arrays small.
-        for start in range(0, len(batch), 256):
-            part = batch.iloc[start : start + 256]
+        for first in range(0, len(batch), 256):
+            part = batch.iloc[first : first + 256]
             y, n = padded(part["values"])
-            if "alpha" in part:
-                weights = part[["alpha", "gamma"]].to_numpy()
-            else:
-                weights = _best_weights(y, n, length)
-                part = part.assign(alpha=weights[:, 0], gamma=weights[:, 1])
-            yield part.assign(begin=list(_best_start(y, n, weights, length))) if estimated else part
+            given = "alpha" in part
+            weights = part[["alpha", "gamma"]].to_numpy() if given else _best_weights(y, n, length)
+            begin = None if start == "first" else _best_start(y, n, weights, length)
+            if start == "joint" and not given:
+                weights, begin = _joint(y, n, weights, begin, length)
+            part = part.assign(alpha=weights[:, 0], gamma=weights[:, 1])
+            yield part if begin is None else part.assign(begin=list(begin))
 
 
 def fit_holt_winters(
@@ -238,20 +307,20 @@ def fit_holt_winters(
 
     With both weights given they are used as they are. Otherwise they are searched with numpy for
     all series of an Arrow batch together; the fold that yields level and season is the same. It starts
-    from the ``first`` season, or from the ``estimated`` level and season of the least squared error.
+    from the ``first`` season, from the ``estimated`` level and season of the least squared error for the
+    weights found from the first season, or from weights, level and season fitted ``joint``ly from there.
     """
-    if start not in ("first", "estimated"):
-        raise ValueError("the start is first or estimated")
-    estimated = start == "estimated"
+    if start not in ("first", "estimated", "joint"):
+        raise ValueError("the start is first, estimated or joint")
     arrays = spread_out(as_arrays(series, keys), keys)
     if alpha is not None and gamma is not None:
         arrays = arrays.withColumns({"alpha": F.lit(float(alpha)), "gamma": F.lit(float(gamma))})
-    if estimated or "alpha" not in arrays.columns:
+    if start != "first" or "alpha" not in arrays.columns:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in arrays.schema)
         columns += "" if "alpha" in arrays.columns else ", alpha double, gamma double"
-        columns += ", begin array<double>" if estimated else ""
-        arrays = arrays.mapInPandas(partial(_search_weights, length=season, estimated=estimated), columns)
-    fit = _smoothed(F.col("values"), F.col("alpha"), F.col("gamma"), season, F.col("begin") if estimated else None)
+        columns += "" if start == "first" else ", begin array<double>"
+        arrays = arrays.mapInPandas(partial(_search_weights, length=season, start=start), columns)
+    fit = _smoothed(F.col("values"), F.col("alpha"), F.col("gamma"), season, None if start == "first" else F.col("begin"))
     return arrays.withColumn("_fit", fit).select(*keys, "_fit.*", "n", "last_ds")
 
 

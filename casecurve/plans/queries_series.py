@@ -8,6 +8,7 @@ from casecurve.operators import arima, baseline, evaluate, forecast, risk, serie
 from casecurve.operators.sarima_exact import fit_sarima_exact, predict_sarima_exact
 from casecurve.plans import surveillance
 from casecurve.plans.registry import GLOBAL, GRADE, LINEITEM, ORDERS, query, scan_cte, seasonal_cte, series_ctes
+from casecurve.plans.retrain import retrain_forecasts, stored_forecast
 from casecurve.session import saved_table, scratch_path
 from casecurve.sources import readers, stores
 from casecurve.sources.tables import event_cases, lineitem_cases, order_cases, table
@@ -430,15 +431,12 @@ def _exact_fixed(spark, folder, order, coefficients):
 
 @query()
 def sarima_exact(spark, folder):
-    """Fitted coefficients, log-likelihood and AIC, beside the exact likelihood of the conditional fit."""
+    """Fitted coefficients, log-likelihood and AIC, beside those of the conditional fit."""
     monthly = orders_saved(spark, folder)
-    fit = sarima_exact_fit(monthly)
-    bounded = arima.fit_sarima(monthly).select("series_id", *[F.col(c).alias(f"conditional_{c}") for c in ("ar", "sar", "ma")])
-    return fit.join(bounded, "series_id")
-
-
-def sarima_exact_fit(monthly):
-    return fit_sarima_exact(monthly).select("series_id", "n", "ar", "sar", "ma", "sigma2", "loglik", "aic")
+    fit = fit_sarima_exact(monthly).select("series_id", "n", *[F.bround(c, 3).alias(c) for c in ("ar", "sar", "ma", "sigma2", "loglik", "aic")])
+    names = ("ar", "sar", "ma", "aic")
+    conditional = arima.fit_sarima(monthly).select("series_id", *[F.bround(c, 3).alias(f"conditional_{c}") for c in names])
+    return fit.join(conditional, "series_id")
 
 
 @query()
@@ -467,6 +465,34 @@ def fourier_forecast(spark, folder):
     return _rounded(evaluate.forecast_with(orders_monthly(spark, folder), "fourier"))
 
 
+@query()
+def trend_yearly_forecast(spark, folder):
+    """Line with up to 25 slope changes and yearly waves."""
+    return _rounded(evaluate.forecast_with(orders_monthly(spark, folder), "trend_yearly"))
+
+
+@query()
+def trend_changes_forecast(spark, folder):
+    """Line with up to 5 small slope changes."""
+    return _rounded(evaluate.forecast_with(orders_monthly(spark, folder), "trend_changes"))
+
+
+@query()
+def trend_flat_forecast(spark, folder):
+    """A level, with an interval of drawn noise."""
+    return _rounded(evaluate.forecast_with(orders_monthly(spark, folder), "trend_flat"))
+
+
+@query()
+def trend_parameters(spark, folder):
+    """Where and how much the slope of each series changes."""
+    params = saved_table(evaluate.halves("trend_yearly").fit(orders_monthly(spark, folder), ["series_id"], "month"), "params")
+    at = F.explode(F.arrays_zip("places", "changes")).alias("c")
+    return params.select("series_id", "scale", at).where("c.changes <> 0").select(
+        "series_id", F.bround("c.places", 4).alias("place"), F.bround(F.col("scale") * F.col("c.changes"), 3).alias("slope_change")
+    )
+
+
 @query()
 def surveillance_summary_fitted(spark, folder):
     return surveillance.summarise(orders_monthly(spark, folder), months=6, model="holt_winters").forecast
@@ -550,6 +576,38 @@ def holdout_metrics_sarima(spark, folder):
     return evaluate.holdout_metrics(orders_monthly(spark, folder), "sarima")
 
 
+@query(f"""WITH {ORDERS},
+split AS (SELECT *, p <= 6 AND n > 18 AS test, CAST(year(ds) * 12 + month(ds) AS DOUBLE) AS t
+  FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds DESC) AS p, count(*) OVER (PARTITION BY series_id) AS n FROM series)),
+by_month AS (SELECT series_id, month(ds) AS m, avg(y) AS mu FROM split WHERE NOT test GROUP BY 1, 2),
+line AS (SELECT series_id, avg(y) AS mu, regr_slope(CAST(y AS DOUBLE), t) AS b, regr_intercept(CAST(y AS DOUBLE), t) AS a FROM split WHERE NOT test GROUP BY 1),
+compared AS (
+  SELECT 'flat' AS model, series_id, CAST(y AS DOUBLE) AS y, greatest(mu, 0.0::double) AS yhat FROM split JOIN line USING (series_id) WHERE test
+  UNION ALL SELECT 'linear', series_id, CAST(y AS DOUBLE), greatest(a + b * t, 0.0::double) FROM split JOIN line USING (series_id) WHERE test
+  UNION ALL SELECT 'seasonal_mean', s.series_id, CAST(s.y AS DOUBLE), m.mu FROM split s JOIN by_month m ON m.series_id = s.series_id AND m.m = month(s.ds) WHERE test)
+{metrics_sql('compared', 'model, series_id')}""")
+def retrain_closed_form(spark, folder):
+    """Hold-out scores of a retraining run over the models that SQL can fit."""
+    names = ("flat", "linear", "seasonal_mean")
+    return retrain_forecasts(orders_monthly(spark, folder), scratch_path(spark, "models"), names)[1]
+
+
+@query(f"""WITH {ORDERS}, {SEASONAL_FORECAST} SELECT * FROM predicted""")
+def forecast_from_store(spark, folder):
+    """Forecasts from the parameters that a retraining run stored."""
+    path = scratch_path(spark, "models")
+    retrain_forecasts(orders_monthly(spark, folder), path, ("seasonal_mean",))
+    return stored_forecast(spark, path, "seasonal_mean").select("series_id", "ds", "step", "predicted_cases")
+
+
+@query()
+def holdout_metrics_trend(spark, folder):
+    """The three trend models on the last six months."""
+    monthly = orders_saved(spark, folder)
+    lines = [evaluate.holdout_metrics(monthly, m).select(F.lit(m).alias("model"), "*") for m in ("trend_yearly", "trend_changes", "trend_flat")]
+    return lines[0].unionByName(lines[1]).unionByName(lines[2])
+
+
 @query()
 def holdout_metrics_sarima_exact(spark, folder):
     return evaluate.holdout_metrics(orders_monthly(spark, folder), "sarima_exact")

@@ -4,23 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casecurve.operators import arima, classify, evaluate, forecast
+from casecurve.operators import classify, evaluate
+from casecurve.operators.forecast import rounded_forecast
 from casecurve.operators.series import KEYS
 from casecurve.session import saved_table
 from casecurve.sources import models
 
+SERVICE_MODELS = ("holt_winters", "sarima")
+
 
 @dataclass
 class Retrained:
-    """What a retraining run produced."""
+    """What a retraining run produced: stored parameters by model name, scores, and the classifier if one was trained."""
 
-    holt_winters: DataFrame
-    sarima: DataFrame
+    params: dict[str, DataFrame]
     holdout: DataFrame
-    classifier: classify.Classifier
+    classifier: classify.Classifier | None
+
+
+def retrain_forecasts(
+    series: DataFrame,
+    folder: str,
+    names: Sequence[str] = SERVICE_MODELS,
+    keys: Sequence[str] = KEYS,
+    period: str = "month",
+    horizon: int = 6,
+    min_train: int = 12,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Parameters of the named models, stored under ``folder`` and read back, and the models' hold-out scores.
+
+    The stored model and the scored one are the same function, fitted to the whole series and to all but the
+    last ``horizon`` periods.
+    """
+    series = saved_table(series, "series")
+    params, lines = {}, []
+    for name in names:
+        fit = evaluate.halves(name).fit
+        models.save_params(fit(series, keys, period), f"{folder}/{name}")
+        params[name] = series.sparkSession.read.parquet(f"{folder}/{name}")
+        scores = evaluate.holdout_metrics(series, name, horizon, min_train, keys, period)
+        lines.append(scores.select(F.lit(name).alias("model"), "*"))
+    return params, saved_table(reduce(DataFrame.unionByName, lines), "holdout")
+
+
+def stored_forecast(
+    spark: SparkSession, folder: str, name: str, steps: int = 6, keys: Sequence[str] = KEYS, period: str = "month"
+) -> DataFrame:
+    """The forecast of a model whose parameters ``retrain_forecasts`` stored, without the series."""
+    params = spark.read.parquet(f"{folder}/{name}")
+    return rounded_forecast(evaluate.halves(name).predict(params, steps, keys, period))
 
 
 def retrain(
@@ -33,23 +70,15 @@ def retrain(
     numeric: Sequence[str],
     categorical: Sequence[str],
     keys: Sequence[str] = KEYS,
+    names: Sequence[str] = SERVICE_MODELS,
+    period: str = "month",
+    kind: str = "forest",
 ) -> Retrained:
-    """Fits and stores both forecast models and the classifier under ``folder``.
+    """Fits and stores the named forecast models and the classifier under ``folder``.
 
-    Hold-out scores compare the two forecast models on the last six periods of every series.
+    Hold-out scores compare the forecast models on the last six periods of every series.
     """
-    spark = series.sparkSession
-    series = saved_table(series, "series")
-    paths = {name: f"{folder}/{name}" for name in ("holt_winters", "sarima", "classifier")}
-    models.save_params(forecast.fit_holt_winters(series, keys), paths["holt_winters"])
-    models.save_params(arima.fit_sarima(series, keys), paths["sarima"])
-    scores = {m: evaluate.holdout_metrics(series, m, min_train=12, keys=keys) for m in ("holt_winters", "sarima")}
-    holdout = None
-    for name, score in scores.items():
-        line = score.selectExpr(f"'{name}' AS model", "*")
-        holdout = line if holdout is None else holdout.unionByName(line)
-    fitted = classify.train_with_threshold(records, key, label, positive, numeric, categorical)
-    models.save_classifier(spark, fitted, paths["classifier"])
-    return Retrained(
-        spark.read.parquet(paths["holt_winters"]), spark.read.parquet(paths["sarima"]), saved_table(holdout, "holdout"), fitted
-    )
+    params, holdout = retrain_forecasts(series, folder, names, keys, period)
+    fitted = classify.train_with_threshold(records, key, label, positive, numeric, categorical, kind)
+    models.save_classifier(series.sparkSession, fitted, f"{folder}/classifier")
+    return Retrained(params, holdout, fitted)
