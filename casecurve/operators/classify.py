@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from casecurve.functions.numbers import lenient_double
 from casecurve.operators.features import MAX_CATEGORIES, kept_categories
+from casecurve.operators.logistic_folds import fit_logistic_folds, score_logistic_folds
 from casecurve.operators.metrics import best_threshold, overall_scores, score_areas
 from casecurve.operators.quantiles import medians
 from casecurve.operators.splits import assign_folds, stratified_split
@@ -263,10 +264,15 @@ def out_of_fold(
 ) -> DataFrame:
     """``key, label, fold, score, prediction`` where no row is scored by a model that saw it.
 
-    The k fits are separate jobs sent from a few driver threads; the folds come from one assignment.
+    The folds come from one assignment. Two-class logistic models of all folds are fitted together, one job
+    per Newton step; the k fits of other kinds are separate jobs sent from a few driver threads.
     """
     kept = df.select(key, label, *numeric, *categorical)
     folded = saved_table(assign_folds(kept, key, label if stratified else None, k, seed), "folds")
+    if kind == "logistic" and folded.where(F.col(label).isNotNull()).select(label).distinct().limit(3).count() == 2:
+        together = fit_logistic_folds(folded, label, numeric, categorical, saved=True)
+        scored_ = score_logistic_folds(folded, together, positive).where(F.col(label).isNotNull())
+        return saved_table(scored_.select(key, label, "fold", "score", "prediction"), "held-out")
 
     def one(i: int) -> DataFrame:
         fitted = train_classifier(folded.where(F.col("fold") != i), label, numeric, categorical, kind, positive, seed, saved=True)

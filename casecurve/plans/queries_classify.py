@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from casecurve.functions import dates, numbers
 from casecurve.functions.text import percent_text, repaired_gender, risk_label, skin_flag, terminal_gender, yes_no_flag
-from casecurve.operators import arima, bayes, classify, intake, joins, knn, metrics, splits
+from casecurve.operators import arima, bayes, classify, intake, joins, knn, logistic_folds, metrics, splits
 from casecurve.operators.baseline import global_baseline
 from casecurve.operators.series import case_series
 from casecurve.plans import screening, surveillance
@@ -248,12 +248,27 @@ def tuned_forest_metrics(spark, folder):
     return spark.range(1).select(*[F.lit(float(v)).alias(k) for k, v in values.items()])
 
 
+@query()
+def logistic_cross_validation(spark, folder):
+    """Coefficients of all ten folds' models and of all rows, from one job per Newton step."""
+    folded = saved_table(splits.assign_folds(clinical(spark, folder), "doc_id", "label", 10, 0), "folds")
+    fitted = logistic_folds.fit_logistic_folds(folded, "label", ["n_chars", "toxic"], ["lang"], saved=True)
+    return logistic_folds.fold_coefficients(folded, fitted).withColumn("coefficient", F.bround("coefficient", 5))
+
+
+@query()
+def logistic_out_of_fold(spark, folder):
+    """Every record's score by the model that has not seen it."""
+    out = classify.out_of_fold(_records(spark, folder), "record_id", "disease", NUMERIC, CATEGORICAL, "logistic", 5, "Dengue")
+    return out.withColumn("score", F.bround("score", 5))
+
+
 @query()
 def cv_accuracy(spark, folder):
-    """Ten-fold accuracy of four classifiers on the labelled documents."""
+    """Ten-fold accuracy of five classifiers on the labelled documents."""
     rows = saved_table(clinical(spark, folder), "clinical")
     out = None
-    for kind in ("bayes", "tree", "forest_climate", "svm"):
+    for kind in ("logistic", "bayes", "tree", "forest_climate", "svm"):
         held_out = classify.out_of_fold(rows, "doc_id", "label", ["n_chars", "toxic"], ["lang"], kind, 10, seed=0, stratified=False)
         line = classify.fold_accuracy(held_out, "label").withColumn("model", F.lit(kind))
         out = line if out is None else out.unionByName(line)
