@@ -1,7 +1,9 @@
 """Running totals over a globally ordered column, in parallel.
 
 A window without partitions would run in one task. Here the order is cut into slices at approximate
-quantiles, each slice is summed on its own and shifted by the total of the slices before it.
+quantiles, as many as the rows ask for; each slice is summed on its own and shifted by the total of the slices
+before it. Those shifts are running totals themselves and are taken level by level: blocks of slices,
+blocks of blocks, until one block is left.
 """
 
 from __future__ import annotations
@@ -13,31 +15,59 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from casecurve.session import saved_table
+
+# A slice has at most half as many rows again, up to 65,536 slices; beyond 16 thousand million rows slices grow.
+SLICE_ROWS = 250_000
+MOST_SLICES = 1 << 16
+# Totals that one window sums up.
+BLOCK = 1 << 10
+
+
+def _ordered(column: str, descending: bool):
+    return F.col(column).desc() if descending else F.col(column).asc()
+
+
+def offsets(totals: DataFrame, n: int, sums: Sequence[str], descending: bool, block: int = BLOCK) -> DataFrame:
+    """``_slice`` and, as ``_{c}``, the sums over all slices before it; ``totals`` has ``_slice`` in 0..n-1 and the sums of each.
+
+    No window has more than ``block`` rows.
+    """
+    before = Window.partitionBy("_block").orderBy(_ordered("_slice", descending)).rowsBetween(Window.unboundedPreceding, -1)
+    blocked = totals.withColumn("_block", F.floor(F.col("_slice") / block).cast("int"))
+    inner = blocked.select("_block", "_slice", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in sums])
+    if n <= block:
+        return inner.drop("_block")
+    by_block = blocked.groupBy(F.col("_block").alias("_slice")).agg(*[F.sum(c).alias(c) for c in sums])
+    outer = offsets(by_block, -(-n // block), sums, descending, block)
+    shifts = outer.select(F.col("_slice").alias("_block"), *[F.col(f"_{c}").alias(f"_shift_{c}") for c in sums])
+    joined = inner.join(shifts, "_block")
+    return joined.select("_slice", *[(F.col(f"_{c}") + F.col(f"_shift_{c}")).alias(f"_{c}") for c in sums])
+
 
 def running_totals(
-    df: DataFrame, order: str, sums: Sequence[str], descending: bool = True, slices: int = 64
+    df: DataFrame, order: str, sums: Sequence[str], descending: bool = True, slices: int | None = None, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Adds ``{c}_upto`` for each column: its sum over all rows up to and including this order value.
 
-    ``df`` is read more than once and should be cheap to read (a saved table). The cut points affect
-    only the balance of the slices, never the totals; there are at most ``slices`` of them.
+    ``df`` is read more than once and should be cheap to read (a saved table). The cut points affect only the
+    balance of the slices, never the totals. Unless ``slices`` are given there is one for ``slice_rows`` rows.
+    Rows of one order value stay in one slice: count them first if they may be very many.
     """
+    wanted = slices or min(MOST_SLICES, max(1, -(-df.count() // slice_rows)))
     # Slices only need a monotone number; inside them rows are ordered by the value itself.
     df = df.withColumn("_by", F.col(order).cast("double"))
-    points = df.approxQuantile("_by", [i / slices for i in range(1, slices)], 0.005)
+    points = df.approxQuantile("_by", [i / wanted for i in range(1, wanted)], 1 / (4 * wanted)) if wanted > 1 else []
     inner = sorted({p for p in points if math.isfinite(p)})
     bounds = [-math.inf, *(inner or [0.0]), math.inf]
-    sliced = Bucketizer(splits=bounds, inputCol="_by", outputCol="_slice").transform(df)
-
-    def ordered(column: str):
-        return F.col(column).desc() if descending else F.col(column).asc()
+    cut = Bucketizer(splits=bounds, inputCol="_by", outputCol="_slice").transform(df)
+    sliced = cut.withColumn("_slice", F.col("_slice").cast("int"))
 
-    totals = sliced.groupBy("_slice").agg(*[F.sum(c).alias(c) for c in sums])
-    before = Window.orderBy(ordered("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    # At most slices + 1 rows, so the unpartitioned window and the broadcast are of fixed size.
-    offsets = totals.select("_slice", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in sums])
-    within = Window.partitionBy("_slice").orderBy(ordered(order))
-    joined = sliced.join(F.broadcast(offsets), "_slice")
+    # One row for each slice, saved: the levels above and the join read it, and its size decides the join.
+    totals = saved_table(sliced.groupBy("_slice").agg(*[F.sum(c).alias(c) for c in sums]), "slices")
+    shifted = saved_table(offsets(totals, len(bounds) - 1, sums, descending), "offsets")
+    within = Window.partitionBy("_slice").orderBy(_ordered(order, descending))
+    joined = sliced.join(shifted, "_slice")
     return joined.withColumns({f"{c}_upto": F.col(f"_{c}") + F.sum(c).over(within) for c in sums}).drop(
         "_slice", "_by", *[f"_{c}" for c in sums]
     )

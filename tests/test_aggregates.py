@@ -73,6 +73,34 @@ def test_running_totals(spark, descending):
     assert got.tolist() == expected.tolist()
 
 
+def test_running_totals_over_ten_thousand_slices(spark):
+    frame = pd.DataFrame({"s": np.random.default_rng(4).permutation(10_000) / 7.0, "n": np.arange(10_000) % 13})
+    df = spark.createDataFrame(frame)
+    for descending in (True, False):
+        out = running.running_totals(df, "s", ["n"], descending, slice_rows=1).toPandas().sort_values("s", ascending=not descending)
+        assert (out["n_upto"] == out["n"].cumsum()).all()
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_offsets_by_level(spark, descending):
+    """Three levels: no window holds more than a block, and every slice gets what lies before it."""
+    totals = spark.range(700).selectExpr("cast(id as int) as _slice", "id % 5 as a", "1 as b").where("_slice % 11 <> 3")
+    got = {r["_slice"]: (r["_a"], r["_b"]) for r in running.offsets(totals, 700, ["a", "b"], descending, block=8).collect()}
+    a = b = 0
+    for i in sorted((i for i in range(700) if i % 11 != 3), reverse=descending):
+        assert got.pop(i) == (a, b)
+        a, b = a + i % 5, b + 1
+    assert not got
+
+
+def test_slices_stay_within_their_size(spark):
+    df = spark.range(40_000).selectExpr("cast(exp(id / 2000.0) as double) as s")
+    n, rows = 40, 1000
+    points = df.approxQuantile("s", [i / n for i in range(1, n)], 1 / (4 * n))
+    sizes = np.histogram([r.s for r in df.collect()], [-np.inf, *sorted(set(points)), np.inf])[0]
+    assert sizes.max() <= 1.5 * rows + 1
+
+
 def test_numbered_rows_cover_the_range(spark):
     out = running.numbered(spark.range(0, 2000, 3), "id").toPandas().sort_values("id")
     assert out.position.tolist() == list(range(len(out)))
