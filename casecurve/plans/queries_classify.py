@@ -38,6 +38,7 @@ from casecurve.sources.tables import (
     table,
 )
 from casecurve.streaming.alerts import current_windows, start_alerting, start_closed_windows, window_alerts
+from casecurve.streaming.complete import start_complete_windows
 from casecurve.streaming.screening import STORED, start_screening, start_storing
 
 
@@ -490,6 +491,11 @@ def recent_intakes(spark, folder):
 
 # -- streams --------------------------------------------------------------------------------------
 
+COMPLETE_SCHEMA = (
+    "series_id string, window_start timestamp, y bigint, n_before bigint, mean double, std double, "
+    "z_score double, risk_level string, is_anomaly boolean"
+)
+
 DAILY = series_ctes("events", "event_type", "ts", period="day")
 WINDOWS = """
     windows AS (
@@ -509,6 +515,31 @@ def stream_closed_windows(spark, folder):
     return rows.select("series_id", F.col("window_start").cast("date").alias("day"), "y")
 
 
+RARE = "event_id % 7 = 0"
+
+
+@query(f"""WITH {series_ctes("events", "event_type", "ts", RARE, "day")},
+closed AS (SELECT max(ts) - INTERVAL 1 DAY AS upto FROM events WHERE {RARE}),
+firsts AS (SELECT series_id, min(ds) AS lo FROM series GROUP BY 1),
+days AS (
+  SELECT series_id, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), upto - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM firsts, closed),
+filled AS (SELECT d.series_id, d.day, coalesce(s.y, 0) AS y FROM days d LEFT JOIN series s ON s.series_id = d.series_id AND s.ds = d.day),
+past AS (
+  SELECT *, count(*) OVER w AS n_before, avg(y) OVER w AS mean, stddev_samp(y) OVER w AS std FROM filled
+  WINDOW w AS (PARTITION BY series_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+z AS (SELECT *, CASE WHEN n_before > 1 THEN round_even((y - mean) / CASE WHEN std > 1e-6::double THEN std ELSE 1.0::double END, 2) END AS z_score FROM past)
+SELECT series_id, day, y, n_before, round_even(mean, 4) AS mean, round_even(std, 4) AS std, z_score, {GRADE.format(z="z_score")} AS risk_level,
+  coalesce(({GRADE.format(z="z_score")}) IN ('Alert', 'Critical'), false) AS is_anomaly FROM z""")
+def stream_complete_windows(spark, folder):
+    """Rare events per day, days without any as 0, each graded against the days before it."""
+    out, checkpoint = scratch_path(spark, "complete"), scratch_path(spark, "progress")
+    rare = event_stream(spark, folder).where(RARE).select(F.col("event_type").alias("series_id"), F.col("ts").cast("timestamp").alias("event_ts"))
+    start_complete_windows(rare, out, checkpoint, available_now=True).awaitTermination()
+    rows = spark.read.schema(COMPLETE_SCHEMA).parquet(out)
+    rounded = {"mean": F.bround("mean", 4), "std": F.bround("std", 4), "day": F.col("window_start").cast("date")}
+    return rows.withColumns(rounded).drop("window_start")
+
+
 @query(f"""WITH {DAILY}, {WINDOWS},
 b AS (SELECT series_id, round_even(avg(y), 1) AS mean, round_even(stddev_samp(y), 1) AS std FROM series GROUP BY 1)
 SELECT w.series_id, CAST(w.day AS DATE) AS day, w.y, round_even((w.y - mean) / std, 2) AS z_score,
