@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from casecurve.functions.tables import register_table_functions
 from casecurve.operators import arima, baseline, evaluate, forecast, risk, series
 from casecurve.operators.sarima_exact import fit_sarima_exact, predict_sarima_exact
 from casecurve.plans import surveillance
-from casecurve.plans.registry import GLOBAL, GRADE, LINEITEM, ORDERS, query, scan_cte, seasonal_cte, series_ctes
+from casecurve.plans.registry import GLOBAL, GRADE, LINEITEM, ORACLES, ORDERS, query, scan_cte, seasonal_cte, series_ctes
 from casecurve.plans.retrain import retrain_forecasts, stored_forecast
 from casecurve.session import saved_table, scratch_path
 from casecurve.sources import readers, stores
@@ -319,6 +320,26 @@ def holt_winters_fixed(spark, folder):
     return _rounded(predicted.join(params.select("series_id", F.bround("sse", 3).alias("sse")), "series_id"))
 
 
+def _by_table_function(spark, monthly, arguments):
+    """Plain SQL over a view of the series."""
+    register_table_functions(spark)
+    monthly.createOrReplaceTempView("case_series")
+    return spark.sql(f"""
+        SELECT series_id, ds, step, bround(yhat, 4) AS yhat
+        FROM series_forecast(TABLE(SELECT series_id, ds, y FROM case_series) PARTITION BY series_id ORDER BY ds, {arguments})""")
+
+
+@query(f"SELECT series_id, ds, step, yhat FROM ({ORACLES['forecast_linear']})")
+def forecast_linear_table(spark, folder):
+    """The same line by the table function in SQL."""
+    return _by_table_function(spark, orders_monthly(spark, folder), "model => 'linear', steps => 6")
+
+
+@query(f"SELECT series_id, ds, step, yhat FROM ({ORACLES['holt_winters_fixed']})")
+def holt_winters_table(spark, folder):
+    return _by_table_function(spark, orders_monthly(spark, folder), "model => 'holt_winters', alpha => 0.3D, gamma => 0.2D")
+
+
 @query()
 def holt_winters_fit(spark, folder):
     return _rounded(evaluate.forecast_with(orders_monthly(spark, folder), "holt_winters"))

@@ -259,3 +259,32 @@ def test_places_of_changes():
     assert len(piecewise.change_places(1, 25)) == 0 and len(piecewise.change_places(4, 25)) == 2
     places = piecewise.change_places(60, 25)
     assert len(places) == 25 and places[0] > 0 and places[-1] <= 47 / 59
+
+
+# -- the table function -----------------------------------------------------------------------------------
+
+
+def test_table_function_in_sql(spark):
+    from casecurve.functions.tables import register_table_functions
+
+    register_table_functions(spark)
+    rng = np.random.default_rng(21)
+    df = frame(spark, {"a": rng.poisson(30, 50), "b": rng.poisson(9, 17), "one": [4]})
+    df = df.unionByName(df.limit(1).selectExpr("'b' AS series_id", "CAST(NULL AS DATE) AS ds", "1.0D AS y"))
+    df.createOrReplaceTempView("some_series")
+    for model in ("flat", "linear", "seasonal_mean", "holt_winters"):
+        got = spark.sql(f"""SELECT * FROM series_forecast(
+            TABLE(SELECT series_id, 7 AS region, ds, y FROM some_series) PARTITION BY (series_id, region), model => '{model}', steps => 5)""")
+        assert got.columns == ["series_id", "region", "ds", "step", "yhat"]
+        want = {(r.series_id, r.ds): r.yhat for r in evaluate.forecast_with(df.where("ds IS NOT NULL"), model, 5).collect()}
+        assert {(r.series_id, r.ds): r.yhat for r in got.collect()} == pytest.approx(want, rel=1e-6)
+    daily = frame(spark, {"a": range(30)}, "day")
+    daily.createOrReplaceTempView("daily_series")
+    got = spark.sql("SELECT * FROM series_forecast(TABLE(daily_series) PARTITION BY series_id ORDER BY ds, period => 'day')").collect()
+    assert [r.yhat for r in got] == pytest.approx(list(range(30, 36)))
+    for text, said in (
+        ("TABLE(SELECT series_id, ds FROM some_series) PARTITION BY series_id", "needs ds and y"),
+        ("TABLE(some_series) PARTITION BY series_id, model => 'none'", "is none of"),
+    ):
+        with pytest.raises(Exception, match=said):
+            spark.sql(f"SELECT * FROM series_forecast({text})").collect()
