@@ -32,9 +32,12 @@ from pyspark.sql import functions as F
 from casecurve.llm.common import handed, keyed, pieces_of, row_key, saved_table
 
 LENGTH = 200
+# A worker takes some 55 bytes for each byte of a shard while it is sorted.
 SHARD_BYTES = 4 << 20
 _GRAM = 32
 _PIECE = 1 << 19
+# Bytes of text that a worker has in hand at a time besides a shard.
+_HAND = 4 << 20
 _PLACES = np.uint64((1 << 20) - 1)
 # Odd multipliers of the k-gram hash: any would do, but all runs of a corpus must use the same.
 _MIX = tuple(np.uint64(int.from_bytes(hashlib.sha256(bytes([i])).digest()[:8], "little") | 1) for i in range(5))
@@ -130,39 +133,42 @@ def suffix_array(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     n = len(data)
-    ends = np.repeat(np.cumsum(sizes), sizes)
-    text = np.repeat(np.arange(len(texts)), sizes)
-    left = ends - np.arange(n)
+    # Positions and ranks of a shard fit 32 bits.
+    ends = np.repeat(np.cumsum(sizes).astype(np.int32), sizes)
+    left = ends - np.arange(n, dtype=np.int32)
     # First order: seven symbols of nine bits, 0 past the end of the text.
     key = np.zeros(n, np.int64)
     for j in range(7):
         key <<= 9
         key[: n - j] |= np.where(left[: n - j] > j, data[j:].astype(np.int64) + 1, 0)
-    array = np.argsort(key, kind="stable")
+    del left
+    array = np.argsort(key, kind="stable").astype(np.int32)
     head = np.ones(n, bool)
     head[1:] = key[array[1:]] != key[array[:-1]]
     del key
-    rank = np.empty(n, np.int64)
-    rank[array] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    text = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    rank = np.empty(n, np.int32)
+    rank[array] = np.maximum.accumulate(np.where(head, np.arange(n, dtype=np.int32), 0))
     step = 7
     while True:
         # Groups of one suffix are in place; the others are refined by the rank ``step`` further on.
         tail = np.append(head[1:], True)
-        open_ = np.flatnonzero(~(head & tail))
+        open_ = np.flatnonzero(~(head & tail)).astype(np.int32)
         if not len(open_):
             return array, rank, ends, data
         suffix = array[open_]
         group = rank[suffix]
-        further = suffix + step
-        inside = further < ends[suffix]
-        second = np.where(inside, rank[np.minimum(further, n - 1)] + len(texts), text[suffix])
-        order = np.argsort(group * (n + len(texts)) + second, kind="stable")
+        further = np.minimum(suffix + np.int32(step), n - 1)
+        second = np.where(suffix + np.int32(step) < ends[suffix], rank[further] + np.int32(len(texts)), text[suffix])
+        del further
+        order = np.argsort(group * np.int64(n + len(texts)) + second, kind="stable").astype(np.int32)
         suffix, group, second = suffix[order], group[order], second[order]
+        del order
         array[open_] = suffix
         fresh = np.ones(len(open_), bool)
         fresh[1:] = (group[1:] != group[:-1]) | (second[1:] != second[:-1])
         head[open_] = fresh
-        rank[suffix] = open_[np.maximum.accumulate(np.where(fresh, np.arange(len(open_)), 0))]
+        rank[suffix] = open_[np.maximum.accumulate(np.where(fresh, np.arange(len(open_), dtype=np.int32), 0))]
         step *= 2
 
 
@@ -172,7 +178,7 @@ def common_prefixes(texts: list[bytes], array: np.ndarray, rank: np.ndarray, end
     Kasai's rule: a suffix one byte on shares at least one byte less. All texts advance in step.
     """
     n = len(data)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[array[1:]] = array[:-1]
     padded = np.append(data, np.zeros(16, np.uint8)).tobytes()
     eight = np.empty(-(-n // 8) * 8, np.uint64)
@@ -209,7 +215,7 @@ def repeated(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
     shared = common_prefixes(texts, array, rank, ends, data, length) >= length
     follow = np.zeros(len(data), bool)
     follow[array[:-1]] = shared[array[1:]]
-    return shared | follow, ~shared & (ends - np.arange(len(data)) >= length)
+    return shared | follow, ~shared & (ends - np.arange(len(data), dtype=np.int32) >= length)
 
 
 def spans_of(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -231,7 +237,7 @@ _FOUND = "id {id}, row bigint, low bigint, high bigint, anchor bigint, part int,
 def _anchors(length: int):
     def only(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces_of([batch], "text", 8 << 20):
+            for piece in pieces_of([batch], "text", _HAND):
                 texts = [t.encode() for t in piece.column("text").to_pylist()]
                 for _, _, _, anchor, _ in runs(texts, length):
                     yield pa.RecordBatch.from_arrays([pa.array(anchor)], names=["anchor"])
@@ -242,7 +248,7 @@ def _anchors(length: int):
 def _all_runs(length: int):
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces_of([batch], "text", 8 << 20):
+            for piece in pieces_of([batch], "text", _HAND):
                 texts = [t.encode() for t in piece.column("text").to_pylist()]
                 for number, start, size, anchor, (first, data) in runs(texts, length):
                     digest = xxhash.xxh3_128_digest
@@ -267,32 +273,28 @@ def _all_runs(length: int):
 
 
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the wanted runs of each document."""
+    """The bytes of the wanted runs of each document, handed on as soon as they are many."""
+    of_run = ("anchor", "part", "shard", "many", "start")
     for batch in batches:
-        rows = {name: [] for name in ("anchor", "part", "shard", "many", "id", "row", "start")}
-        found = []
-        texts, wanted = batch.column("text"), batch.column("wanted")
-        for i in range(batch.num_rows):
-            text = texts[i].as_py().encode()
-            for w in wanted[i].as_py():
-                for name in ("anchor", "part", "shard", "many", "start"):
-                    rows[name].append(w[name])
-                rows["id"].append(batch.column("id")[i].as_py())
-                rows["row"].append(batch.column("row")[i].as_py())
-                found.append(text[w["start"] : w["start"] + w["size"]])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(rows["anchor"], pa.int64()),
-                pa.array(rows["part"], pa.int32()),
-                pa.array(rows["shard"], pa.int32()),
-                pa.array(rows["many"], pa.bool_()),
-                pa.array(rows["id"], batch.schema.field("id").type),
-                pa.array(rows["row"], pa.int64()),
-                pa.array(rows["start"], pa.int64()),
-                pa.array(found, pa.binary()),
-            ],
-            names=["anchor", "part", "shard", "many", "id", "row", "start", "bytes"],
+        schema = pa.schema(
+            [("anchor", pa.int64()), ("part", pa.int32()), ("shard", pa.int32()), ("many", pa.bool_())]
+            + [("id", batch.schema.field("id").type), ("row", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary())]
         )
+        held: list[tuple] = []
+        size = 0
+        for i in range(batch.num_rows):
+            text = batch.column("text")[i].as_py().encode()
+            id_, row, wanted = (batch.column(c)[i] for c in ("id", "row", "wanted"))
+            for w in wanted:
+                anchor, part, shard, many, start = (w[c].as_py() for c in of_run)
+                cut = text[start : start + w["size"].as_py()]
+                held.append((anchor, part, shard, many, id_.as_py(), row.as_py(), start, cut))
+                size += len(cut)
+                if size >= _HAND:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
 def _shard(held: list[pa.RecordBatch], length: int) -> pa.RecordBatch:
@@ -340,7 +342,7 @@ def _shards(length: int, shard_bytes: int):
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            for piece in pieces_of([batch], "bytes", shard_bytes // 4):
+            for piece in pieces_of([batch], "bytes", shard_bytes // 16):
                 # A shard ends with a whole anchor, or a whole share of one that was spread.
                 keys = [piece.column(c).to_numpy() for c in ("anchor", "shard")]
                 if held and size >= shard_bytes:
@@ -444,7 +446,7 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _removed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in pieces_of([batch], "text", 16 << 20):
+        for piece in pieces_of([batch], "text", _HAND):
             texts, spans = piece.column("text").to_pylist(), piece.column("spans").to_pylist()
             columns: list[list] = [[], [], [], [], []]
             for text, of in zip(texts, spans, strict=True):
@@ -492,7 +494,9 @@ def remove_repeats(
     of which only some bytes go, so that it stays a text.
 
     A null text is an empty one; texts shorter than ``length`` stay whole. Repeated rows are copies of
-    each other and lose all they share, with or without an id; an empty table gives no rows.
+    each other and lose all they share, with or without an id; an empty table gives no rows. Very long
+    texts are cut into overlapping pieces; a worker holds some 4 MB of text, or one longer text, and
+    while it sorts a shard about 55 bytes for each of its ``shard_bytes``.
     """
     rows = keyed(docs, id_col, text_col, rest).withColumn("row", row_key(F.col("text")))
     spans = (
