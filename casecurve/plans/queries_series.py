@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from casecurve.functions.tables import register_table_functions
 from casecurve.operators import arima, baseline, evaluate, forecast, risk, series
 from casecurve.operators.sarima_exact import fit_sarima_exact, predict_sarima_exact
-from casecurve.plans import surveillance
+from casecurve.plans import incremental, surveillance
 from casecurve.plans.registry import GLOBAL, GRADE, LINEITEM, ORACLES, ORDERS, query, scan_cte, seasonal_cte, series_ctes
 from casecurve.plans.retrain import retrain_forecasts, stored_forecast
 from casecurve.session import saved_table, scratch_path
@@ -644,6 +644,37 @@ def backtest_metrics_sarima(spark, folder):
     return evaluate.rolling_metrics(orders_monthly(spark, folder), "sarima_backtest")
 
 
+# -- counts kept up to date -------------------------------------------------------------------------
+
+
+def _counted_in_steps(spark, folder):
+    """Orders in three parts: one is first written in part, then another comes, then the first is replaced."""
+    landing, ledger = scratch_path(spark, "landing"), scratch_path(spark, "ledger")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate", "o_orderstatus")
+    part = [orders.where(F.col("o_orderkey") % 3 == i) for i in range(3)]
+
+    def cases(raw):
+        named = raw.withColumns({"series_id": F.col("o_orderpriority"), "event_ts": F.col("o_orderdate")})
+        return series.confirmed_cases(named, "o_orderstatus", "f")
+
+    runs = []
+    for step in ({"a": part[0], "b": part[1].where("o_orderstatus <> 'O'").unionByName(part[2].limit(50))}, {"c": part[2]}, {"b": part[1]}):
+        for name, rows in step.items():
+            rows.write.mode("overwrite").parquet(f"{landing}/{name}")
+        runs.append(incremental.update_counts(spark, landing, ledger, cases))
+    return ledger, runs
+
+
+@query(f"WITH {ORDERS} SELECT * FROM series")
+def counts_kept_up_to_date(spark, folder):
+    return incremental.counted_series(spark, _counted_in_steps(spark, folder)[0])
+
+
+@query(f"WITH {ORDERS}, {GLOBAL} SELECT * FROM overall")
+def baseline_kept_up_to_date(spark, folder):
+    return incremental.current_baselines(spark, _counted_in_steps(spark, folder)[0])[0]
+
+
 # -- files ------------------------------------------------------------------------------------------
 
 
