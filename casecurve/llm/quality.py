@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -135,6 +135,20 @@ def rejected(policy: Policy) -> Column:
     return F.col("failed").bitwiseAND(F.lit(policy.mask).cast("long")) != 0
 
 
+def store_policies(spark: SparkSession, path: str, policies: Iterable[Policy]) -> None:
+    """Adds policies to the table at ``path``, beside the ledger that they are applied to."""
+    named = [(p.version, p.mask, [rule for rule, bit in BIT.items() if p.mask & bit]) for p in policies]
+    spark.createDataFrame(named, "version int, mask bigint, rules array<string>").coalesce(1).write.mode("append").parquet(path)
+
+
+def load_policies(spark: SparkSession, path: str) -> list[Policy]:
+    """The stored policies by version. Two masks under one version are an error: a version is never changed."""
+    found = spark.read.parquet(path).select("version", "mask").distinct().orderBy("version", "mask").collect()
+    if len({r.version for r in found}) < len(found):
+        raise ValueError("a policy version has two masks")
+    return [Policy(r.version, r.mask) for r in found]
+
+
 def ablation(rows: DataFrame, policies: Iterable[Policy], rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Per policy version and rule of its mask: documents that fail it, and that fail no other rule of it.
 

@@ -87,6 +87,23 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    f"""
+WITH ledger AS ({_RULES_SQL}),
+rules(version, mask, rule, bit) AS (VALUES {", ".join(f"({p.version}, {p.mask}, '{name}', {bit})" for p in (quality.BASE, quality.FULL) for name, bit in quality.BIT.items() if p.mask & bit)})
+SELECT version, rule, count(*) FILTER (failed & bit <> 0) AS n_failed, count(*) FILTER (failed & mask = bit) AS n_alone,
+       count(*) FILTER (failed & mask <> 0) AS n_rejected
+FROM ledger, rules GROUP BY version, rule
+"""
+)
+def quality_ablation(spark: SparkSession, folder: str) -> DataFrame:
+    """What each rule of the stored policies rejects, and rejects alone, over the stored ledger of all documents."""
+    path = scratch_path(spark, "policies")
+    quality.store_policies(spark, path, [quality.BASE, quality.FULL])
+    rows = saved_table(quality.ledger(documents(spark, folder)).select("failed"), "ledger")
+    return quality.ablation(rows, quality.load_policies(spark, path))
+
+
 @query()
 def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, folder))

@@ -56,6 +56,16 @@ def test_policies_and_ablation(spark):
     assert not got
 
 
+def test_stored_policies(spark, tmp_path):
+    path = str(tmp_path / "policies")
+    q.store_policies(spark, path, [q.FULL, q.BASE])
+    q.store_policies(spark, path, [q.Policy(7, 4), q.BASE])
+    assert q.load_policies(spark, path) == [q.BASE, q.FULL, q.Policy(7, 4)]
+    q.store_policies(spark, path, [q.Policy(7, 8)])
+    with pytest.raises(ValueError, match="two masks"):
+        q.load_policies(spark, path)
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_shards(spark, clash, tmp_path):
     rows = odd_documents()
