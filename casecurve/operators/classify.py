@@ -127,6 +127,17 @@ def _preprocessing(
     return SQLTransformer(statement=f"SELECT *, {selected} FROM __THIS__"), names
 
 
+def preprocessed(
+    df: DataFrame, keys: Sequence[str], numeric: Sequence[str], categorical: Sequence[str], max_categories: int = MAX_CATEGORIES
+) -> DataFrame:
+    """``keys`` and what the models see of each row: ``{column}_scaled`` numbers and ``{column}_{value}`` flags."""
+    rows = saved_table(df.select(*keys, *numeric, *categorical), "training")
+    values = _value_counts(rows, categorical, max_categories) if categorical else {}
+    projection, features = _preprocessing(rows, numeric, categorical, values)
+    names = [f"{c}_scaled" for c in numeric] + [f"{c}_{v}" for c in categorical for v in kept_categories(list(values[c]))]
+    return projection.transform(rows).select(*keys, *[F.col(f).alias(n) for f, n in zip(features, names)])
+
+
 def _fourier(rows: DataFrame, names: Sequence[str], seed: int, waves: int) -> tuple[list[SQLTransformer], list[str]]:
     """Random Fourier features approximating an RBF kernel with gamma = 1 / (features * variance).
 

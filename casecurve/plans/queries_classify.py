@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from casecurve.functions import dates, numbers
@@ -392,6 +394,87 @@ def stream_fixed_screening(spark, folder):
     return spark.read.parquet(out).drop("gender")
 
 
+def _valid_features(spark, folder):
+    return intake.screening_features(intake.valid_intakes(event_intakes(spark, folder)))
+
+
+@query(f"""WITH {RECORDS},
+middle AS (SELECT median(age) AS a, median(fever_duration) AS f, median(platelet_count) AS p FROM records),
+usual AS (SELECT gender AS g FROM records WHERE gender IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, gender LIMIT 1),
+filled AS (SELECT record_id, coalesce(age, a) AS age, coalesce(fever_duration, f) AS fever, coalesce(platelet_count, p) AS platelets,
+  coalesce(gender, g) AS gender FROM records, middle, usual),
+stats AS (SELECT avg(age) AS am, stddev_pop(age) AS asd, avg(fever) AS fm, stddev_pop(fever) AS fsd, avg(platelets) AS pm, stddev_pop(platelets) AS psd FROM filled)
+SELECT record_id, round_even((age - am) / asd, 6) AS age_scaled, round_even((fever - fm) / fsd, 6) AS fever_duration_scaled,
+  round_even((platelets - pm) / psd, 6) AS platelet_count_scaled, CASE WHEN gender = 'Male' THEN 1.0::double ELSE 0.0::double END AS "gender_Male" FROM filled, stats""")
+def preprocessed_features(spark, folder):
+    """Medians, population scaling, most frequent category and flags, as every classifier gets them."""
+    out = classify.preprocessed(_records(spark, folder, impute=False), ["record_id"], ["age", "fever_duration", "platelet_count"], ["gender"])
+    return out.withColumns({c: F.bround(c, 6) for c in out.columns if c.endswith("_scaled")})
+
+
+@query(f"""WITH {FIXED}
+SELECT event_id, 'Dengue' AS positive, round_even(p, 6) AS score, predicted_disease AS prediction FROM fixed
+UNION ALL SELECT event_id, 'Typhoid', round_even(1.0::double - p, 6), CASE WHEN 1.0::double - p >= 0.5 THEN 'Typhoid' ELSE 'Dengue' END FROM fixed""")
+def fixed_class_scores(spark, folder):
+    """The score points at the class that is named, whichever comes first in the model; one half is enough for it."""
+    valid, out = _valid_features(spark, folder), None
+    for positive in FIXED_MODEL.classes:
+        named = classify.scored(valid, replace(FIXED_MODEL, positive=positive))
+        line = named.select("event_id", F.lit(positive).alias("positive"), F.bround("score", 6).alias("score"), "prediction")
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
+@query(f"""WITH {FIXED} SELECT event_id, 'Dengue' AS class, prob_Dengue AS probability FROM fixed
+UNION ALL SELECT event_id, 'Typhoid', prob_Typhoid FROM fixed""")
+def fixed_probability_map(spark, folder):
+    out = classify.scored(_valid_features(spark, folder), FIXED_MODEL)
+    return out.select("event_id", F.explode("probabilities").alias("class", "probability"))
+
+
+@query(f"""WITH {FIXED} SELECT event_id, predicted_disease, 0.5::double AS prob_Dengue, 0.5::double AS prob_Typhoid FROM fixed""")
+def label_without_probability(spark, folder):
+    """A model that gives labels only reports one half for each class."""
+    plain = replace(FIXED_MODEL, kind="svm_labels")
+    out = classify.with_probability_columns(classify.scored(_valid_features(spark, folder), plain), plain)
+    return out.select("event_id", "predicted_disease", "prob_Dengue", "prob_Typhoid")
+
+
+@query(f"WITH {FIXED} SELECT event_id, predicted_disease FROM fixed")
+def fixed_submission(spark, folder):
+    """Predictions written as a submission file and read back."""
+    path = scratch_path(spark, "submission")
+    out = classify.with_probability_columns(classify.scored(_valid_features(spark, folder), FIXED_MODEL), FIXED_MODEL)
+    stores.write_csv(out.select("event_id", "predicted_disease"), path)
+    return stores.read_csv(spark, path, "event_id bigint, predicted_disease string")
+
+
+@query(f"""WITH {RECORDS},
+m AS (SELECT median(age) AS a, median(fever_duration) AS f, median(skin_manifestation) AS s FROM records),
+whole AS (SELECT disease, coalesce(age, a) AS age, coalesce(fever_duration, f) AS fever, coalesce(skin_manifestation, s) AS skin FROM records, m),
+judged AS (
+  SELECT 'logistic' AS model, disease, CASE WHEN 1.0::double / (1.0::double + exp(-(-0.5::double + 0.015::double * age
+    + -0.03::double * fever + 1.25::double * skin))) >= 0.5 THEN 'Dengue' ELSE 'Typhoid' END AS prediction FROM whole
+  UNION ALL SELECT 'rash', disease, CASE WHEN skin = 1 THEN 'Dengue' ELSE 'Typhoid' END FROM whole
+  UNION ALL SELECT 'short fever', disease, CASE WHEN fever <= 7 THEN 'Dengue' ELSE 'Typhoid' END FROM whole),
+classes AS (
+  SELECT model, c, count(*) FILTER (disease = c) AS s, count(*) FILTER (prediction = c) AS p, count(*) FILTER (disease = c AND prediction = c) AS h
+  FROM judged, (VALUES ('Dengue'), ('Typhoid')) v(c) GROUP BY 1, 2),
+rates AS (SELECT *, CASE WHEN p > 0 THEN h / p ELSE 0 END AS pr, CASE WHEN s > 0 THEN h / s ELSE 0 END AS re, CASE WHEN s + p > 0 THEN 2.0::double * h / (s + p) ELSE 0 END AS f FROM classes)
+SELECT model, round_even(sum(h) / sum(s), 4) AS accuracy, round_even(avg(re) FILTER (s > 0), 4) AS balanced_accuracy, round_even(avg(f), 4) AS macro_f1,
+  round_even(max(pr) FILTER (c = 'Dengue'), 4) AS positive_precision, round_even(max(re) FILTER (c = 'Dengue'), 4) AS positive_recall,
+  round_even(max(f) FILTER (c = 'Dengue'), 4) AS positive_f1 FROM rates GROUP BY model""")
+def compare_closed_form(spark, folder):
+    """Six measures of three classifiers that SQL can follow, side by side."""
+    records = saved_table(_records(spark, folder), "records")
+    skin, fever = F.col("skin_manifestation") == 1, F.col("fever_duration") <= 7
+    lines = [classify.scored(records, FIXED_MODEL).select(F.lit("logistic").alias("model"), "disease", "prediction")]
+    for name, rule in (("rash", skin), ("short fever", fever)):
+        lines.append(records.select(F.lit(name).alias("model"), "disease", F.when(rule, "Dengue").otherwise("Typhoid").alias("prediction")))
+    judged = lines[0].unionByName(lines[1]).unionByName(lines[2])
+    return metrics.overall_scores(judged, "disease", "prediction", "Dengue", groups=["model"])
+
+
 # -- storage --------------------------------------------------------------------------------------
 
 
