@@ -23,10 +23,10 @@ from casecurve.plans.queries_series import (
     orders_monthly,
     peak_alerts,
 )
-from casecurve.plans.registry import GLOBAL, GRADE, ORDERS, query, seasonal_cte, series_ctes
+from casecurve.plans.registry import GLOBAL, GRADE, ORACLES, ORDERS, query, seasonal_cte, series_ctes
 from casecurve.plans.retrain import retrain
 from casecurve.session import saved_table, scratch_path
-from casecurve.sources import stores
+from casecurve.sources import snapshots, stores
 from casecurve.sources.tables import (
     clinical,
     customer_records,
@@ -716,6 +716,16 @@ def stored_alerts(spark, folder):
     return stores.latest(stores.read_store(spark, path, stores.ALERTS_SCHEMA), 50, "created_at", "alert_message").drop("created_at")
 
 
+@query(ORACLES["stored_alerts"])
+def stored_alerts_once(spark, folder):
+    """The same through a store of batches: the alerts are written twice and count once."""
+    path = scratch_path(spark, "outbreak_alerts")
+    alerts = stores.shaped(surveillance.alert_rows(peak_alerts(spark, folder), "National Surveillance", "forecast"), stores.ALERTS_SCHEMA)
+    for _ in range(2):
+        snapshots.write_batch(alerts, path, "2001-08")
+    return stores.latest(snapshots.read_snapshot(spark, path, stores.ALERTS_SCHEMA), 50, "created_at", "alert_message").drop("created_at")
+
+
 @query("""SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, n_name AS city, r_name AS district,
   23.4::double + n_nationkey * 0.5::double AS latitude, 60.5::double + n_nationkey * 0.7::double AS longitude
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from casecurve.operators import regions
 from casecurve.plans.regions import registry
 from casecurve.plans.registry import query, scan_cte
+from casecurve.session import saved_table, scratch_path
 from casecurve.sources.stores import latest
 from casecurve.sources.tables import event_intakes, table
 
@@ -147,3 +148,19 @@ def recent_records(spark, folder):
 @query("SELECT event_id, 'P-' || user_id AS patient_code FROM events WHERE contains(lower('P-' || user_id), 'p-1')")
 def patient_search(spark, folder):
     return regions.search_patients(event_intakes(spark, folder), "p-1").select("event_id", "patient_code")
+
+
+@query(f"""WITH {REGISTRY} SELECT {_PLAIN} FROM regions WHERE contains(lower(name), 'ani') OR contains(lower(province), 'ani')
+  OR contains(lower(dominant_vector), 'ani') OR len(list_filter(sentinel_hospitals, lambda h: contains(lower(h), 'ani'))) > 0""")
+def region_search_indexed(spark, folder):
+    """Free-text search through the trigram index."""
+    known = saved_table(registry(spark, folder), "regions")
+    index = regions.index_regions(known, scratch_path(spark, "index"))
+    return _plain(regions.search_regions(known, "ANI", index))
+
+
+@query("SELECT event_id, 'P-' || user_id AS patient_code FROM events WHERE contains(lower('P-' || user_id), 'p-12')")
+def patient_search_indexed(spark, folder):
+    intakes = event_intakes(spark, folder)
+    index = regions.index_patients(intakes, scratch_path(spark, "index"))
+    return regions.search_patients(intakes, "p-12", index).select("event_id", "patient_code")
