@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from casecurve.functions.geo import map_x, map_y, marker_radius
 from casecurve.operators.joins import prefer_first
+from casecurve.operators.trigrams import Index, build_index, search
 
 
 def _same(column: str, wanted: str | None) -> Column:
@@ -30,20 +31,34 @@ def filter_regions(regions: DataFrame, **filters) -> DataFrame:
     return regions.where(region_condition(**filters))
 
 
-def search_regions(regions: DataFrame, text: str) -> DataFrame:
-    """Regions whose name, province, vector or any hospital contains ``text``, in any casing."""
-    needle = text.lower()
-    if not text.strip():
-        return regions
+def _mentions(needle: str) -> Column:
     found = F.lit(False)
     for column in ("name", "province", "dominant_vector"):
         found = found | F.coalesce(F.lower(column).contains(needle), F.lit(False))
-    hospitals = F.coalesce(F.exists("sentinel_hospitals", lambda h: F.lower(h).contains(needle)), F.lit(False))
-    return regions.where(found | hospitals)
+    return found | F.coalesce(F.exists("sentinel_hospitals", lambda h: F.lower(h).contains(needle)), F.lit(False))
+
+
+def index_regions(regions: DataFrame, path: str, key: str = "id") -> Index:
+    """A trigram index of the texts that ``search_regions`` looks into."""
+    texts = [F.col(c) for c in ("name", "province", "dominant_vector", "sentinel_hospitals")]
+    return build_index(regions, key, texts, path)
+
+
+def search_regions(regions: DataFrame, text: str, index: Index | None = None, key: str = "id") -> DataFrame:
+    """Regions whose name, province, vector or any hospital contains ``text``, in any casing; with an index, the same from fewer rows."""
+    if not text.strip():
+        return regions
+    found = _mentions(text.lower())
+    return regions.where(found) if index is None else search(regions, index, key, text, found)
+
+
+def index_patients(intakes: DataFrame, path: str, key: str = "event_id") -> Index:
+    return build_index(intakes, key, [F.col("patient_code")], path)
 
 
-def search_patients(intakes: DataFrame, text: str) -> DataFrame:
-    return intakes.where(F.lower(F.coalesce("patient_code", F.lit(""))).contains(text.lower()))
+def search_patients(intakes: DataFrame, text: str, index: Index | None = None, key: str = "event_id") -> DataFrame:
+    found = F.lower(F.coalesce("patient_code", F.lit(""))).contains(text.lower())
+    return intakes.where(found) if index is None else search(intakes, index, key, text, found)
 
 
 def region_rollup(regions: DataFrame, condition: Column | None = None, first: str = "Dengue", second: str = "Typhoid") -> DataFrame:
