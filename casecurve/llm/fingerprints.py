@@ -126,18 +126,25 @@ def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``part, guest, id, row, text`` by descending id, split over tasks; each part ends with its successor's first row.
 
     ``id`` must be a number; rows without one come last and rows of one id by descending text hash. The
-    texts are shuffled once: parts are cut at quantiles of the ids, and the first row of a part, of which
-    there are no more than parts, also goes as a guest to the end of the part before (that of the first
-    part to the last). Sorted within partitions.
+    texts are shuffled once: parts are cut at quantiles of the ids, for rows without one at even steps of the
+    text hash, and the first row of a part, of which there are no more than parts, also goes as a guest to
+    the end of the part before (that of the first part to the last). Sorted within partitions.
     """
     n_parts = shuffle_partitions(docs.sparkSession)
+    seen = docs.agg(F.count(F.lit(1)).alias("rows"), F.count(id_col).alias("ids")).first()
+    # As many parts more as rows without an id ask for.
+    unnamed = -(-n_parts * (seen.rows - seen.ids) // seen.rows) if seen.rows else 0
     rows = keyed(docs, id_col, text_col).select("id", row_key(F.col("text")).alias("row"), "text")
     points = docs.select(F.col(id_col).cast("double").alias("id")).approxQuantile("id", [i / n_parts for i in range(1, n_parts)], 0.2 / n_parts)
     inner = sorted({p for p in points if math.isfinite(p)})
     splits = [-math.inf, *(inner or [0.0]), math.inf]
     order = F.coalesce(F.col("id").cast("double"), F.lit(-math.inf))
     placed = Bucketizer(splits=splits, inputCol="order", outputCol="bucket").transform(rows.withColumn("order", order))
-    placed = placed.withColumn("part", (F.lit(len(splits) - 2) - F.col("bucket")).cast("int")).drop("order", "bucket")
+    named = F.lit(len(splits) - 2) - F.col("bucket")
+    # Where the hash lies in its range, by its upper 32 bits.
+    share = (F.shiftright("row", 32) + F.lit(1 << 31)) / F.lit(1 << 32)
+    last = F.lit(len(splits) - 2 + unnamed) - F.floor(share * unnamed)
+    placed = placed.withColumn("part", F.when(F.col("id").isNull(), last).otherwise(named).cast("int")).drop("order", "bucket")
     heads = placed.groupBy("part").agg(F.max(F.struct("id", "row")).alias("head")).orderBy("part").collect()
     targets = [(h.head.id, h.head.row, heads[i - 1].part) for i, h in enumerate(heads)]
     kind = rows.schema["id"].dataType.simpleString()
@@ -148,7 +155,7 @@ def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.concat(own, F.array(F.struct(F.col("target").alias("part"), F.lit(True).alias("guest"))))
     )
     seated = joined.select(F.explode(seats).alias("seat"), "id", "row", "text").select("seat.part", "seat.guest", "id", "row", "text")
-    return seated.repartitionById(n_parts, F.col("part")).sortWithinPartitions("part", "guest", F.col("id").desc_nulls_last(), F.col("row").desc())
+    return seated.repartitionById(n_parts + unnamed, F.col("part")).sortWithinPartitions("part", "guest", F.col("id").desc_nulls_last(), F.col("row").desc())
 
 
 class _Document:
@@ -211,7 +218,8 @@ def compared_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     next document's.
 
     Null texts are empty. A document alone is its own successor. Documents without an id come last; rows
-    of one id follow each other by a hash of their texts. An empty table gives no rows.
+    of one id follow each other by a hash of their texts. An empty table gives no rows. Very long texts are
+    parsed whole; a task holds some 4 MB of texts, or two longer ones.
     """
     ordered = in_order(docs, id_col, text_col).select("part", "guest", "id", "text")
     kind = ordered.schema["id"].dataType.simpleString()

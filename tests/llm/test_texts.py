@@ -68,6 +68,20 @@ def test_compared_with_edits(spark, clash):
         assert r.near_edited == fp.likeness(own, its) and r.near_next == fp.likeness(own, nexts)
 
 
+def test_rows_without_an_id_are_spread(spark):
+    """Half of the rows lack an id: they get parts of their own, in the order of their hashes."""
+    rows = [(i if i % 2 else None, f"text {i} " * (1 + i % 5), "", "", 0) for i in range(3000)]
+    ordered = fp.in_order(frame(spark, rows, partitions=8), "doc_id", "text")
+    parts = Counter(r.part for r in ordered.filter("NOT guest").select("part").collect())
+    assert sum(parts.values()) == 3000 and max(parts.values()) < 2 * 3000 / 8
+    unnamed = [(r.part, -r.row) for r in ordered.filter("id IS NULL AND NOT guest").select("part", "row").collect()]
+    assert len({p for p, _ in unnamed}) >= 4
+    by_hash = sorted(unnamed, key=lambda x: x[1])
+    assert [p for p, _ in by_hash] == sorted(p for p, _ in unnamed)
+    got = Counter((r.doc_id, r.fingerprint) for r in fp.compared_with_edits(frame(spark, rows)).collect())
+    assert got == Counter((r[0], fp.as_text(fp.fingerprint(r[1]))) for r in rows)
+
+
 def test_every_row_is_compared_once(spark):
     rows = odd_documents()
     got = fp.compared_with_edits(frame(spark, rows)).collect()
