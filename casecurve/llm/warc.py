@@ -100,12 +100,15 @@ class BundleReader:
 # -- records ----------------------------------------------------------------------------------------
 
 
+_NO_ID = "<urn:unnamed-page>"
+
+
 def _id(key) -> str:
-    return "<urn:page:>" if key is None else f"<urn:page:{quote(str(key), safe='')}>"
+    return _NO_ID if key is None else f"<urn:page:{quote(str(key), safe='')}>"
 
 
 def _key(uri: str) -> str | None:
-    return unquote(uri[len("<urn:page:") : -1]) or None
+    return None if uri == _NO_ID else unquote(uri[len("<urn:page:") : -1])
 
 
 def record(key, url: str | None, payload: bytes, sha1: str, refers_to, revisit: bool, date: str) -> bytes:
@@ -181,6 +184,7 @@ def write_bundles(
     response, the others revisit it; smaller payloads are all responses. A null payload is an empty one.
     Records of one id and payload are alike: all are responses if their id is the largest. A row without an
     id comes after all ids; rows of equal payloads that all lack one are responses. An empty table writes no bundle.
+    Very long payloads are one record each; a task holds some 16 MB of payloads, or one longer one.
     """
     rows = pages.select(
         F.col(id_col).alias("id"),
@@ -188,12 +192,22 @@ def write_bundles(
         F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("sha1", F.sha1("payload"))
     large = F.octet_length("payload") >= revisit_from
-    heads = (
-        rows.filter(large).groupBy("sha1").agg(F.max("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND head IS NOT NULL")
-    ).select(F.col("sha1").alias("of"), "head")
-    joined = rows.join(heads, (F.col("sha1") == F.col("of")) & large, "left")
+    # Saved, so that both sides of the join are shuffled for it and a payload with very many rows can be split.
+    heads = saved_table(
+        rows.filter(large)
+        .groupBy("sha1")
+        .agg(F.max("id").alias("head"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1 AND head IS NOT NULL")
+        .select(F.col("sha1").alias("of"), "head"),
+        "heads",
+    )
+    # Small payloads, of which very many may be alike, revisit nothing and are not joined.
+    joined = rows.filter(large).join(heads, F.col("sha1") == F.col("of"), "left").drop("of")
+    small = rows.filter(~large).withColumn("head", F.lit(None).cast(rows.schema["id"].dataType))
     revisit = F.col("head").isNotNull() & ~F.col("id").eqNullSafe(F.col("head"))
-    decided = joined.select("id", "url", "payload", "sha1", F.when(revisit, F.col("head")).alias("refers_to"), revisit.alias("revisit"))
+    decided = joined.unionByName(small).select(
+        "id", "url", "payload", "sha1", F.when(revisit, F.col("head")).alias("refers_to"), revisit.alias("revisit")
+    )
     kind = rows.schema["id"].dataType.simpleString()
     write = partial(_write, folder=folder, date=date, frame_bytes=frame_bytes, bundle_bytes=bundle_bytes)
     return saved_table(decided.mapInArrow(write, f"id {kind}, bundle string, frame int, offset bigint, length bigint"), "index")
@@ -237,9 +251,10 @@ def read_records(index: DataFrame) -> DataFrame:
     from their bundles frame by frame. Size and digest are those of the full payload: of a response as
     read, which must be what its headers say; of a revisit, which lacks it, as its headers say."""
     kind = index.schema["id"].dataType.simpleString()
-    # The index is small for what it leads to: a given number of partitions is not gathered into few.
+    # The index is small for what it leads to: a given number of partitions is not gathered into few. Ranges
+    # keep a bundle's frames together, so that few tasks open it and read its seek table.
     n_parts = shuffle_partitions(index.sparkSession)
-    placed = index.select("bundle", "frame", "offset", "length").repartition(n_parts, "bundle", "frame")
+    placed = index.select("bundle", "frame", "offset", "length").repartitionByRange(n_parts, "bundle", "frame")
     placed = placed.sortWithinPartitions("bundle", "frame", "offset")
     schema = "key string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, payload binary"
     found = placed.mapInArrow(_read, schema)

@@ -50,6 +50,40 @@ def test_warc(spark, tmp_path, clash, frame_bytes, bundle_bytes):
         assert whole.startswith(b"WARC/1.1\r\n") and whole.endswith(b"\r\n\r\n")
 
 
+SPLITTING = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def test_a_hot_payload_and_many_empty_ones_are_spread(spark, tmp_path):
+    """Half of all rows share one payload, a quarter has none: no task writes much more than its share."""
+    hot = "<p>" + "".join(random.Random(1).choice("abcdefgh ") for _ in range(3000)) + "</p>"
+    rows = [(i, f"u{i}", hot if i % 2 else None if i % 4 else f"{i} " * 400) for i in range(4000)]
+    before = {k: spark.conf.get(k, None) for k in SPLITTING}
+    try:
+        for k, v in SPLITTING.items():
+            spark.conf.set(k, v)
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(32)
+        index = warc.write_bundles(df, str(tmp_path / "w"))
+        per_task = Counter(r.bundle for r in index.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert sum(per_task.values()) == 4000 and max(per_task.values()) < 700
+    got = Counter((r.record_type, r.refers_to) for r in warc.read_records(index).collect())
+    assert got == Counter({("response", None): 2001, ("revisit", 3999): 1999})
+
+
+def test_ids_that_look_like_none(spark, tmp_path):
+    rows = [("", "u", "a"), (None, "u", "b"), (" ", "u", "c"), ("<x>", "u", "d")]
+    index = warc.write_bundles(spark.createDataFrame(rows, "page_id string, url string, html string"), str(tmp_path / "w"))
+    assert {(r.id, r.payload.decode()) for r in warc.read_records(index).collect()} == {(k, h) for k, _, h in rows}
+
+
 @pytest.mark.parametrize("stored", [b"abcd", b"abc", b"abXd", b"abcde"])
 def test_payloads_are_measured(tmp_path, stored):
     data = warc.record(1, "u", b"abcd", hashlib.sha1(b"abcd").hexdigest(), None, False, "1970-01-01T00:00:00Z")
