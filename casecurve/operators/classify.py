@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from casecurve.functions.numbers import lenient_double
 from casecurve.operators.features import MAX_CATEGORIES, kept_categories
+from casecurve.operators.kernel_svm import LANDMARKS, KernelMachine, fit_kernel_machine
 from casecurve.operators.logistic_folds import fit_logistic_folds, score_logistic_folds
 from casecurve.operators.metrics import best_threshold, overall_scores, score_areas
 from casecurve.operators.quantiles import medians
@@ -51,7 +52,7 @@ PARALLEL_FITS = 8
 class Classifier:
     """A fitted pipeline with what is needed to turn its scores into decisions."""
 
-    model: PipelineModel | FixedLogistic
+    model: PipelineModel | FixedLogistic | KernelMachine
     classes: list[str]
     numeric: list[str]
     categorical: list[str]
@@ -197,6 +198,7 @@ def train_classifier(
     fourier_features: int = FOURIER_FEATURES,
     max_categories: int = MAX_CATEGORIES,
     min_instances: int = 1,
+    landmarks: int = LANDMARKS,
     saved: bool = False,
 ) -> Classifier:
     """Fits one classifier with class-balanced weights.
@@ -204,7 +206,8 @@ def train_classifier(
     ``fourier_features`` sets how closely the RBF kernel of the SVM is met. ``max_categories`` bounds the
     values of a category or label, each of which becomes a feature or class; more raise an error.
     ``min_instances`` is the least number of rows on each side of a split of a tree; Spark has no control
-    over the rows needed to try a split at all, of which this is the nearest relation. The rows are read
+    over the rows needed to try a split at all, of which this is the nearest relation. ``svm_rbf`` is the kernel
+    machine itself, spanned by ``landmarks`` training rows; it is not stored by ``save_classifier``. The rows are read
     several times and written once for it, unless they are ``saved`` (or parts of a saved table) already.
     """
     rows = train.select(*numeric, *categorical, label).where(F.col(label).isNotNull())
@@ -217,6 +220,9 @@ def train_classifier(
     number, weight = (F.create_map(*[F.lit(v) for c in classes for v in (c, by_class[c][j])]) for j in (0, 1))
     rows = rows.withColumns({"_y": number[F.col(label).cast("string")], "weight": weight[F.col(label).cast("string")]})
     projection, names = _preprocessing(rows, numeric, categorical, values)
+    if kind == "svm_rbf":
+        machine = fit_kernel_machine(rows, [projection], names, counts, landmarks=landmarks)
+        return Classifier(machine, classes, list(numeric), list(categorical), kind, positive)
     stages: list = [projection]
     if kind.startswith("svm"):
         waves, names = _fourier(projection.transform(rows), names, seed, fourier_features)
@@ -250,7 +256,7 @@ def scored(df: DataFrame, classifier: Classifier) -> DataFrame:
     i = _class_index(classifier, positive)
     if classifier.has_probability:
         score: Column = F.element_at("_shares", i + 1)
-    elif "rawPrediction" in out.columns and classifier.kind == "svm":
+    elif "rawPrediction" in out.columns and classifier.kind in ("svm", "svm_rbf"):
         score = F.element_at(vector_to_array("rawPrediction"), i + 1)
     else:
         score = (chosen == positive).cast("double")

@@ -243,6 +243,23 @@ def svm_rff_score(spark, folder):
     return classify.scored(valid, fitted).select("event_id", F.bround("score", 4).alias("score"), "prediction")
 
 
+@query()
+def svm_rbf_score(spark, folder):
+    """Decisions of the kernel machine on 64 landmarks, for the named class."""
+    fitted = classify.train_classifier(_records(spark, folder), "disease", NUMERIC, CATEGORICAL, "svm_rbf", "Dengue", landmarks=64)
+    return classify.scored(_valid_features(spark, folder), fitted).select("event_id", F.bround("score", 3).alias("score"), "prediction")
+
+
+@query()
+def svm_rbf_multiclass(spark, folder):
+    """Ten classes, each against the rest, in the same passes."""
+    rows = table(spark, folder, "embeddings").select(
+        "vec_id", F.col("label").cast("string").alias("label"), *[c.alias(f"e{i}") for i, c in enumerate(_dims())]
+    )
+    fitted = classify.train_classifier(rows, "label", [f"e{i}" for i in range(64)], [], "svm_rbf", landmarks=64)
+    return classify.scored(rows, fitted).select("vec_id", "prediction")
+
+
 @query()
 def tuned_forest_metrics(spark, folder):
     """Threshold from out-of-fold scores, then test metrics, as one row."""
