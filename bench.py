@@ -46,6 +46,12 @@ HEADLINE = [
     "tuned_forest_metrics",
     "model_compare",
     "retrain_all",
+    "sarima_exact_forecast",
+    "trend_yearly_forecast",
+    "logistic_cross_validation",
+    "stream_complete_windows",
+    "patient_search_indexed",
+    "counts_kept_up_to_date",
 ]
 
 

@@ -243,6 +243,13 @@ def svm_rff_score(spark, folder):
     return classify.scored(valid, fitted).select("event_id", F.bround("score", 4).alias("score"), "prediction")
 
 
+@query()
+def forest_min_instances(spark, folder):
+    """A forest whose splits leave at least five rows on each side."""
+    fitted = classify.train_classifier(_records(spark, folder), "disease", NUMERIC, CATEGORICAL, "forest", "Dengue", min_instances=5)
+    return classify.scored(_valid_features(spark, folder), fitted).select("event_id", F.bround("score", 4).alias("score"), "prediction")
+
+
 @query()
 def svm_rbf_score(spark, folder):
     """Decisions of the kernel machine on 64 landmarks, for the named class."""
