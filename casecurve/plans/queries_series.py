@@ -506,12 +506,10 @@ def trend_flat_forecast(spark, folder):
 
 @query()
 def trend_parameters(spark, folder):
-    """Where and how much the slope of each series changes."""
-    params = saved_table(evaluate.halves("trend_yearly").fit(orders_monthly(spark, folder), ["series_id"], "month"), "params")
-    at = F.explode(F.arrays_zip("places", "changes")).alias("c")
-    return params.select("series_id", "scale", at).where("c.changes <> 0").select(
-        "series_id", F.bround("c.places", 4).alias("place"), F.bround(F.col("scale") * F.col("c.changes"), 3).alias("slope_change")
-    )
+    """Level, slope and noise of each series' trend, and how many of its slope changes are not zero."""
+    params = evaluate.halves("trend_yearly").fit(orders_monthly(spark, folder), ["series_id"], "month")
+    scaled = [F.bround(F.col("scale") * F.col(c), 3).alias(c) for c in ("level", "slope", "sigma")]
+    return params.select("series_id", *scaled, F.size(F.filter("changes", lambda d: d != 0)).alias("n_changes"))
 
 
 @query()
