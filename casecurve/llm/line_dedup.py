@@ -40,8 +40,8 @@ def line_dedup(
 
     A null text is an empty one; an empty text is one empty line. Rows of the same id are one document: a
     line they share is counted once. A row without an id is returned unchanged and lends no line to the
-    count. If all lines go, the text is empty. An empty table gives an empty result; further columns of
-    the input are ignored.
+    count. If all lines go, the text is empty. A very long text is one row; of its lines only hashes and
+    positions move. An empty table gives an empty result; further columns of the input are ignored.
     """
     rows = keyed(docs, id_col, text_col, rest).withColumn("row", row_key(F.col("text")))
     key = line_key(F.col("line"))

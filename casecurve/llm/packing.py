@@ -173,7 +173,8 @@ def packed(
 
     A null text is an empty document, which has its end id. Rows without a source share a queue; rows
     without an id and repeated rows are packed like any other. Documents keep the order in which their part
-    of the input is read. An empty table gives no rows.
+    of the input is read. A very long text is encoded whole by one task and cut into as many pieces as it
+    fills sequences. An empty table gives no rows.
     """
     tokens = tokenized(docs, tokenizer or byte_bpe_path(), id_col, text_col, source_col, end_id)
     kind = tokens.schema["id"].dataType.simpleString()

@@ -166,7 +166,8 @@ def encoded(
     added up per word. ``common`` bounds the table of common words; it changes speed, not results.
 
     A null or empty text has no ids; repeated rows come out as often as they went in; an empty table gives
-    no rows.
+    no rows. A very long text is one row wherever its words are put together again; a word of any length
+    goes through the lattice in overlapping stretches and blocks of places.
     """
     spark = docs.sparkSession
     vocabulary = Vocabulary.of(model)

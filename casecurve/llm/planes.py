@@ -180,7 +180,8 @@ def write_ids(
 
     ``start`` is the number of ids in all earlier files. A null text has the end id alone. Documents
     without an id come first; rows of one id are ordered by a hash of their texts, and equal rows are
-    written as often as they occur. An empty table writes no file.
+    written as often as they occur. A very long text is encoded whole by one task and its ids may cross
+    chunks. An empty table writes no file.
     """
     if unit not in ("byte", "bit"):
         raise ValueError("planes are of bytes or bits")

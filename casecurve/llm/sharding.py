@@ -118,7 +118,8 @@ def shard_documents(
     records are placed by the map read back. A path that holds such versions of another map is an error.
 
     A null text counts as empty; records without an id are placed by their text; records of one id
-    share a slot, equal ones take places beside each other. An empty table gives no rows.
+    share a slot, equal ones take places beside each other. Of a text, however long, only size and checksum
+    are kept. An empty table gives no rows.
     """
     spark = docs.sparkSession
     records = measured(docs, id_col, text_col, len(slot_map.shard) if slot_map else n_slots)

@@ -226,7 +226,8 @@ def near_duplicates(
 
     A null or empty text has the fingerprint 0 and is linked like any other. Repeated rows come out as
     often as they went in. A row without an id belongs to its component but never names it, unless no row
-    of it has an id (then the component is null). An empty table gives no rows.
+    of it has an id (then the component is null). A very long text is hashed whole by one task, and only
+    its fingerprint goes further. An empty table gives no rows.
     """
     marked = saved_table(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     head = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("head")

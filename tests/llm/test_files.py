@@ -141,7 +141,6 @@ class Kept:
 def test_written_ids(spark, tmp_path, clash, unit, chunk):
     rows = odd_documents()
     plain = Tokenizer.from_file(tokens.byte_bpe_path())
-    plain.encode_special_tokens = True
     files = planes.write_ids(frame(spark, rows, clash), str(tmp_path / "p"), chunk=chunk, unit=unit)
     got = planes.read_ids(files, "bigint").collect()
     texts = Counter()
