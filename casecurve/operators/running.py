@@ -55,17 +55,24 @@ def running_totals(
     Rows of one order value stay in one slice: count them first if they may be very many.
     """
     wanted = slices or min(MOST_SLICES, max(1, -(-df.count() // slice_rows)))
+    if wanted == 1:
+        all_rows = Window.partitionBy(F.lit(0)).orderBy(_ordered(order, descending))
+        return df.withColumns({f"{c}_upto": F.sum(c).over(all_rows) for c in sums})
     # Slices only need a monotone number; inside them rows are ordered by the value itself.
     df = df.withColumn("_by", F.col(order).cast("double"))
-    points = df.approxQuantile("_by", [i / wanted for i in range(1, wanted)], 1 / (4 * wanted)) if wanted > 1 else []
+    points = df.approxQuantile("_by", [i / wanted for i in range(1, wanted)], 1 / (4 * wanted))
     inner = sorted({p for p in points if math.isfinite(p)})
     bounds = [-math.inf, *(inner or [0.0]), math.inf]
     cut = Bucketizer(splits=bounds, inputCol="_by", outputCol="_slice").transform(df)
     sliced = cut.withColumn("_slice", F.col("_slice").cast("int"))
 
-    # One row for each slice, saved: the levels above and the join read it, and its size decides the join.
-    totals = saved_table(sliced.groupBy("_slice").agg(*[F.sum(c).alias(c) for c in sums]), "slices")
-    shifted = saved_table(offsets(totals, len(bounds) - 1, sums, descending), "offsets")
+    totals = sliced.groupBy("_slice").agg(*[F.sum(c).alias(c) for c in sums])
+    if len(bounds) - 1 <= BLOCK:
+        # A row for each slice, so at most BLOCK of them.
+        shifted = F.broadcast(offsets(totals, len(bounds) - 1, sums, descending))
+    else:
+        # Several levels read the totals, and their size decides the join.
+        shifted = saved_table(offsets(saved_table(totals, "slices"), len(bounds) - 1, sums, descending), "offsets")
     within = Window.partitionBy("_slice").orderBy(_ordered(order, descending))
     joined = sliced.join(shifted, "_slice")
     return joined.withColumns({f"{c}_upto": F.col(f"_{c}") + F.sum(c).over(within) for c in sums}).drop(
