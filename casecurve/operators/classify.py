@@ -145,7 +145,8 @@ def preprocessed(
 def _fourier(rows: DataFrame, names: Sequence[str], seed: int, waves: int) -> tuple[list[SQLTransformer], list[str]]:
     """Random Fourier features approximating an RBF kernel with gamma = 1 / (features * variance).
 
-    All waves come from one array expression: separate formulas would outgrow generated code.
+    All waves come from one array expression: separate formulas would outgrow generated code. Its lambda is not
+    generated code but walked, so a wave's product is written out: array functions would walk it number by number.
     """
     # The variance of all features together, from their own means and variances.
     parts = rows.agg(*[f(n) for n in names for f in (F.avg, F.var_pop)]).first()
@@ -157,9 +158,9 @@ def _fourier(rows: DataFrame, names: Sequence[str], seed: int, waves: int) -> tu
     shifts = rng.uniform(0, 2 * np.pi, size=waves)
     scale = float(np.sqrt(2.0 / waves))
     lines = [
-        f"named_struct('w', array({', '.join(_number(w) for w in row)}), 'b', {_number(b)})" for row, b in zip(weights, shifts)
+        f"named_struct('b', {_number(b)}, {', '.join(f"'w{i}', {_number(w)}" for i, w in enumerate(row))})" for row, b in zip(weights, shifts)
     ]
-    product = f"aggregate(zip_with(l.w, array({', '.join(names)}), (a, x) -> a * x), l.b, (total, term) -> total + term)"
+    product = " + ".join(["l.b", *[f"l.w{i} * {n}" for i, n in enumerate(names)]])
     projected = SQLTransformer(
         statement=f"SELECT *, transform(array({', '.join(lines)}), l -> {_number(scale)} * cos({product})) AS _waves FROM __THIS__"
     )

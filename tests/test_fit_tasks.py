@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,3 +32,17 @@ def test_one_file_of_rows_is_fitted_by_several_tasks(spark, monkeypatch, kind):
     assert fitted_on == [[10_000, 10_000]]
     right = classify.scored(rows, fitted).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
     assert right > 0.95
+
+
+def test_waves_against_numpy(spark):
+    x = np.random.default_rng(1).normal(size=(50, 3))
+    df = spark.createDataFrame([[float(v) for v in r] for r in x], "a double, b double, c double").coalesce(1)
+    stages, columns = classify._fourier(df, ["a", "b", "c"], 7, 5)
+    out = df
+    for s in stages:
+        out = s.transform(out)
+    rng = np.random.RandomState(7)
+    gamma = 1.0 / (3 * x.var())
+    weights, shifts = rng.normal(scale=np.sqrt(2 * gamma), size=(5, 3)), rng.uniform(0, 2 * np.pi, size=5)
+    got = np.array(out.select(*columns).collect())
+    assert got == pytest.approx(np.sqrt(2 / 5) * np.cos(x @ weights.T + shifts), abs=1e-12)
