@@ -5,24 +5,36 @@ word, so the best segmentation of a text is that of its words. A word's lattice
 substrings up to the longest piece are exploded and equi-joined to the piece table, the edges that are left
 are grouped by word, and Viterbi is a fold over the places of the word with ``aggregate``.
 
-The commonest words, a fixed number of at most 64 bytes each, found by counting all such words, are encoded once
-and looked up in a broadcast table, which so has a bound in bytes; every other word goes through the lattice where its document is. Texts
-are shuffled once, by document, and all later grouping keeps to that partitioning.
+The commonest words, a fixed number of at most 64 bytes each, found by counting, go through the
+lattice once, all tasks sharing them, and are saved: a table with a bound in bytes, which every Python worker reads.
+Texts stay where they lie: no shuffle carries them or their words' places. Each is put together from the saved
+words; its other words are segmented there and then, by the same Viterbi over the same edges.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from casecurve.llm.common import keyed, row_key, saved_table
+from casecurve.llm.common import keyed, pieces_of, saved_table
+from casecurve.llm.files import opened
 
 MARK = "▁"
 COMMON_WORDS = 1 << 18
 COMMON_BYTES = 64
 _STEP = 256
+# Other words that a worker remembers before it forgets them all, and the bytes of text it takes at a time.
+_REMEMBERED = 1 << 16
+_SLICE = 1 << 23
 
 
 def piece_bpe_path() -> str:
@@ -153,6 +165,90 @@ def best_path(places: DataFrame, keys: list[str], vocabulary: Vocabulary) -> Dat
     return solved.select(*keys, F.expr(back).alias("ids"))
 
 
+class _Segmented(dict):
+    """The ids of words as 32-bit integers: those given, and of any other word by Viterbi, remembered for a while.
+
+    Edges, scores, order of sums and ties are those of ``lattice`` and ``best_path``.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, known: dict[str, bytes]) -> None:
+        super().__init__(known)
+        self.vocabulary, self.unknown_score = vocabulary, vocabulary.unknown_score
+        self.remembered: dict[str, bytes] = {}
+        # The pieces by their characters: score and ids of a beginning, and how it goes on. One that is no piece never
+        # scores best, but a character alone always has an edge.
+        self.beginnings: dict[str, list] = {}
+        for number, text, score in vocabulary.pieces:
+            node = self.beginnings.setdefault(text[0], None) or self._alone(text[0])
+            self.beginnings[text[0]] = node
+            for c in text[1:]:
+                node = node[2].setdefault(c, [-np.inf, b"", {}])
+            node[:2] = score, np.int32(number).tobytes()
+
+    def _alone(self, char: str) -> list:
+        first = self.vocabulary.bytes_from
+        ids = [self.vocabulary.unknown] if first is None else [first + b for b in char.encode()]
+        return [self.unknown_score, np.array(ids, np.int32).tobytes(), {}]
+
+    def _best(self, word: str) -> bytes:
+        """Of equal scores the edge that starts first wins."""
+        n = len(word)
+        best, starts, chosen = [0.0] + [-np.inf] * n, [0] * (n + 1), [b""] * (n + 1)
+        for start in range(n):
+            base, end = best[start], start + 1
+            node = self.beginnings.get(word[start]) or self._alone(word[start])
+            while True:
+                score = base + node[0]
+                if score > best[end]:
+                    best[end], starts[end], chosen[end] = score, start, node[1]
+                if end == n or (node := node[2].get(word[end])) is None:
+                    break
+                end += 1
+        ids, at = [], n
+        while at:
+            ids.append(chosen[at])
+            at = starts[at]
+        return b"".join(ids[::-1])
+
+    def __missing__(self, word: str) -> bytes:
+        if (ids := self.remembered.get(word)) is None:
+            ids = self._best(word)
+            if len(word) <= COMMON_BYTES:
+                if len(self.remembered) >= _REMEMBERED:
+                    self.remembered.clear()
+                self.remembered[word] = ids
+        return ids
+
+
+class WordEncoder:
+    """The ids of a text from those of its words, of which some are known."""
+
+    def __init__(self, vocabulary: Vocabulary, known: dict[str, bytes]) -> None:
+        self.ids = _Segmented(vocabulary, known)
+        alone = not any("\n" in text for _, text, _ in vocabulary.pieces)
+        self.words = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a whole text as 32-bit integers."""
+        if not text:
+            return b""
+        return b"".join(map(self.ids.__getitem__, self.words.findall(MARK + text.replace(" ", MARK))))
+
+
+@lru_cache(maxsize=1)
+def _word_encoder(vocabulary: Vocabulary, files: tuple[str, ...]) -> WordEncoder:
+    """One encoder per Python worker, with the saved words of these files."""
+    known: dict[str, bytes] = {}
+    for path in files:
+        with opened(path) as f:
+            for batch in pq.ParquetFile(f).iter_batches(columns=["word", "ids"]):
+                lists = batch.column("ids")
+                ids, ends = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32), np.cumsum(lists.value_lengths().to_numpy())
+                for word, start, end in zip(batch.column("word").to_pylist(), [0, *ends[:-1]], ends):
+                    known[word] = ids[start:end].tobytes()
+    return WordEncoder(vocabulary, known)
+
+
 def encoded(
     docs: DataFrame,
     model: str,
@@ -166,40 +262,35 @@ def encoded(
     added up per word. ``common`` bounds the table of common words; it changes speed, not results.
 
     A null or empty text has no ids; repeated rows come out as often as they went in; an empty table gives
-    no rows. A very long text is one row wherever its words are put together again; a word of any length
-    goes through the lattice in overlapping stretches and blocks of places.
+    no rows. A very long text is one row and is encoded in one task, word by word.
     """
     spark = docs.sparkSession
     vocabulary = Vocabulary.of(model)
     pieces = saved_table(vocabulary.table(spark).coalesce(1), "pieces")
-    rows = keyed(docs, id_col, text_col).select(
-        "id", "text", row_key(F.col("text")).alias("row"), F.concat(F.when(F.col("id").isNull(), "-").otherwise("+"), F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("key")
-    )
-    every = rows.select(F.explode(words(F.col("text"), vocabulary)).alias("word"))
-    counts = every.filter(F.octet_length("word") <= COMMON_BYTES).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    rows = keyed(docs, id_col, text_col).select("id", "text")
+    # Cutting at single spaces is cheap, and few of these parts hold more words. After a run of spaces a word is counted
+    # with one mark; that, too, only chooses which words are looked up.
+    parts = rows.select(F.explode(F.split("text", " ")).alias("part"))
+    one = F.array(F.concat(F.lit(MARK), "part"))
+    every = parts.select(F.explode(F.when(F.instr("part", "\n") > 0, words(F.col("part"), vocabulary)).otherwise(one)).alias("word"))
+    counts = every.filter(F.octet_length("word").between(1, COMMON_BYTES)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     first_words = counts.filter("n > 1").orderBy(F.desc("n"), "word").limit(common)
     often = saved_table(first_words.select(F.monotonically_increasing_id().alias("number"), "word"), "common")
     solved_often = best_path(lattice(often.repartition("number"), ["number"], vocabulary, pieces), ["number"], vocabulary)
     known = saved_table(often.join(solved_often, "number").select("word", "ids"), "known")
-
-    own = rows.groupBy("key", "row").agg(F.first("id").alias("id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
-    # Rows of words carry no text; it is joined to them again from the same shuffle.
-    parts = own.select("key", "row", "id", "n", F.posexplode(words(F.col("text"), vocabulary)).alias("pos", "word"))
-    looked_up = parts.join(F.broadcast(known.withColumnRenamed("ids", "known")), "word", "left")
-    found = F.collect_list(F.when(F.col("known").isNotNull(), F.struct("pos", F.col("known").alias("ids"))))
-    common_part = looked_up.groupBy("key", "row").agg(F.first("id").alias("common_id"), F.first("n").alias("common_n"), found.alias("found"))
-    # All parts read the same columns of ``own``, so that one shuffle of the texts serves them.
-    keys = ["key", "row", "id", "n", "pos"]
-    rare = looked_up.filter("known IS NULL AND word IS NOT NULL").select(*keys, "word")
-    solved = best_path(lattice(rare, keys, vocabulary, pieces), keys, vocabulary)
-    rest = F.collect_list(F.struct("pos", "ids")).alias("rest")
-    rare_part = solved.groupBy("key", "row").agg(F.first("id").alias("rare_id"), F.first("n").alias("rare_n"), rest)
-    none = F.array().cast("array<struct<pos:int,ids:array<int>>>")
-    joined = own.join(common_part, ["key", "row"], "left").join(rare_part, ["key", "row"], "left")
-    ids = F.flatten(F.transform(F.sort_array(F.concat(F.coalesce("found", none), F.coalesce("rest", none))), lambda w: w["ids"]))
-    copies = F.expr("array_repeat(0, cast(coalesce(rare_n, common_n, n) as int))")
-    out = joined.select(F.coalesce("rare_id", "common_id", "id").alias(id_col), "text", ids.alias("ids"), F.explode(copies).alias("copy"))
-    return out.drop("copy")
+    files = tuple(known.inputFiles())
+
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _word_encoder(vocabulary, files)
+        for batch in pieces_of(batches, "text", _SLICE):
+            ids = [encoder.encode(text) for text in batch.column("text").to_pylist()]
+            ends = np.cumsum([0, *(len(i) // 4 for i in ids)])
+            numbers = pa.array(np.frombuffer(b"".join(ids), np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), numbers)
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["id", "text", "ids"])
+
+    schema = StructType([*rows.schema.fields, StructField("ids", ArrayType(IntegerType()))])
+    return rows.mapInArrow(encode, schema).select(F.col("id").alias(id_col), "text", "ids")
 
 
 def decoded(ids: Column, vocabulary: Vocabulary) -> Column:

@@ -180,6 +180,23 @@ def test_common_words_are_short(spark, monkeypatch):
     assert {r.doc_id: r.ids for r in got} == {i: ids_by_hand(t) for i, t in enumerate(texts)}
 
 
+def test_no_text_is_shuffled(spark):
+    rows = [(i, f"one two three {i}", "en", "", 1) for i in range(20)]
+    out = pc.encoded(spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string"), pc.piece_bpe_path())
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: r.ids for r in out.collect()} == {d: ids_by_hand(t) for d, t, *_ in rows}
+
+
+def test_word_encoder(monkeypatch):
+    monkeypatch.setattr(pc, "_REMEMBERED", 3)
+    encoder = pc.WordEncoder(VOCABULARY, {"▁the": np.int32([7]).tobytes()})
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(["an", "é", "zx", " ", "  ", "▁", "\n", "\t", "ing", "中", "𝄞", "\u200b"]) for _ in range(30)) for _ in range(200)]
+    for text in ["", " ", "\n", "a\n", "\n\n a", "a  \n", *texts]:
+        assert np.frombuffer(encoder.encode(text), np.int32).tolist() == ids_by_hand(text)
+    assert np.frombuffer(encoder.encode("a the"), np.int32).tolist() == [*ids_by_hand("a"), 7] and len(encoder.ids.remembered) <= 3
+
+
 def test_no_segmentation_of_the_library_scores_higher():
     score = {i: s for i, _, s in VOCABULARY.pieces}
     with open(pc.piece_bpe_path(), "rb") as f:
