@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from casecurve.functions.numbers import lenient_double
 from casecurve.operators.features import MAX_CATEGORIES, kept_categories
+from casecurve.operators.forest import GrownForest, grow_forest
 from casecurve.operators.kernel_svm import LANDMARKS, KernelMachine, fit_kernel_machine
 from casecurve.operators.logistic_folds import fit_logistic_folds, score_logistic_folds
 from casecurve.operators.metrics import best_threshold, overall_scores, score_areas
@@ -49,13 +50,15 @@ PARALLEL_FITS, PARALLEL_LARGE_FITS = 8, 2
 # Training rows that are worth a task of their own, and those of a task at most: a forest of 300 trees keeps some
 # 1.3 KB in memory for each.
 TASK_ROWS_LEAST, TASK_ROWS_MOST = 1 << 14, 1 << 18
+# Forests nearly without a bound on their depth, with their trees; those of more rows than this are grown node by node.
+DEEP_FORESTS, GROWN_ROWS_LEAST = {"forest_study": STUDY_FOREST_TREES, "forest_climate": CLIMATE_FOREST_TREES}, 2 * TASK_ROWS_LEAST
 
 
 @dataclass
 class Classifier:
     """A fitted pipeline with what is needed to turn its scores into decisions."""
 
-    model: PipelineModel | FixedLogistic | KernelMachine
+    model: PipelineModel | FixedLogistic | KernelMachine | GrownForest
     classes: list[str]
     numeric: list[str]
     categorical: list[str]
@@ -230,7 +233,8 @@ def train_classifier(
     ``min_instances`` is the least number of rows on each side of a split of a tree; Spark has no control
     over the rows needed to try a split at all, of which this is the nearest relation. ``svm_rbf`` is the kernel
     machine itself, spanned by ``landmarks`` training rows; it is not stored by ``save_classifier``. The rows are read
-    several times and written once for it, unless they are ``saved`` (or parts of a saved table) already.
+    several times and written once for it, unless they are ``saved`` (or parts of a saved table) already. Deep forests of
+    many rows are grown by ``grow_forest``, as Spark ML sends sums of every node from every task.
     """
     rows = train.select(*numeric, *categorical, label).where(F.col(label).isNotNull())
     rows = rows if saved else saved_table(rows, "training")
@@ -245,6 +249,10 @@ def train_classifier(
     if kind == "svm_rbf":
         machine = fit_kernel_machine(rows, [projection], names, counts, landmarks=landmarks)
         return Classifier(machine, classes, list(numeric), list(categorical), kind, positive)
+    if kind in DEEP_FORESTS and n > GROWN_ROWS_LEAST:
+        weights = [by_class[c][1] if kind == "forest_study" else 1.0 for c in classes]
+        forest = grow_forest(rows, projection, names, weights, DEEP_FORESTS[kind], STUDY_FOREST_DEPTH, seed, min_instances)
+        return Classifier(forest, classes, list(numeric), list(categorical), kind, positive)
     stages: list = [projection]
     if kind.startswith("svm"):
         waves, names = _fourier(projection.transform(rows), names, seed, fourier_features)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casecurve.operators.classify import Classifier
+from casecurve.operators.forest import GrownForest
 
 
 class NoModel(Exception):
@@ -32,7 +33,10 @@ def save_classifier(spark: SparkSession, classifier: Classifier, *paths: str) ->
         "metrics": classifier.metrics,
     }
     for path in paths:
-        classifier.model.write().overwrite().save(f"{path}/pipeline")
+        if isinstance(classifier.model, GrownForest):
+            about["forest"] = classifier.model.stored(spark, f"{path}/forest")
+        else:
+            classifier.model.write().overwrite().save(f"{path}/pipeline")
         row = spark.range(1).select(F.lit(json.dumps(about)).alias("about"))
         row.write.mode("overwrite").parquet(f"{path}/about")
 
@@ -42,7 +46,9 @@ def load_classifier(spark: SparkSession, path: str) -> Classifier:
     if row is None:
         raise NoModel(f"{path}/about is empty")
     about = json.loads(row["about"])
-    return Classifier(model=PipelineModel.load(f"{path}/pipeline"), **about)
+    forest = about.pop("forest", None)
+    model = GrownForest.loaded(forest, f"{path}/forest") if forest else PipelineModel.load(f"{path}/pipeline")
+    return Classifier(model=model, **about)
 
 
 def load_or_train(spark: SparkSession, paths: Sequence[str], train: Callable[[], Classifier]) -> Classifier:
