@@ -45,8 +45,9 @@ LOGISTIC_ITERATIONS = 2000
 DEFAULT_THRESHOLD = 0.5
 FOURIER_FEATURES = 64
 SVM_TOLERANCE = 1e-3
-# Independent fits sent to the cluster at the same time: small ones, and those whose rows fill all cores.
-PARALLEL_FITS, PARALLEL_LARGE_FITS = 8, 2
+# Independent fits sent to the cluster at the same time: small ones, those whose rows fill all cores, and linear SVMs, whose
+# hundreds of passes are too short for that.
+PARALLEL_FITS, PARALLEL_LARGE_FITS, PARALLEL_LARGE_SVMS = 8, 2, 4
 # Training rows that are worth a task of their own, and those of a task at most: a forest of 300 trees keeps some
 # 1.3 KB in memory for each.
 TASK_ROWS_LEAST, TASK_ROWS_MOST = 1 << 14, 1 << 18
@@ -208,8 +209,9 @@ def _dealt(rows: DataFrame, n_rows: int) -> DataFrame:
     return rows.repartition(tasks) if tasks > 1 else rows
 
 
-def _fits_at_once(rows: DataFrame) -> int:
-    return PARALLEL_LARGE_FITS if rows.count() > 2 * TASK_ROWS_LEAST else PARALLEL_FITS
+def _fits_at_once(rows: DataFrame, kind: str | None = None) -> int:
+    large = PARALLEL_LARGE_SVMS if kind == "svm" else PARALLEL_LARGE_FITS
+    return large if rows.count() > 2 * TASK_ROWS_LEAST else PARALLEL_FITS
 
 
 def train_classifier(
@@ -260,8 +262,18 @@ def train_classifier(
     estimator = _estimator(kind, n, seed)
     if estimator.hasParam("minInstancesPerNode"):
         estimator = estimator.setMinInstancesPerNode(min_instances)
-    stages += [VectorAssembler(inputCols=names, outputCol="_features"), estimator]
-    return Classifier(Pipeline(stages=stages).fit(_dealt(rows, n)), classes, list(numeric), list(categorical), kind, positive)
+    stages.append(VectorAssembler(inputCols=names, outputCol="_features"))
+    fitted = _fitted_once(stages, estimator, _dealt(rows, n)) if kind.startswith("svm") else Pipeline(stages=[*stages, estimator]).fit(_dealt(rows, n))
+    return Classifier(fitted, classes, list(numeric), list(categorical), kind, positive)
+
+
+def _fitted_once(stages: list, estimator, rows: DataFrame) -> PipelineModel:
+    """``estimator`` behind ``stages`` that need no fit and cost more than its passes: they run once, and what they give is kept for the fit."""
+    seen = PipelineModel(stages).transform(rows).select("_features", "_y", "weight").persist()
+    try:
+        return PipelineModel([*stages, *Pipeline(stages=[estimator]).fit(seen).stages])
+    finally:
+        seen.unpersist()
 
 
 def _class_index(classifier: Classifier, name: str) -> int:
@@ -326,7 +338,7 @@ def out_of_fold(
         held_out = scored(folded.where(F.col("fold") == i), fitted)
         return held_out.select(key, label, "fold", "score", "prediction")
 
-    with ThreadPoolExecutor(_fits_at_once(folded)) as pool:
+    with ThreadPoolExecutor(_fits_at_once(folded, kind)) as pool:
         parts = list(pool.map(one, range(k)))
     out = parts[0]
     for part in parts[1:]:

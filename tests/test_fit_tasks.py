@@ -46,3 +46,30 @@ def test_waves_against_numpy(spark):
     weights, shifts = rng.normal(scale=np.sqrt(2 * gamma), size=(5, 3)), rng.uniform(0, 2 * np.pi, size=5)
     got = np.array(out.select(*columns).collect())
     assert got == pytest.approx(np.sqrt(2 / 5) * np.cos(x @ weights.T + shifts), abs=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["svm", "svm_multiclass"])
+def test_waves_are_kept_while_an_svm_is_fitted(spark, monkeypatch, kind):
+    rows = spark.range(900, numPartitions=1).select(
+        (F.col("id") % 97).cast("double").alias("a"), (F.col("id") % 89).cast("double").alias("b"),
+        F.when(F.col("id") % 97 < 30, "yes").otherwise("no").alias("label"),
+    )
+    kept, seen, fit = [], [], classify.Pipeline.fit
+
+    def spied(self, data, *more):
+        kept.append(data.storageLevel.useMemory and data.storageLevel.useDisk and "_features" in data.columns)
+        seen.append(data)
+        return fit(self, data, *more)
+
+    monkeypatch.setattr(classify.Pipeline, "fit", spied)
+    fitted = classify.train_classifier(rows, "label", ["a", "b"], [], kind)
+    assert kept == [True] and not seen[0].storageLevel.useMemory
+    # The model is the one of the whole pipeline, its stages run again for every pass.
+    n_yes = rows.where("label = 'yes'").count()
+    yes = F.col("label") == "yes"
+    labelled = rows.withColumns({"_y": F.when(yes, 1.0).otherwise(0.0), "weight": F.when(yes, 450 / n_yes).otherwise(450 / (900 - n_yes))})
+    plain = fit(classify.Pipeline(stages=[*fitted.model.stages[:-1], classify._estimator(kind, 900, classify.SEED)]), labelled)
+    machines = [m.stages[-1] if kind == "svm" else m.stages[-1].models[0] for m in (fitted.model, plain)]
+    assert machines[0].coefficients.toArray() == pytest.approx(machines[1].coefficients.toArray(), rel=1e-6)
+    right = classify.scored(rows, fitted).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+    assert right > 0.95
